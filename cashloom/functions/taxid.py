@@ -10,18 +10,24 @@ FIRST_WEIGHTS = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
 SECOND_WEIGHTS = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
 
 
+PUNCTUATION = ".,\"'/-"
+
+
 def strip_punctuation(tax_id: Column | str) -> Column:
     """Drop the punctuation people type inside a tax id; letters stay and make it invalid."""
-    return F.regexp_replace(_col(tax_id), r"""[.,"'/\-]""", "")
+    return F.translate(_col(tax_id), PUNCTUATION, "")
 
 
 def _weighted_sum(base: Column, weights: tuple[int, ...]) -> Column:
-    """Sum of the 12 digits of the number ``base``, each times its weight."""
-    total = F.lit(0).cast("long")
-    for position, weight in enumerate(weights[:12]):
-        power = F.lit(10 ** (11 - position)).cast("long")
-        digit = F.call_function("div", base, power) % 10 if position < 11 else base % 10
-        total = total + digit * weight
+    """Sum of the 12 digits of the number ``base``, each times its weight.
+
+    A digit is the number cut off at its place minus ten times the number cut off one place
+    further left, so each cut-off number appears once, with the two weights it counts under.
+    """
+    total = base * weights[11]
+    for place in range(1, 12):
+        cut = F.call_function("div", base, F.lit(10**place).cast("long"))
+        total = total + cut * (weights[11 - place] - 10 * weights[12 - place])
     return total
 
 
@@ -30,35 +36,23 @@ def _digit(total: Column) -> Column:
     return (F.lit(11) - total % 11) % 11 % 10
 
 
-def _check_number(base: Column) -> Column:
-    """Both check digits of the number ``base``, as one number 0-99."""
+def check_number(base: Column) -> Column:
+    """The two check digits, as a number 0-99, of a base given as a number below 10**12."""
     first = _digit(_weighted_sum(base, FIRST_WEIGHTS))
     second = _digit(_weighted_sum(base, SECOND_WEIGHTS) + first * SECOND_WEIGHTS[12])
     return first * 10 + second
 
 
-def _bind(value: Column, body) -> Column:
-    """``body`` applied to ``value``, which is computed once however often ``body`` uses it.
-
-    An expression with many uses of its input would otherwise be copied out in full
-    wherever the optimizer moves it, into pushed filters above all.
-    """
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def check_digits(base: Column | str) -> Column:
     """The two check digits of a 12-digit base, as text; NULL where the base is anything else."""
-
-    def digits(text: Column) -> Column:
-        number = _bind(text.try_cast("long"), _check_number)
-        return F.when(text.rlike("^[0-9]{12}$"), F.lpad(number.cast("string"), 2, "0"))
-
-    return _bind(_col(base), digits)
+    base = _col(base)
+    digits = F.lpad(check_number(base.try_cast("long")).cast("string"), 2, "0")
+    return F.when(base.rlike("^[0-9]{12}$"), digits)
 
 
 def complete_tax_id(base: Column | str) -> Column:
     """Append the check digits to a 12-digit base."""
-    return _bind(_col(base), lambda text: F.concat(text, check_digits(text)))
+    return F.concat(_col(base), check_digits(base))
 
 
 def is_valid_tax_id(tax_id: Column | str, *, strict: bool = False) -> Column:
@@ -66,15 +60,14 @@ def is_valid_tax_id(tax_id: Column | str, *, strict: bool = False) -> Column:
 
     All zeros satisfy the arithmetic. ``strict`` also rejects one digit repeated 14 times.
     """
-
-    def matches(number: Column) -> Column:
-        return number % 100 == _bind(F.call_function("div", number, F.lit(100).cast("long")), _check_number)
-
-    def valid(digits: Column) -> Column:
-        result = digits.rlike("^[0-9]{14}$") & _bind(digits.try_cast("long"), matches)
-        return result & ~digits.rlike(r"^([0-9])\1{13}$") if strict else result
-
-    return F.coalesce(_bind(strip_punctuation(tax_id), valid), F.lit(False))
+    digits = strip_punctuation(tax_id)
+    # longer digit strings are not numbers of this kind; cutting them keeps the arithmetic in range
+    number = F.substring(digits, 1, 14).try_cast("long")
+    # the arithmetic comes first because only what is always evaluated is computed once per row
+    valid = (number % 100 == check_number(F.call_function("div", number, F.lit(100).cast("long")))) & digits.rlike("^[0-9]{14}$")
+    if strict:
+        valid = valid & ~digits.rlike(r"^([0-9])\1{13}$")
+    return F.coalesce(valid, F.lit(False))
 
 
 def _col(column: Column | str) -> Column:

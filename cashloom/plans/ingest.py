@@ -57,8 +57,9 @@ def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame
         defaults[layout.email] = DEFAULT_TEXT
     # the rules never look at a defaulted column, so copies can go before they are judged
     distinct = fill_defaults(fresh.withColumn(layout.name, F.upper(layout.name)), defaults).distinct()
-    flagged = domain_membership(distinct, postal_codes, "CEP", "CEP_VALIDO")
-    flagged = flagged.withColumn("CNPJ_VALIDO", is_valid_tax_id(layout.tax_id))
+    # the tax id is judged below the join, once per row, and not inside the rules above it
+    flagged = distinct.withColumn("CNPJ_VALIDO", is_valid_tax_id(layout.tax_id))
+    flagged = domain_membership(flagged, postal_codes, "CEP", "CEP_VALIDO")
     rules = feed_rules(layout, tax_id_ok="CNPJ_VALIDO", postal_ok="CEP_VALIDO")
     return flagged.withColumn("MOTIVO", first_failing_rule(rules))
 

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cashloom.functions import complete_tax_id
+from cashloom.functions.taxid import check_number
 from cashloom.operators.quality import trim_cast_columns
 from cashloom.operators.schedule import attach_terms, generate_instalments
 from cashloom.presets import FEED_CASTS, term_table
@@ -284,16 +284,12 @@ def money(column: str) -> Column:
 
 
 def tax_id(key: Column, *, wrong: Column | None = None) -> Column:
-    """Tax id of a party key; where ``wrong`` holds, its last digit is off by one."""
-    base = F.concat(F.lpad(key.cast("string"), 8, "0"), F.lit("0001"))
-    if wrong is None:
-        return complete_tax_id(base)
-    last = F.when(wrong, 1).otherwise(0)
-    shifted = F.transform(
-        F.array(complete_tax_id(base)),
-        lambda good: F.concat(F.substring(good, 1, 13), ((F.substring(good, 14, 1).cast("int") + last) % 10).cast("string")),
-    )
-    return F.get(shifted, F.lit(0))
+    """Tax id of a party key; where ``wrong`` holds, its check digits are off by one."""
+    base = key * 10000 + 1
+    check = check_number(base)
+    if wrong is not None:
+        check = (check + F.when(wrong, 1).otherwise(0)) % 100
+    return F.lpad((base * 100 + check).cast("string"), 14, "0")
 
 
 def raw_term(key: Column) -> Column:

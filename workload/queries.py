@@ -75,9 +75,9 @@ def p4(f: Frames) -> DataFrame:
 
 
 def judged_feed(f: Frames) -> DataFrame:
-    flagged = quality.domain_membership(f.purchases_typed(), f.postal_codes(), "CEP", "CEP_VALIDO").withColumn(
-        "CNPJ_VALIDO", is_valid_tax_id("CNPJ_FORNECEDOR")
-    )
+    # the tax id is judged below the join, once per row, and not inside the rules above it
+    flagged = f.purchases_typed().withColumn("CNPJ_VALIDO", is_valid_tax_id("CNPJ_FORNECEDOR"))
+    flagged = quality.domain_membership(flagged, f.postal_codes(), "CEP", "CEP_VALIDO")
     rules = presets.feed_rules(presets.PURCHASES, tax_id_ok="CNPJ_VALIDO", postal_ok="CEP_VALIDO")
     return flagged.withColumn("MOTIVO", quality.first_failing_rule(rules))
 
@@ -130,7 +130,7 @@ TAX_TEXT = """
 @query("p7_tax_id_valid", f"SELECT o_orderkey, tax_text, {sql.valid_tax_id('tax_text')} AS valid FROM ({TAX_TEXT})")
 def p7(f: Frames) -> DataFrame:
     key = F.col("o_orderkey") % 6
-    good, off = tax_id(F.col("o_custkey")), tax_id(F.col("o_custkey"), wrong=F.lit(True))
+    good, off = F.col("good"), F.col("off")
     dotted = F.concat(
         F.substring(good, 1, 2), F.lit("."), F.substring(good, 3, 6), F.lit("/"), F.substring(good, 9, 4), F.lit("-"), F.substring(good, 13, 2)
     )
@@ -141,7 +141,10 @@ def p7(f: Frames) -> DataFrame:
         .when(key == 3, dotted)
         .when(key == 4, F.concat(F.lit("A"), F.substring(good, 2, 13)))
     )
-    texts = f.table("orders").select("o_orderkey", text.alias("tax_text"))
+    ids = f.table("orders").select(
+        "o_orderkey", tax_id(F.col("o_custkey")).alias("good"), tax_id(F.col("o_custkey"), wrong=F.lit(True)).alias("off")
+    )
+    texts = ids.select("o_orderkey", text.alias("tax_text"))
     return texts.withColumn("valid", is_valid_tax_id("tax_text"))
 
 

@@ -32,9 +32,9 @@ def _check(total: str) -> str:
 
 
 def tax_ids(table: str, key: str) -> str:
-    """Every key of a table with its tax id, and with the one that is wrong in the last digit."""
+    """Every key of a table with its tax id, and with the one whose check digits are off by one."""
     return f"""
-        SELECT k, t AS good, substr(t, 1, 13) || CAST((CAST(substr(t, 14, 1) AS INTEGER) + 1) % 10 AS VARCHAR) AS off FROM (
+        SELECT k, t AS good, substr(t, 1, 12) || lpad(CAST((CAST(substr(t, 13, 2) AS INTEGER) + 1) % 100 AS VARCHAR), 2, '0') AS off FROM (
           SELECT k, b || d1 || CAST({_check(_dot("(b || d1)", SECOND_WEIGHTS))} AS VARCHAR) AS t FROM (
             SELECT k, b, CAST({_check(_dot("b", FIRST_WEIGHTS))} AS VARCHAR) AS d1 FROM (
               SELECT DISTINCT {key} AS k, lpad(CAST({key} AS VARCHAR), 8, '0') || '0001' AS b FROM {table})))"""
