@@ -55,11 +55,12 @@ def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame
     defaults = {"NUM_ENDERECO": DEFAULT_NUMBER, "COMPLEMENTO": DEFAULT_TEXT}
     if layout.default_email:
         defaults[layout.email] = DEFAULT_TEXT
+    # The tax id is judged right after the join, where its parts are computed once per row;
+    # on top of the aggregation or inside the rules they would be repeated for each use.
+    named = fresh.withColumn(layout.name, F.upper(layout.name)).withColumn("CNPJ_VALIDO", is_valid_tax_id(layout.tax_id))
     # the rules never look at a defaulted column, so copies can go before they are judged
-    distinct = fill_defaults(fresh.withColumn(layout.name, F.upper(layout.name)), defaults).distinct()
-    # the tax id is judged below the join, once per row, and not inside the rules above it
-    flagged = distinct.withColumn("CNPJ_VALIDO", is_valid_tax_id(layout.tax_id))
-    flagged = domain_membership(flagged, postal_codes, "CEP", "CEP_VALIDO")
+    distinct = fill_defaults(named, defaults).distinct()
+    flagged = domain_membership(distinct, postal_codes, "CEP", "CEP_VALIDO")
     rules = feed_rules(layout, tax_id_ok="CNPJ_VALIDO", postal_ok="CEP_VALIDO")
     return flagged.withColumn("MOTIVO", first_failing_rule(rules))
 
