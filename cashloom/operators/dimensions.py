@@ -10,8 +10,17 @@ from pyspark.sql import functions as F
 from .joins import lookup_join, spread_join
 
 
-def unprocessed_only(feed: DataFrame, log: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Feed rows whose key is not in the log of processed keys. A NULL in the key never matches."""
+def unprocessed_only(feed: DataFrame, log: DataFrame, keys: Sequence[str], *, range_column: str | None = None) -> DataFrame:
+    """Feed rows whose key is not in the log of processed keys. A NULL in the key never matches.
+
+    ``range_column`` names a key column, such as a date, in which a feed covers a small part
+    of the log: the log is then cut to the feed's range before it is shuffled, which also
+    prunes the partitions and row groups of a log laid out by that column.
+    """
+    if range_column is not None:
+        low = feed.agg(F.min(range_column)).scalar()
+        high = feed.agg(F.max(range_column)).scalar()
+        log = log.where((F.col(range_column) >= low) & (F.col(range_column) <= high))
     return spread_join(feed, log, keys, "left_anti")
 
 

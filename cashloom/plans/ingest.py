@@ -51,7 +51,7 @@ class Ingest(NamedTuple):
 
 def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame, layout: Layout) -> DataFrame:
     """Typed feed rows not processed before, distinct, defaults filled in, with MOTIVO and the two flags."""
-    fresh = unprocessed_only(feed, processed, LOG_KEY).select(*layout.feed_columns)
+    fresh = unprocessed_only(feed, processed, LOG_KEY, range_column="DATA_PROCESSAMENTO").select(*layout.feed_columns)
     defaults = {"NUM_ENDERECO": DEFAULT_NUMBER, "COMPLEMENTO": DEFAULT_TEXT}
     if layout.default_email:
         defaults[layout.email] = DEFAULT_TEXT

@@ -14,7 +14,7 @@ def _schedule(invoices: DataFrame, terms: DataFrame, existing: DataFrame, invoic
     needed = invoices.select(invoice_id, "ID_CONDICAO", "DATA_EMISSAO", "VALOR_TOTAL")
     generated = generate_instalments(
         attach_terms(needed, terms), invoice_id=invoice_id, status=status, residue_on_last=residue_on_last
-    ).distinct()
+    )
     fields = {
         invoice_id: invoices.schema[invoice_id].dataType,
         "DATA_VENCIMENTO": DateType(),
@@ -22,7 +22,10 @@ def _schedule(invoices: DataFrame, terms: DataFrame, existing: DataFrame, invoic
         "VALOR_PARCELA": MONEY,
         status: IntegerType(),
     }
-    return new_instalments(conform_schema(generated, required(**fields)), existing, [invoice_id, "DATA_VENCIMENTO"])
+    key = [invoice_id, "DATA_VENCIMENTO"]
+    # placed by the key of the anti join, equal rows already meet: one shuffle serves both steps
+    distinct = conform_schema(generated, required(**fields)).repartition(*key).distinct()
+    return new_instalments(distinct, existing, key)
 
 
 def payables_schedule(invoices: DataFrame, terms: DataFrame, existing: DataFrame, *, residue_on_last: bool = False) -> DataFrame:

@@ -13,17 +13,18 @@ def shared_copy(df: DataFrame) -> DataFrame:
     Everything read from the result comes from that folder, so lost executors cost no
     recomputation, and tables read on the way may change afterwards.
     """
-    _ensure_folder(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _ensure_folder(spark: SparkSession) -> None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; a local session without one gets a temporary one."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="cashloom-")
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return folder

@@ -30,6 +30,12 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def rows_for_cores(self, name: str) -> DataFrame:
+        """A table whose rows get heavy expressions; dealt over the cores when it comes in too few splits."""
+        table = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
     # -- cash movements ------------------------------------------------------------------
 
     def receipts_posted(self) -> DataFrame:
@@ -138,7 +144,7 @@ class Frames:
         none = F.lit(None).cast("string")
         value = money("l_extendedprice").cast("string")
         shipped = F.to_date("l_shipdate")
-        return self.table("lineitem").select(
+        return self.rows_for_cores("lineitem").select(
             broken(23, none, F.concat(F.lit("Supplier "), supplier.cast("string"))).alias("NOME_FORNECEDOR"),
             tax_id(supplier, wrong=order % 29 == 0).alias("CNPJ_FORNECEDOR"),
             F.when(order % 5 == 0, none).otherwise(F.concat(F.lit("s"), supplier.cast("string"), F.lit("@mail.test"))).alias("EMAIL_FORNECEDOR"),
@@ -180,7 +186,7 @@ class Frames:
 
         issued = F.to_date("o_orderdate")
         total = money("o_totalprice")
-        return self.table("orders").select(
+        return self.rows_for_cores("orders").select(
             broken(23, "string", F.concat(F.lit("Customer "), customer.cast("string"))).alias("NOME"),
             tax_id(customer, wrong=order % 29 == 0).alias("CNPJ"),
             broken(5, "string", F.concat(F.lit("c"), customer.cast("string"), F.lit("@mail.test"))).alias("EMAIL"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 from typing import NamedTuple
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ from cashloom.operators import quality, schedule, settlement
 from cashloom.operators.schema import conform_schema
 from cashloom.plans import cash as cash_jobs
 from cashloom.plans import ingest, posting, schedules
+from cashloom.plans.seed import seed_reference_data
 from cashloom.sources.schemas import MONEY, required
+from cashloom.sources.staging import shared_folder
 
 from . import sql
 from .frames import FIRST_RUN, STAMP, TODAY, Frames, tax_id
@@ -895,3 +898,33 @@ def q9(f: Frames) -> DataFrame:
 @query("q9_cashflow_current_month_through_unclosed", daily_sql(CURRENT, balance_before("2000-06-01")))
 def q9_through(f: Frames) -> DataFrame:
     return daily(current(f, through_unclosed=True))
+
+
+@query(
+    "q10_seed_reference_data",
+    """SELECT CAST(1001000 + c_custkey AS VARCHAR) AS CEP, CASE WHEN c_nationkey < 12 THEN 'SP' ELSE 'RJ' END AS UF, c_mktsegment AS CIDADE,
+              'Bairro ' || CAST(c_nationkey AS VARCHAR) AS BAIRRO, 'Rua "A", ' || CAST(c_custkey AS VARCHAR) AS LOGRADOURO FROM customer""",
+)
+def q10(f: Frames) -> DataFrame:
+    """Postal codes, one per customer, through the CSV file they are seeded from."""
+    nation = F.col("c_nationkey")
+    codes = f.table("customer").select(
+        (F.lit(1001000) + F.col("c_custkey")).cast("string").alias("CEP"),
+        F.when(nation < 12, F.lit("SP")).otherwise(F.lit("RJ")).alias("UF"),
+        F.col("c_mktsegment").alias("CIDADE"),
+        F.concat(F.lit("Bairro "), nation.cast("string")).alias("BAIRRO"),
+        F.concat(F.lit('Rua "A", '), F.col("c_custkey").cast("string")).alias("LOGRADOURO"),
+    )
+    folder = f"{shared_folder(f.spark)}/seed-{uuid4()}"
+    codes.write.csv(f"{folder}/cep", header=True)
+    f.address_types().select("DESCRICAO", F.upper("DESCRICAO").alias("SIGLA")).write.csv(f"{folder}/types", header=True)
+    f.terms().drop("ID_CONDICAO").write.csv(f"{folder}/terms", header=True)
+    presets.tier_table(f.spark).drop("ID_DESCONTO").write.csv(f"{folder}/tiers", header=True)
+    seeded = seed_reference_data(
+        f.spark,
+        postal_codes=f"{folder}/cep",
+        address_types=f"{folder}/types",
+        terms=f"{folder}/terms",
+        tiers=f"{folder}/tiers",
+    )
+    return seeded.postal_codes
