@@ -127,7 +127,9 @@ def merge_upsert(
     )
     if not insert:
         return updated
-    added = changes.join(target.select(*keys).distinct(), list(keys), "left_anti").select(*keys, *columns)
+    # only target keys that occur in the changes go on, so few changes never move the whole target
+    known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi").distinct()
+    added = changes.join(known, list(keys), "left_anti").select(*keys, *columns)
     return updated.unionByName(added, allowMissingColumns=True).select(*target.columns)
 
 

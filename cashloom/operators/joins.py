@@ -24,7 +24,7 @@ BROADCAST_TEXT = 64 << 20
 SLICE_ROWS = 2_000_000
 """Rows of one key group that one task takes without being split."""
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
 """Key-hash buckets counted to find the hot ones; bounds the broadcast histogram."""
 
 _BUCKET, _ROWS, _SLICES, _SLICE = "__bucket", "__rows", "__slices", "__slice"

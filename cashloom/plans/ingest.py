@@ -81,9 +81,11 @@ def _ingest(
     entering = assign_surrogate_keys(
         new_members(offered, parties, layout.tax_id), layout.tax_id, layout.party_id, start_after=parties
     )
-    party_ids = one_id_per_key(parties, layout.tax_id, layout.party_id).unionByName(
-        entering.select(layout.tax_id, layout.party_id)
+    # the parties of this feed only, on the partitioning that both sides already have
+    known_ids = one_id_per_key(parties, layout.tax_id, layout.party_id).join(
+        offered.select(layout.tax_id), layout.tax_id, "left_semi"
     )
+    party_ids = known_ids.unionByName(entering.select(layout.tax_id, layout.party_id))
 
     type_ids = one_id_per_key(
         address_types.select(F.upper("DESCRICAO").alias("TIPO_ENDERECO"), "ID_TIPO_ENDERECO"), "TIPO_ENDERECO", "ID_TIPO_ENDERECO"
@@ -132,8 +134,8 @@ def purchases_ingest(
 ) -> Ingest:
     """Ingest a purchase feed of text columns.
 
-    ``stage`` makes the validated feed available to the eight outputs; the default computes
-    it once into the shared checkpoint folder.
+    ``stage`` makes the validated feed available to the eight outputs; the default writes it
+    once as a table in the shared checkpoint folder.
     """
     typed = trim_cast_columns(feed, FEED_CASTS).withColumn("TIPO_ENDERECO", F.upper("TIPO_ENDERECO"))
     validated = stage(validate_feed(typed, processed, postal_codes, PURCHASES))

@@ -3,18 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_copy(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared checkpoint folder.
+    """Compute ``df`` once, write it as a table in the shared checkpoint folder and read that.
 
-    Everything read from the result comes from that folder, so lost executors cost no
-    recomputation, and tables read on the way may change afterwards.
+    Lost executors then cost no recomputation, tables read on the way may change afterwards,
+    and each reader takes only the columns it needs. The copy stays until the folder is
+    cleared, as checkpoints do.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/copy-{uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
