@@ -22,7 +22,6 @@ from ..operators.dimensions import (
     unprocessed_only,
 )
 from ..operators.quality import (
-    Split,
     domain_membership,
     fill_defaults,
     first_failing_rule,

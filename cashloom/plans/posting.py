@@ -6,7 +6,6 @@ from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType
 
 from ..functions import trim_cast

@@ -93,7 +93,7 @@ _basis_points = [
 _ORDER = "(l_orderkey + l_partkey)"
 
 
-def _feed_ctes(side: str, party: str, name: str, tax: str, email: str, phone: str, default_email: bool) -> dict[str, str]:
+def _feed_ctes(side: str, name: str, tax: str, email: str, phone: str, default_email: bool) -> dict[str, str]:
     """From typed feed to the eight ingest outputs of one side of the books."""
     mail = f"coalesce({email}, 'N/A')" if default_email else email
     known = "CASE WHEN email IS NOT NULL AND email <> 'N/A' THEN 1 ELSE 0 END"
@@ -239,8 +239,8 @@ CTES: dict[str, str] = {
         SELECT ROW_ID, COD, DESCRICAO, p[1] AS VAR_DESCRICAO, TRY_CAST(p[2] AS DATE) AS VAR_DT_INICIAL, TRY_CAST(p[3] AS DATE) AS VAR_DT_FINAL,
                TRY_CAST(p[4] AS DATE) AS VAR_DT_ATUAL, TRY_CAST(p[5] AS INTEGER) AS VAR_EXPURGO, TRY_CAST(p[6] AS INTEGER) AS VAR_STATUS
         FROM (SELECT *, string_split(DESCRICAO, ',') AS p FROM parameters)""",
-    **_feed_ctes("purchases", "supplier", "NOME_FORNECEDOR", "CNPJ_FORNECEDOR", "EMAIL_FORNECEDOR", "TELEFONE_FORNECEDOR", True),
-    **_feed_ctes("sales", "customer", "NOME", "CNPJ", "EMAIL", "TELEFONE", False),
+    **_feed_ctes("purchases", "NOME_FORNECEDOR", "CNPJ_FORNECEDOR", "EMAIL_FORNECEDOR", "TELEFONE_FORNECEDOR", True),
+    **_feed_ctes("sales", "NOME", "CNPJ", "EMAIL", "TELEFONE", False),
 }
 
 
