@@ -16,6 +16,22 @@ def remainder(key: str, parts: int) -> Column:
     return F.crc32(F.col(key).cast("string")) % parts
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe import token_digests
+
+    return token_digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     from .quality import DECISION, learn_ranker, score_quality
 
@@ -56,7 +72,16 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality_classifier, op6_quality_rules, op8_language_id, op9_html_extraction, op10_warc_revisits)
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_bpe_round_trip,
+        op5_quality_classifier,
+        op6_quality_rules,
+        op8_language_id,
+        op9_html_extraction,
+        op10_warc_revisits,
+    )
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -99,15 +99,14 @@ def write_archives(
     revisits = resolve_revisits(headers, min_payload=min_payload)
 
     body = F.coalesce(F.col(payload), F.lit(""))
-    rows = pages.select(
-        F.col(key).cast("long").alias("page_id"), _clean(F.col(url)).alias("url"), body.alias("payload")
-    ).withColumn("payload_digest", payload_digest(F.col("payload")))
-    # an id that a million rows share is spread by the rest of the row
-    rows = rows.repartition(max(1, -(-total // archive_bytes)), "page_id", "url", "payload_digest")
-    known = revisits.withColumnsRenamed({"page_id": "of_id", "payload_digest": "of_digest"})
-    joined = rows.join(
-        known, rows.page_id.eqNullSafe(known.of_id) & (rows.payload_digest == known.of_digest), "left"
-    ).drop("of_id", "of_digest")
+    named = lambda column: F.coalesce(F.col(column).cast("long").cast("string"), F.lit("none"))
+    rows = pages.select(named(key).alias("name"), _clean(F.col(url)).alias("url"), body.alias("payload"))
+    # one shuffle of payloads: the join keeps the partitions that bound an archive's size
+    rows = rows.withColumn("payload_digest", payload_digest(F.col("payload"))).repartition(
+        max(1, -(-total // archive_bytes)), "name", "payload_digest"
+    )
+    known = revisits.select(named("page_id").alias("name"), "payload_digest", "refers_to")
+    joined = rows.join(known, ["name", "payload_digest"], "left")
 
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(
@@ -116,12 +115,11 @@ def write_archives(
         F.lit("\r\n\r\n"),
     )
     block = F.concat(http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
-    name = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     record = F.concat(
         F.lit("WARC/1.1\r\nWARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit(f"\r\nWARC-Record-ID: <{_ID}"),
-        name,
+        F.col("name"),
         F.lit(">\r\nWARC-Date: "),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         F.lit("\r\nWARC-Target-URI: "),
