@@ -32,6 +32,12 @@ def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from .embeddings import near_duplicates
+
+    return near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     from .quality import DECISION, learn_ranker, score_quality
 
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_bpe_round_trip,
+        op4_embedding_near_dedup,
         op5_quality_classifier,
         op6_quality_rules,
         op8_language_id,
