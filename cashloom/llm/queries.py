@@ -32,6 +32,12 @@ def op2_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    from .ngram import similar_components
+
+    return similar_components(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from .embeddings import near_duplicates
 
@@ -82,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_best_fit_packing,
         op2_bpe_round_trip,
+        op3_ngram_jaccard,
         op4_embedding_near_dedup,
         op5_quality_classifier,
         op6_quality_rules,
