@@ -62,6 +62,12 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from .repeats import cut_repeats
+
+    return cut_repeats(_table(spark, folder, "documents").select("doc_id", "text"), digest=True)
+
+
 def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     from .langid import learn_profiles, predict_language
 
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_embedding_near_dedup,
         op5_quality_classifier,
         op6_quality_rules,
+        op7_suffix_dedup,
         op8_language_id,
         op9_html_extraction,
         op10_warc_revisits,

@@ -1,20 +1,82 @@
 """The corpus pipeline: language, quality, near duplicates, repeated passages, packing.
 
 ``STAGES`` names the stages in order; each takes ``(spark, docs, sf_dir)`` and gives the next
-one its documents.
+one its documents. Rows with a NULL id or text pass through like any other: a text without a
+letter has no language and goes at the first stage, a row without an id is a duplicate of
+nothing. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from cashloom.llm.langid import UNKNOWN, learn_profiles, predict_language
+from cashloom.llm.ngram import BROADCAST_IDS, similar_components
+from cashloom.llm.packing import pack_documents
+from cashloom.llm.quality import DECISION, learn_ranker, score_quality
+from cashloom.llm.queries import remainder
+from cashloom.llm.repeats import cut_repeats
 from cashloom.sources.staging import shared_copy
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+LEAST_LIKENESS = 0.05
+"""Cosine below which a text is like no language that was learned."""
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that their own labels teach; without any, all that have a letter go."""
+    judged = predict_language(docs, learn_profiles(docs), into=("__lang", "__likeness"))
+    return judged.where((F.col("__lang") != UNKNOWN) & (F.col("__likeness") >= LEAST_LIKENESS)).select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the ranker scores at its decision or above; learned from labels of crc32(doc_id) mod 5 other than 0."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(remainder("doc_id", 5) != 0)
+    scored = score_quality(docs, learn_ranker(docs, labels), into="__score")
+    return scored.where(F.col("__score") >= DECISION).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group, and all that link with nothing; rows repeated whole once."""
+    answer = shared_copy(similar_components(docs.select("doc_id", "text")))
+    gone = shared_copy(answer.where("doc_id <> component_id").select("doc_id").distinct())
+    again = shared_copy(answer.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+
+    def without(frame: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        few = ids.count() <= BROADCAST_IDS
+        return frame.join(F.broadcast(ids) if few else ids, "doc_id", how)
+
+    single = without(docs, gone, "left_anti")
+    if again.limit(1).count():
+        single = without(single, again, "left_anti").unionByName(without(single, again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return single.select(docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes that earlier documents have; documents of which nothing is left go."""
+    cut = cut_repeats(docs)
+    left = cut.where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all documents' token pieces in sequences."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language),
+    ("quality_classifier", quality),
+    ("ngram_jaccard_join", near_duplicates),
+    ("suffix_array_dedup", repeated_passages),
+    ("best_fit_packing", packing),
+]
 
 ORACLE_SQL = None
+"""Learned profiles, components of links and packing have no SQL; tests compare the stages with plain Python."""
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
