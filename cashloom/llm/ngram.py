@@ -258,7 +258,8 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         key, owner = key[~known], owner[~known]
         order = np.argsort(key)
         key = key[order]
-        twice = np.concatenate([[False], key[1:] == key[:-1]])
+        twice = np.zeros(len(key), bool)
+        twice[1:] = key[1:] == key[:-1]
         twice[:-1] |= twice[1:]
         out_key.append(key[twice])
         out_owner.append(owner[order][twice])

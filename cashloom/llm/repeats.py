@@ -315,7 +315,8 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         by = by[np.argsort(hashed[by])]
         # the same place of the same text, from another task's copy, is no repeat
         h, o, a = hashed[by], owner[by], place[by]
-        twice = np.concatenate([[False], (h[1:] == h[:-1]) & ((o[1:] != o[:-1]) | (a[1:] != a[:-1]))])
+        twice = np.zeros(len(by), bool)
+        twice[1:] = (h[1:] == h[:-1]) & ((o[1:] != o[:-1]) | (a[1:] != a[:-1]))
         twice[:-1] |= twice[1:]
         pick = np.concatenate([by[twice], np.flatnonzero(known)])
         pick = pick[np.argsort(owner[pick], kind="stable")]
