@@ -101,55 +101,67 @@ class RunIndex(NamedTuple):
     last: np.ndarray
 
 
-def suffix_order(text: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Positions of all suffixes in order; ``left``: bytes from each position to its string's end.
+def suffix_order(text: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
+    """Positions of the suffixes of ``length`` bytes and more, by their first ``length`` bytes at least; equal ones in any order.
 
-    Strings end in symbols below all bytes, ordered as the strings are. Prefix doubling, in
-    which only suffixes that still tie are sorted again.
+    ``left``: bytes from each position to its string's end, which is a symbol below all bytes.
+    Prefix doubling in which only suffixes that still tie, and that a longer one still asks
+    for, are sorted again.
     """
     n = len(text)
-    key = np.zeros(n + 7, np.uint64)
-    key[:n] = text.astype(np.uint64) + np.uint64(1)
-    symbols = key.copy()
-    packed = np.zeros(n, np.uint64)
-    for step in range(7):
-        symbol = np.where(left > step, symbols[step : step + n], np.uint64(0))
-        packed = packed << np.uint64(9) | symbol
-    order = np.argsort(packed, kind="stable")
-    ordered = packed[order]
-    head = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+    symbols = np.zeros(n + 6, np.uint64)
+    symbols[:n] = text.astype(np.uint64) + np.uint64(1)
+    packed = symbols[:n].copy()
+    for step in range(1, 7):
+        packed <<= np.uint64(9)
+        packed |= symbols[step : step + n] * (left > step)
+    order = np.argsort(packed)
+    packed = packed[order]
+    head = np.ones(n, bool)
+    np.not_equal(packed[1:], packed[:-1], out=head[1:])
     slots = np.arange(n)
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(head, slots, 0))
-    size = 7
-    while True:
-        tied = ~head | np.concatenate([~head[1:], [False]])
-        slots, place = slots[tied], order[slots[tied]]
-        # suffixes that end within what was compared are equal strings and stay in text order
-        if not len(slots) or not (left[place] > size).any():
-            return order
+    place, size = order, 7
+    while size < length:
+        tied = ~head
+        tied[:-1] |= ~head[1:]
+        # of shorter suffixes only those are told apart further that one of ``length`` bytes leads to
+        tied &= left[place] > max(0, length - size * (-(-length // size) - 1) - 1)
+        slots, place = slots[tied], place[tied]
+        if not len(slots):
+            break
         after = np.where(left[place] > size, rank[np.minimum(place + size, n - 1)] + 1, 0)
         keys = rank[place] << 32 | after
-        by = np.argsort(keys, kind="stable")
+        by = np.argsort(keys)
         keys, place = keys[by], place[by]
         order[slots] = place
-        head = np.concatenate([[True], keys[1:] != keys[:-1]])
+        head = np.ones(len(slots), bool)
+        np.not_equal(keys[1:], keys[:-1], out=head[1:])
         rank[place] = np.maximum.accumulate(np.where(head, slots, 0))
-        full = np.ones(n, bool)
-        full[slots] = head
-        head, slots = full, np.arange(n)
         size *= 2
+    return order[left[order] >= length]
 
 
-def run_index(text: np.ndarray, starts: np.ndarray, left: np.ndarray) -> RunIndex:
-    order = suffix_order(text, left)
+def run_index(text: np.ndarray, starts: np.ndarray, left: np.ndarray, length: int) -> RunIndex:
+    """The transform of the strings' suffixes that are long enough to match.
+
+    As shorter suffixes are left out, a suffix and its neighbour may be carried on from one
+    that is not next to it; runs are broken there too, so that every step between two sampled
+    positions leads from neighbours to neighbours.
+    """
+    order = suffix_order(text, left, length)
+    n = len(order)
     begins = np.zeros(len(text), bool)
     begins[starts] = True
     before = np.where(begins[order], -1, text[order - 1].astype(np.int16))
+    neighbour = np.full(len(text), -1, np.int64)
+    neighbour[order[1:]] = order[:-1]
     # strings' ends differ from each other, so each stands in a run of its own
-    head = np.concatenate([[True], (before[1:] != before[:-1]) | (before[1:] < 0)])
+    head = np.ones(n, bool)
+    head[1:] = (before[1:] != before[:-1]) | (before[1:] < 0) | (neighbour[order[1:] - 1] != order[:-1] - 1)
     at = np.flatnonzero(head)
-    ends = np.concatenate([at[1:], [len(text)]])
+    ends = np.append(at[1:], n)
     return RunIndex(before[at], ends - at, order[at], order[ends - 1])
 
 
@@ -181,7 +193,7 @@ def matches(index: RunIndex, text: np.ndarray, left: np.ndarray, length: int) ->
     place, neighbour = index.first[1:], index.last[:-1]
     reach = agreement(text, left, place, neighbour)
     # the very first suffix has no neighbour, but ends what is carried on from the sample before
-    place, neighbour, reach = np.append(place, index.first[0]), np.append(neighbour, 0), np.append(reach, 0)
+    place, neighbour, reach = np.append(place, index.first[:1]), np.append(neighbour, index.first[:1]), np.append(reach, index.first[:1] * 0)
     by = np.argsort(place)
     place, neighbour, reach = place[by], neighbour[by], reach[by]
     until = np.concatenate([place[1:], [len(text)]])
@@ -195,7 +207,7 @@ def matches(index: RunIndex, text: np.ndarray, left: np.ndarray, length: int) ->
 def later_windows(contexts: list[bytes], owner: np.ndarray, start: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Owner and position of every window that equals one with a smaller (owner, position).
 
-    ``contexts`` are distinct; ``owner`` and ``start`` say whose and where each is.
+    ``owner`` and ``start`` say whose and where each context is.
     """
     sizes = np.array([len(c) for c in contexts], np.int64)
     text = np.frombuffer(b"".join(contexts), np.uint8)
@@ -203,7 +215,7 @@ def later_windows(contexts: list[bytes], owner: np.ndarray, start: np.ndarray, l
     which = np.repeat(np.arange(len(contexts)), sizes)
     inside = np.arange(len(text)) - starts[which]
     left = sizes[which] - inside
-    place, neighbour = matches(run_index(text, starts, left), text, left, length)
+    place, neighbour = matches(run_index(text, starts, left, length), text, left, length)
     # chains of equal windows: every one is led to the first of its chain in suffix order
     lead = np.arange(len(text))
     lead[place] = neighbour
@@ -213,7 +225,9 @@ def later_windows(contexts: list[bytes], owner: np.ndarray, start: np.ndarray, l
         moved = further != lead[part]
         lead[part] = further
         part = part[moved]
-    members = np.unique(np.concatenate([place, neighbour]))
+    linked = np.zeros(len(text), bool)
+    linked[place] = linked[neighbour] = True
+    members = np.flatnonzero(linked)
     whose, where = owner[which[members]], start[which[members]] + inside[members]
     chain = lead[members]
     by = np.lexsort((where, whose, chain))
@@ -224,6 +238,25 @@ def later_windows(contexts: list[bytes], owner: np.ndarray, start: np.ndarray, l
     return whose[later], where[later]
 
 
+def hopeful(contexts: list[bytes], offsets: list[int], length: int = LENGTH) -> list[bool]:
+    """Whether a context may share a window with another that has the same anchor.
+
+    Around equal anchors a common window reaches ``length - GRAM`` bytes to the left and right
+    together, so for some step of a grid it reaches at least so far to the left and so far to
+    the right; contexts that agree with no other on any step share none.
+    """
+    around = length - GRAM
+    grid = [(k * around // 4, (3 - k) * around // 4) for k in range(4)]
+    seen: dict[tuple[int, bytes], int] = {}
+    steps = []
+    for context, at in zip(contexts, offsets, strict=True):
+        mine = [(left, context[at - left : at + GRAM + right]) for left, right in grid if at >= left and len(context) - at - GRAM >= right]
+        steps.append(mine)
+        for key in mine:
+            seen[key] = seen.get(key, 0) + 1
+    return [any(seen[key] > 1 for key in mine) for mine in steps]
+
+
 def _spans(whose: np.ndarray, where: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Owner, start and end of the stretches that windows at these places cover."""
     if not len(whose):
@@ -370,7 +403,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
             made = []
             for b, group in by_bucket.items():
                 owners = {}
-                rows = np.array([(owners.setdefault((held[k][0], held[k][1]), len(owners)), held[k][2], len(k)) for k in group], np.int64)
+                rows = np.array([(owners.setdefault(held[k][:2], len(owners)), held[k][2], len(k)) for k in group], np.int64)
                 names = b"".join(o.to_bytes(8, "little", signed=True) + s for o, s in owners)
                 made.append((b, False, b"".join(group), rows.astype("<u4").tobytes(), names))
             for k in range(0, len(marks), 1 << 16):
@@ -401,6 +434,8 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                     context = data[start : place + length]
                     if len(context) < length:
                         continue
+                    # where the anchor lies in it comes first, so that contexts of one anchor meet
+                    context = (place - start).to_bytes(2, "little") + context
                     mine, before = (owner, name, start), held.get(context)
                     if before is None:
                         held[context], bucket_of[context] = mine, bucket
@@ -408,7 +443,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                         # all windows of the later of two equal contexts are repeats
                         later = max(before, mine)
                         held[context] = min(before, mine)
-                        marks.append((later[0], later[1], later[2], later[2] + len(context)))
+                        marks.append((*later, later[2] + len(context) - 2))
                 if len(held) + len(marks) > FLUSH:
                     yield from emit()
                     held.clear()
@@ -435,14 +470,16 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 elif before != mine:
                     later = max(before, mine)
                     held[context] = min(before, mine)
-                    out.append((later[:2], later[2], later[2] + size))
+                    out.append((later[:2], later[2], later[2] + size - 2))
+        some = hopeful([c[2:] for c in held], [int.from_bytes(c[:2], "little") for c in held], length)
+        held = {c: h for (c, h), keep in zip(held.items(), some, strict=True) if keep}
         if held:
             names = sorted({h[:2] for h in held.values()})
             number = {name: k for k, name in enumerate(names)}
             ordered = sorted(held.items(), key=lambda x: x[1])
             whose = np.array([number[h[:2]] for _, h in ordered], np.int64)
             start = np.array([h[2] for _, h in ordered], np.int64)
-            found = later_windows([c for c, _ in ordered], whose, start, length)
+            found = later_windows([c[2:] for c, _ in ordered], whose, start, length)
             out += [(names[k], a, z) for k, a, z in zip(*(x.tolist() for x in _spans(*found, length)), strict=True)]
         merged: dict[tuple[int, bytes], list[tuple[int, int]]] = {}
         for name, a, z in out:
