@@ -102,7 +102,7 @@ class RunIndex(NamedTuple):
 
 
 def suffix_order(text: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
-    """Positions of the suffixes of ``length`` bytes and more, by their first ``length`` bytes at least; equal ones in any order.
+    """Positions of the suffixes of ``length`` bytes and more, by at least their first ``length``, then by position.
 
     ``left``: bytes from each position to its string's end, which is a symbol below all bytes.
     Prefix doubling in which only suffixes that still tie, and that a longer one still asks
@@ -115,7 +115,7 @@ def suffix_order(text: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
     for step in range(1, 7):
         packed <<= np.uint64(9)
         packed |= symbols[step : step + n] * (left > step)
-    order = np.argsort(packed)
+    order = np.argsort(packed, kind="stable")
     packed = packed[order]
     head = np.ones(n, bool)
     np.not_equal(packed[1:], packed[:-1], out=head[1:])
@@ -133,7 +133,7 @@ def suffix_order(text: np.ndarray, left: np.ndarray, length: int) -> np.ndarray:
             break
         after = np.where(left[place] > size, rank[np.minimum(place + size, n - 1)] + 1, 0)
         keys = rank[place] << 32 | after
-        by = np.argsort(keys)
+        by = np.argsort(keys, kind="stable")
         keys, place = keys[by], place[by]
         order[slots] = place
         head = np.ones(len(slots), bool)
