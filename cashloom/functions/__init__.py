@@ -1,6 +1,6 @@
 """Column expressions: every function takes and returns Spark columns."""
 
-from .periods import after, closed_before, in_month_of, month_end, month_start
+from .periods import after, closed_before, in_month_of, month_end, month_start, since
 from .taxid import check_digits, complete_tax_id, is_valid_tax_id, strip_punctuation
 from .text import fill_default, normalize_term, trim_cast
 from .amounts import deviation_percent, instalment_value, within_percent
@@ -18,6 +18,7 @@ __all__ = [
     "month_end",
     "month_start",
     "normalize_term",
+    "since",
     "strip_punctuation",
     "trim_cast",
     "within_percent",

@@ -8,7 +8,7 @@ existing ledger built that way.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from typing import Literal
 
 from pyspark.sql import Column
@@ -47,13 +47,26 @@ def closed_before(
     return earlier & (F.year(day) <= reference.year)
 
 
+FIRST_DAY = "0001-01-01"
+"""The open day where nothing was closed yet."""
+
+
 def after(column: Column | str, last_close: date | Column | None) -> Column:
-    """Dates after the last close; all dates where nothing was closed yet."""
+    """Dates and moments after the day of the last close; all where nothing was closed yet.
+
+    A moment on the closing day belongs to the closed period. To bound a scan by a table's last
+    close, use :func:`since` with a sub-query that already gives the first open day.
+    """
     if last_close is None:
         return F.lit(True)
     if isinstance(last_close, date):
-        return _col(column) > F.lit(last_close)
-    return _col(column) > F.coalesce(last_close, F.lit("0001-01-01").cast("date"))
+        return since(column, F.lit(last_close + timedelta(days=1)))
+    return since(column, F.coalesce(F.date_add(last_close, 1), F.lit(FIRST_DAY).cast("date")))
+
+
+def since(column: Column | str, first_open: Column) -> Column:
+    """Dates and moments from the first open day on, by the bare column, so that the bound reaches the scan."""
+    return _col(column) >= first_open
 
 
 def in_month_of(column: Column | str, reference: date) -> Column:

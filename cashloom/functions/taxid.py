@@ -47,7 +47,7 @@ def check_digits(base: Column | str) -> Column:
     """The two check digits of a 12-digit base, as text; NULL where the base is anything else."""
     base = _col(base)
     digits = F.lpad(check_number(base.try_cast("long")).cast("string"), 2, "0")
-    return F.when(base.rlike("^[0-9]{12}$"), digits)
+    return F.when(base.rlike(r"^[0-9]{12}\z"), digits)
 
 
 def complete_tax_id(base: Column | str) -> Column:
@@ -58,15 +58,15 @@ def complete_tax_id(base: Column | str) -> Column:
 def is_valid_tax_id(tax_id: Column | str, *, strict: bool = False) -> Column:
     """True for 14 digits with matching check digits; NULL and any other text are false.
 
-    All zeros satisfy the arithmetic. ``strict`` also rejects one digit repeated 14 times.
+    A line break behind the digits makes it another text. All zeros satisfy the arithmetic. ``strict`` also rejects one digit repeated 14 times.
     """
     digits = strip_punctuation(tax_id)
     # longer digit strings are not numbers of this kind; cutting them keeps the arithmetic in range
     number = F.substring(digits, 1, 14).try_cast("long")
     # the arithmetic comes first because only what is always evaluated is computed once per row
-    valid = (number % 100 == check_number(F.call_function("div", number, F.lit(100).cast("long")))) & digits.rlike("^[0-9]{14}$")
+    valid = (number % 100 == check_number(F.call_function("div", number, F.lit(100).cast("long")))) & digits.rlike(r"^[0-9]{14}\z")
     if strict:
-        valid = valid & ~digits.rlike(r"^([0-9])\1{13}$")
+        valid = valid & ~digits.rlike(r"^([0-9])\1{13}\z")
     return F.coalesce(valid, F.lit(False))
 
 

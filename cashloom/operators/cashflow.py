@@ -7,9 +7,10 @@ from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ..functions.amounts import MONEY
-from ..functions.periods import month_end
+from ..functions.periods import FIRST_DAY, month_end
 
 
 def daily_sum(df: DataFrame, day: str, amount: str, total: str) -> DataFrame:
@@ -93,6 +94,16 @@ def latest_row(df: DataFrame, order: str, *values: str) -> DataFrame:
     return df.agg(*[F.max_by(v, order).alias(v) for v in values])
 
 
+def first_open_day(history: DataFrame, order: str, closed: str, kind: DataType | str = "date") -> DataFrame:
+    """One row with the day after the last close as ``kind``, the type of the column it bounds.
+
+    Default and cast are inside the row, so that comparing a bare column with its scalar
+    becomes a pushed filter.
+    """
+    last = F.max_by(closed, order)
+    return history.agg(F.coalesce(F.date_add(last, 1), F.lit(FIRST_DAY).cast("date")).cast(kind).alias("first_open"))
+
+
 def audit_columns(df: DataFrame, day: str | None, *, processed_at: datetime | date | None = None) -> DataFrame:
     """Add month-end closing date (from ``day``, where given) and processing time."""
     stamp = F.current_timestamp() if processed_at is None else F.lit(processed_at)

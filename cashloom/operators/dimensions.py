@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,21 +52,38 @@ def new_members(candidates: DataFrame, members: DataFrame, key: str | Sequence[s
 
 
 def changed_members(
-    candidates: DataFrame, members: DataFrame, key: str | Sequence[str], attributes: Sequence[str]
+    candidates: DataFrame,
+    members: DataFrame,
+    key: str | Sequence[str],
+    attributes: Sequence[str],
+    *,
+    keep_known: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Candidates, one row per key, known under their key with another value in some attribute.
 
-    NULL counts as a value: NULL against text is a change, NULL against NULL is none.
+    NULL counts as a value: NULL against text is a change, NULL against NULL is none. With
+    ``keep_known``, which maps attributes to their defaults, a missing or default value stands
+    for what is known, so that it neither counts as a change nor erases anything.
     """
     keys = [key] if isinstance(key, str) else list(key)
     known = members.select(*keys, F.struct(*attributes).alias("__now"))
     offered = candidates.select(*keys, F.struct(*attributes).alias("__offer"))
+
+    def offer(name: str) -> Column:
+        new, now = F.col(f"__offer.{name}"), F.col(f"__now.{name}")
+        if keep_known is None:
+            return new
+        missing = new.isNull()
+        if name in keep_known:
+            missing = missing | (new == F.lit(keep_known[name]))
+        return F.when(missing & now.isNotNull(), now).otherwise(new)
+
     differs = F.lit(False)
     for name in attributes:
-        differs = differs | ~F.col(f"__now.{name}").eqNullSafe(F.col(f"__offer.{name}"))
+        differs = differs | ~F.col(f"__now.{name}").eqNullSafe(offer(name))
     # members are the left side: they may hold a key more than once, the candidates may not
     changed = spread_join(known, offered, keys).where(differs)
-    return changed.select(*keys, *[F.col(f"__offer.{a}").alias(a) for a in attributes]).distinct()
+    return changed.select(*keys, *[offer(a).alias(a) for a in attributes]).distinct()
 
 
 def new_addresses(candidates: DataFrame, addresses: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -75,10 +92,15 @@ def new_addresses(candidates: DataFrame, addresses: DataFrame, keys: Sequence[st
 
 
 def changed_addresses(
-    candidates: DataFrame, addresses: DataFrame, keys: Sequence[str], attributes: Sequence[str]
+    candidates: DataFrame,
+    addresses: DataFrame,
+    keys: Sequence[str],
+    attributes: Sequence[str],
+    *,
+    keep_known: Mapping[str, object] | None = None,
 ) -> DataFrame:
     """Candidate addresses whose (party, postal code) is known with another type, number or complement."""
-    return changed_members(candidates, addresses, keys, attributes)
+    return changed_members(candidates, addresses, keys, attributes, keep_known=keep_known)
 
 
 def resolve_party_address(
@@ -117,20 +139,15 @@ def merge_upsert(
     """The next version of ``target``: ``columns`` taken from ``changes`` where the key matches.
 
     ``changes`` must hold one row per key. With ``insert``, unmatched changes are added;
-    target columns they do not have become NULL. Write the result to a new place: it reads
-    ``target``.
+    target columns they do not have become NULL. A target of versions may repeat a key as often
+    as it has versions of it. Write the result to a new place: it reads ``target``.
     """
     marked = changes.select(*keys, F.struct(*columns).alias("__new"), F.lit(True).alias("__hit"))
-    joined = spread_join(target, marked, keys, "left")
-    updated = joined.select(
+    # either side is read once: the outer join keeps target rows and brings in unmatched changes
+    joined = target.join(marked, list(keys), "full") if insert else spread_join(target, marked, keys, "left")
+    return joined.select(
         *[F.when(F.col("__hit"), F.col(f"__new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns]
     )
-    if not insert:
-        return updated
-    # only target keys that occur in the changes go on, so few changes never move the whole target
-    known = target.select(*keys).join(changes.select(*keys), list(keys), "left_semi").distinct()
-    added = changes.join(known, list(keys), "left_anti").select(*keys, *columns)
-    return updated.unionByName(added, allowMissingColumns=True).select(*target.columns)
 
 
 def assign_surrogate_keys(
@@ -140,9 +157,11 @@ def assign_surrogate_keys(
 
     ``start_after`` is the last id in use, or the table (with ``id_column``) to take it
     from. ``rows`` must hold one row per key. Rows are numbered inside 16**``spread``
-    groups by key digest, in key order, and each group starts where the groups before it
+    groups (``spread`` from 1 to 4) by key digest, in key order, and each group starts where the groups before it
     end. The ids depend on the data alone, so a task that is run again assigns the same ones.
     """
+    if not 1 <= spread <= 4:
+        raise ValueError("spread must lie between 1 and 4: the groups' sizes are broadcast")
     keys = [key] if isinstance(key, str) else list(key)
     digest = F.md5(F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys]))
     grouped = rows.withColumn("__group", F.substring(digest, 1, spread))

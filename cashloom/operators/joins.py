@@ -31,10 +31,12 @@ _BUCKET, _ROWS, _SLICES, _SLICE = "__bucket", "__rows", "__slices", "__slice"
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` stays within ``rows`` rows and ``BROADCAST_TEXT`` bytes of text.
+    """Whether ``df`` stays within ``rows`` rows and ``BROADCAST_TEXT`` bytes of text; never with nested columns.
 
     Runs one counting job; meant for dimension tables.
     """
+    if any(f.dataType.typeName() in ("array", "map", "struct", "variant") for f in df.schema):
+        return False  # how large such values are cannot be told from their rows
     text = [f.name for f in df.schema if f.dataType.typeName() in ("string", "binary")]
     size = F.lit(0).cast("long")
     for name in text:
@@ -70,7 +72,8 @@ def spread_join(
     a key that is hot on both sides they stay a small part of the join's own output.
 
     The counting reads the key columns of ``left`` once more. The slice of a row depends on
-    its input partition only, so a task that is run again deals its rows the same way.
+    its input partition and its other columns only, so a task that is run again deals its rows
+    the same way, also where the input is already placed by the key.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
@@ -90,10 +93,12 @@ def spread_join(
         histogram.select(_BUCKET, F.ceil(F.col(_ROWS) / allowance).cast("int").alias(_SLICES)).where(F.col(_SLICES) > 1)
     )
 
+    rest = [F.col(f.name) for f in left.schema if f.name not in on and f.dataType.typeName() not in ("array", "binary", "map", "struct", "variant")]
+    number = F.spark_partition_id() + (F.pmod(F.xxhash64(*rest), F.lit(buckets)).cast("int") if rest else F.lit(0))
     dealt = (
         left.withColumn(_BUCKET, bucket)
         .join(hot, _BUCKET, "left")
-        .withColumn(_SLICE, F.coalesce(F.pmod(F.spark_partition_id(), F.col(_SLICES)), F.lit(0)))
+        .withColumn(_SLICE, F.when(F.col(_SLICES).isNull(), F.lit(0)).otherwise(F.pmod(number, F.col(_SLICES))))
         .drop(_BUCKET, _SLICES)
     )
     repeated = (

@@ -70,24 +70,25 @@ def clean_with_rejects(df: DataFrame, *, reason: str = "MOTIVO") -> Split:
     """
     trimmed = df.select(*[F.trim(F.col(c).cast("string")).alias(c) for c in df.columns])
     complete = drop_null_rows(trimmed)
-    with_null = trimmed.where(~_complete(df.columns)).withColumn(reason, F.lit("Dado Nulo"))
+    full = _complete(df.columns)
 
     # Copies are counted per input partition first, so a row repeated all over the table
-    # reaches the window as one counted row per partition.
+    # reaches the window as one counted row per partition. One pass finds all rejects: of a
+    # row with a NULL every copy, of any other all but one.
     counted = (
-        complete.withColumn("__part", F.spark_partition_id())
+        trimmed.withColumn("__part", F.spark_partition_id())
         .groupBy(*df.columns, "__part")
         .agg(F.count(F.lit(1)).alias("__copies"))
     )
     order = Window.partitionBy(*df.columns).orderBy("__part")
-    surplus = F.col("__copies") - F.when(F.row_number().over(order) == 1, 1).otherwise(0)
-    repeated = (
+    surplus = F.col("__copies") - F.when(full & (F.row_number().over(order) == 1), 1).otherwise(0)
+    rejected = (
         counted.withColumn("__surplus", surplus.cast("int"))
         .where(F.col("__surplus") > 0)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__surplus"))))
-        .select(*df.columns, F.lit("Dado Repetido").alias(reason))
+        .select(*df.columns, F.when(full, "Dado Repetido").otherwise("Dado Nulo").alias(reason))
     )
-    return Split(complete.distinct(), with_null.unionByName(repeated))
+    return Split(complete.distinct(), rejected)
 
 
 def _complete(columns: Sequence[str]) -> Column:

@@ -9,8 +9,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.periods import PeriodMode, after, closed_before, in_month_of, previous_month
-from ..operators.cashflow import audit_columns, latest_row, merge_flows_daily, merge_flows_monthly, running_balance
+from ..functions.periods import PeriodMode, closed_before, in_month_of, previous_month, since
+from ..operators.cashflow import audit_columns, first_open_day, latest_row, merge_flows_daily, merge_flows_monthly, running_balance
 from ..operators.parameters import encode_parameters, parameter_value, parse_parameters
 
 RECEIVED = ("DATA_RECEBIDO", "VALOR_PAGO")
@@ -72,6 +72,16 @@ def _both(receipts: DataFrame, payments: DataFrame, predicate) -> tuple[DataFram
     return receipts.where(predicate(RECEIVED[0])), payments.where(predicate(PAID[0]))
 
 
+def _open(receipts: DataFrame, payments: DataFrame, daily_history: DataFrame, predicate) -> tuple[DataFrame, DataFrame]:
+    """Both flows from the first day that the history has not closed, where ``predicate`` holds."""
+
+    def bounded(flow: DataFrame, day: str) -> DataFrame:
+        first = first_open_day(daily_history, "DATA", "DATA_FECHAMENTO", flow.schema[day].dataType)
+        return flow.where(predicate(day) & since(day, first.scalar()))
+
+    return bounded(receipts, RECEIVED[0]), bounded(payments, PAID[0])
+
+
 def cashflow_initial(
     receipts: DataFrame,
     payments: DataFrame,
@@ -111,9 +121,8 @@ def cashflow_close(
 
     Appending the result and running again yields nothing until another month has closed.
     """
-    last_close = latest_row(daily_history, "DATA", "DATA_FECHAMENTO").scalar()
     gate = F.lit(state.status == 1 and state.past_cutoff)
-    flows = _both(receipts, payments, lambda d: gate & after(d, last_close) & closed_before(d, state.today, mode))
+    flows = _open(receipts, payments, daily_history, lambda d: gate & closed_before(d, state.today, mode))
     return Cashflow(
         daily_flow(*flows, opening=latest_row(daily_history, "DATA", "ACUMULADO_DIARIO").scalar(), processed_at=processed_at),
         monthly_flow(
@@ -143,10 +152,9 @@ def cashflow_current_month(
     gate = F.lit(state.status == 1)
     opening = latest_row(daily_history, "DATA", "ACUMULADO_DIARIO").scalar()
     if through_unclosed:
-        last_close = latest_row(daily_history, "DATA", "DATA_FECHAMENTO").scalar()
         closed = latest_row(monthly_history, "DATA_FECHAMENTO", "VALOR_ACUMULADO_MES").scalar()
-        unclosed = _both(
-            receipts, payments, lambda d: gate & after(d, last_close) & closed_before(d, state.today, mode, year_test="same")
+        unclosed = _open(
+            receipts, payments, daily_history, lambda d: gate & closed_before(d, state.today, mode, year_test="same")
         )
         months = monthly_flow(*unclosed, opening=closed, processed_at=processed_at)
         opening = F.coalesce(latest_row(months, "DATA_FECHAMENTO", "VALOR_ACUMULADO_MES").scalar(), closed)

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_valid_tax_id, normalize_term
+from ..functions import is_valid_tax_id, normalize_term, strip_punctuation
 from ..operators.dimensions import (
     assign_surrogate_keys,
     build_invoice_fact,
@@ -57,6 +57,9 @@ def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame
     # The tax id is judged right after the join, where its parts are computed once per row;
     # on top of the aggregation or inside the rules they would be repeated for each use.
     named = fresh.withColumn(layout.name, F.upper(layout.name)).withColumn("CNPJ_VALIDO", is_valid_tax_id(layout.tax_id))
+    # a company is one party however its id was typed; what is not valid stays as it came
+    bare = F.when(F.col("CNPJ_VALIDO"), strip_punctuation(layout.tax_id)).otherwise(F.col(layout.tax_id))
+    named = named.withColumn(layout.tax_id, bare)
     # the rules never look at a defaulted column, so copies can go before they are judged
     distinct = fill_defaults(named, defaults).distinct()
     flagged = domain_membership(distinct, postal_codes, "CEP", "CEP_VALIDO")
@@ -71,20 +74,26 @@ def _ingest(
     addresses: DataFrame,
     address_types: DataFrame,
     terms: DataFrame,
+    stage: Callable[[DataFrame], DataFrame],
+    keep_known: bool,
 ) -> Ingest:
+    parties = parties.withColumn(layout.tax_id, strip_punctuation(layout.tax_id))
     accepted, rejected = split_valid_rejected(validated, reason="MOTIVO", flags=("CNPJ_VALIDO", "CEP_VALIDO"))
     recency = ("DATA_PROCESSAMENTO", "NUMERO_NF")
-    offered = latest_per_key(
-        accepted, [layout.tax_id], layout.party_attributes, recency, defaults={layout.email: DEFAULT_TEXT}
+    # one row per party of the feed; five outputs read it, and the ids are fixed before sinks run
+    offered = stage(
+        latest_per_key(accepted, [layout.tax_id], layout.party_attributes, recency, defaults={layout.email: DEFAULT_TEXT})
     )
-    entering = assign_surrogate_keys(
-        new_members(offered, parties, layout.tax_id), layout.tax_id, layout.party_id, start_after=parties
+    entering = stage(
+        assign_surrogate_keys(
+            new_members(offered, parties, layout.tax_id), layout.tax_id, layout.party_id, start_after=parties
+        )
     )
     # the parties of this feed only, on the partitioning that both sides already have
     known_ids = one_id_per_key(parties, layout.tax_id, layout.party_id).join(
         offered.select(layout.tax_id), layout.tax_id, "left_semi"
     )
-    party_ids = known_ids.unionByName(entering.select(layout.tax_id, layout.party_id))
+    party_ids = stage(known_ids.unionByName(entering.select(layout.tax_id, layout.party_id)))
 
     type_ids = one_id_per_key(
         address_types.select(F.upper("DESCRICAO").alias("TIPO_ENDERECO"), "ID_TIPO_ENDERECO"), "TIPO_ENDERECO", "ID_TIPO_ENDERECO"
@@ -113,9 +122,14 @@ def _ingest(
         rejected=rejected,
         processed_log=accepted.select(*layout.log_columns),
         new_parties=entering,
-        changed_parties=changed_members(offered, parties, layout.tax_id, layout.party_attributes),
+        changed_parties=changed_members(
+            offered, parties, layout.tax_id, layout.party_attributes, keep_known={layout.email: DEFAULT_TEXT} if keep_known else None
+        ),
         new_addresses=new_addresses(located, addresses, address_key),
-        changed_addresses=changed_addresses(located, addresses, address_key, ADDRESS_COLUMNS),
+        changed_addresses=changed_addresses(
+            located, addresses, address_key, ADDRESS_COLUMNS,
+            keep_known={"NUMERO": DEFAULT_NUMBER, "COMPLEMENTO": DEFAULT_TEXT} if keep_known else None,
+        ),
         invoices=invoices,
     )
 
@@ -130,15 +144,18 @@ def purchases_ingest(
     address_types: DataFrame,
     terms: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = shared_copy,
+    keep_known: bool = False,
 ) -> Ingest:
     """Ingest a purchase feed of text columns.
 
-    ``stage`` makes the validated feed available to the eight outputs; the default writes it
-    once as a table in the shared checkpoint folder.
+    ``stage`` makes the typed feed, the validated feed and the feed's parties available to the
+    outputs that read them; the default writes each once as a table in the shared checkpoint
+    folder, a :class:`~cashloom.sources.staging.Staging` also takes them away again. With
+    ``keep_known``, a missing or default value never replaces a known one.
     """
-    typed = trim_cast_columns(feed, FEED_CASTS).withColumn("TIPO_ENDERECO", F.upper("TIPO_ENDERECO"))
+    typed = stage(trim_cast_columns(feed, FEED_CASTS).withColumn("TIPO_ENDERECO", F.upper("TIPO_ENDERECO")))
     validated = stage(validate_feed(typed, processed, postal_codes, PURCHASES))
-    result = _ingest(validated, PURCHASES, parties, addresses, address_types, terms)
+    result = _ingest(validated, PURCHASES, parties, addresses, address_types, terms, stage, keep_known)
     # rejects are kept with a numeric postal code
     return result._replace(rejected=result.rejected.withColumn("CEP", F.col("CEP").try_cast("int")))
 
@@ -153,8 +170,9 @@ def sales_ingest(
     address_types: DataFrame,
     terms: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = shared_copy,
+    keep_known: bool = False,
 ) -> Ingest:
     """Ingest a sales feed already typed by its scan; only the invoice number is still text."""
-    typed = feed.withColumn("NUMERO_NF", F.col("NUMERO_NF").try_cast("int"))
+    typed = stage(feed.withColumn("NUMERO_NF", F.col("NUMERO_NF").try_cast("int")))
     validated = stage(validate_feed(typed, processed, postal_codes, SALES))
-    return _ingest(validated, SALES, parties, addresses, address_types, terms)
+    return _ingest(validated, SALES, parties, addresses, address_types, terms, stage, keep_known)

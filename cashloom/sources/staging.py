@@ -1,4 +1,4 @@
-"""One shared working copy of a frame that several outputs read."""
+"""Shared working copies of frames that several outputs read."""
 
 from __future__ import annotations
 
@@ -8,27 +8,59 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_copy(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, write it as a table in the shared checkpoint folder and read that.
+class Staging:
+    """Working copies below one folder, released together.
 
-    Lost executors then cost no recomputation, tables read on the way may change afterwards,
-    and each reader takes only the columns it needs. The copy stays until the folder is
-    cleared, as checkpoints do.
+    A copy is a table in a folder that all executors share: lost executors cost no
+    recomputation, tables read on the way may change afterwards, and each reader takes only the
+    columns it needs. The caller releases the copies once the outputs that read them are written::
+
+        with Staging(spark) as stage:
+            result = purchases_ingest(feed, ..., stage=stage)
+            ...  # write the outputs
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/copy-{uuid4()}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.folder = folder or shared_folder(spark)
+        self.paths: list[str] = []
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/copy-{uuid4()}"
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        """Delete the copies made so far; frames that read them can no longer be computed."""
+        context = self.spark.sparkContext
+        for path in self.paths:
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.clear()
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.release()
+
+
+def shared_copy(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """One working copy that stays until its folder is cleared, as checkpoints do; see :class:`Staging`."""
+    return Staging(df.sparkSession, folder)(df)
+
+
+_local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names for checkpoints; a local session without one gets a temporary one."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="cashloom-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+        if not _local:
+            _local.append(tempfile.mkdtemp(prefix="cashloom-"))
+        folder = _local[0]
     return folder

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from workload.queries import ORACLES, QUERIES
 from workload.check import connect, difference
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,10 +14,10 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, plan, name):
-    df = driver.queries()[name](spark, FOLDER)
-    assert difference(df, duck, driver.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, FOLDER)
+    assert difference(df, duck, ORACLES[name]) is None
     text = plan(df)
     for slow in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert slow not in text
@@ -57,5 +58,5 @@ def test_same_answer_with_sliced_keys_and_no_small_side(spark, duck, monkeypatch
     monkeypatch.setitem(joins.spread_join.__kwdefaults__, "buckets", 256)
     for module in (joins, quality, settlement):
         monkeypatch.setattr(module, "fits_broadcast", lambda df, rows=0: False)
-    df = driver.queries()[name](spark, FOLDER)
-    assert difference(df, duck, driver.oracle_sql()[name]) is None
+    df = QUERIES[name](spark, FOLDER)
+    assert difference(df, duck, ORACLES[name]) is None

@@ -16,6 +16,7 @@ TODAY = date(2000, 6, 15)
 FIRST_RUN = date(2000, 1, 15)
 STAMP = date(2000, 6, 15)
 
+# fixed values: the address types and the terms as feeds write them
 ADDRESS_TYPES = ["COBRANCA", "ENTREGA", "FATURAMENTO"]
 RAW_TERMS = ["a vista", "30 dias", "60 dias", "noventa dias", "Entrada/30 dias", "30/60/90 dias", "Entrada/30/60 dias"]
 
@@ -30,22 +31,16 @@ class Frames:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def rows_for_cores(self, name: str) -> DataFrame:
-        """A table whose rows get heavy expressions; dealt over the cores when it comes in too few splits."""
-        table = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
-
     # -- cash movements ------------------------------------------------------------------
 
     def receipts_posted(self) -> DataFrame:
         return self.table("orders").select(
-            F.col("o_orderdate").alias("DATA_RECEBIDO"), money("o_totalprice").alias("VALOR_PAGO")
+            at_hour("o_orderdate", F.col("o_orderkey") % 24).alias("DATA_RECEBIDO"), money("o_totalprice").alias("VALOR_PAGO")
         )
 
     def payments_posted(self) -> DataFrame:
         return self.table("lineitem").select(
-            F.col("l_shipdate").alias("DATA_PGT_EFETUADO"), money("l_extendedprice").alias("VALOR_PARCELA_PAGO")
+            at_hour("l_shipdate", F.col("l_orderkey") % 24).alias("DATA_PGT_EFETUADO"), money("l_extendedprice").alias("VALOR_PARCELA_PAGO")
         )
 
     # -- invoices and schedules ----------------------------------------------------------
@@ -144,9 +139,9 @@ class Frames:
         none = F.lit(None).cast("string")
         value = money("l_extendedprice").cast("string")
         shipped = F.to_date("l_shipdate")
-        return self.rows_for_cores("lineitem").select(
+        return self.table("lineitem").select(
             broken(23, none, F.concat(F.lit("Supplier "), supplier.cast("string"))).alias("NOME_FORNECEDOR"),
-            tax_id(supplier, wrong=order % 29 == 0).alias("CNPJ_FORNECEDOR"),
+            typed_tax_id(supplier, order).alias("CNPJ_FORNECEDOR"),
             F.when(order % 5 == 0, none).otherwise(F.concat(F.lit("s"), supplier.cast("string"), F.lit("@mail.test"))).alias("EMAIL_FORNECEDOR"),
             F.concat(F.lit("55-"), supplier.cast("string")).alias("TELEFONE_FORNECEDOR"),
             broken(31, F.lit("abc"), F.concat(F.lit(" "), order.cast("string"), F.lit(" "))).alias("NUMERO_NF"),
@@ -186,9 +181,9 @@ class Frames:
 
         issued = F.to_date("o_orderdate")
         total = money("o_totalprice")
-        return self.rows_for_cores("orders").select(
+        return self.table("orders").select(
             broken(23, "string", F.concat(F.lit("Customer "), customer.cast("string"))).alias("NOME"),
-            tax_id(customer, wrong=order % 29 == 0).alias("CNPJ"),
+            typed_tax_id(customer, order).alias("CNPJ"),
             broken(5, "string", F.concat(F.lit("c"), customer.cast("string"), F.lit("@mail.test"))).alias("EMAIL"),
             F.concat(F.lit("55-"), customer.cast("string")).alias("TELEFONE"),
             F.when(order % 31 == 0, F.lit("abc")).otherwise(F.lpad(order.cast("string"), 9, "0")).alias("NUMERO_NF"),
@@ -298,6 +293,24 @@ def tax_id(key: Column, *, wrong: Column | None = None) -> Column:
     return F.lpad((base * 100 + check).cast("string"), 14, "0")
 
 
+def dotted(tax: Column) -> Column:
+    """A tax id with the punctuation people type."""
+    return F.concat(
+        F.substring(tax, 1, 2), F.lit("."), F.substring(tax, 3, 6), F.lit("/"), F.substring(tax, 9, 4), F.lit("-"), F.substring(tax, 13, 2)
+    )
+
+
+def typed_tax_id(key: Column, order: Column) -> Column:
+    """A party's tax id as feeds have it: plain, dotted, with a line break behind it, or wrong."""
+    tax = tax_id(key, wrong=order % 29 == 0)
+    return F.when(order % 71 == 0, F.concat(tax, F.lit("\n"))).when(order % 13 == 0, dotted(tax)).otherwise(tax)
+
+
+def at_hour(day: str, hour: Column) -> Column:
+    """A moment of the day."""
+    return F.col(day).cast("timestamp") + F.make_dt_interval(F.lit(0), hour.cast("int"))
+
+
 def raw_term(key: Column) -> Column:
     return pick(RAW_TERMS, key % len(RAW_TERMS))
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType
 
 from cashloom import presets
-from cashloom.functions import after, closed_before, complete_tax_id, in_month_of, is_valid_tax_id, normalize_term
+from cashloom.functions import closed_before, complete_tax_id, in_month_of, is_valid_tax_id, normalize_term, since
 from cashloom.operators import cashflow as cash
 from cashloom.operators import dimensions as dims
 from cashloom.operators import parameters as params
@@ -25,7 +25,7 @@ from cashloom.sources.schemas import MONEY, required
 from cashloom.sources.staging import shared_folder
 
 from . import sql
-from .frames import FIRST_RUN, STAMP, TODAY, Frames, tax_id
+from .frames import FIRST_RUN, STAMP, TODAY, Frames, dotted, tax_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,26 +123,23 @@ def p6(f: Frames) -> DataFrame:
     return accepted.unionByName(parts.rejected.select(*key, "MOTIVO", F.lit("rejected").alias("side")))
 
 
-TAX_TEXT = """
-    SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN x.good WHEN 1 THEN x.off WHEN 2 THEN substr(x.good, 2)
-             WHEN 3 THEN substr(x.good, 1, 2) || '.' || substr(x.good, 3, 6) || '/' || substr(x.good, 9, 4) || '-' || substr(x.good, 13, 2)
-             WHEN 4 THEN 'A' || substr(x.good, 2) END AS tax_text
+TAX_TEXT = f"""
+    SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN x.good WHEN 1 THEN x.off WHEN 2 THEN substr(x.good, 2)
+             WHEN 3 THEN {sql.dotted("x.good")} WHEN 4 THEN 'A' || substr(x.good, 2) WHEN 5 THEN x.good || chr(10) END AS tax_text
     FROM orders JOIN customer_tax x ON x.k = o_custkey"""
 
 
 @query("p7_tax_id_valid", f"SELECT o_orderkey, tax_text, {sql.valid_tax_id('tax_text')} AS valid FROM ({TAX_TEXT})")
 def p7(f: Frames) -> DataFrame:
-    key = F.col("o_orderkey") % 6
+    key = F.col("o_orderkey") % 7
     good, off = F.col("good"), F.col("off")
-    dotted = F.concat(
-        F.substring(good, 1, 2), F.lit("."), F.substring(good, 3, 6), F.lit("/"), F.substring(good, 9, 4), F.lit("-"), F.substring(good, 13, 2)
-    )
     text = (
         F.when(key == 0, good)
         .when(key == 1, off)
         .when(key == 2, F.substring(good, 2, 13))
-        .when(key == 3, dotted)
+        .when(key == 3, dotted(good))
         .when(key == 4, F.concat(F.lit("A"), F.substring(good, 2, 13)))
+        .when(key == 5, F.concat(good, F.lit("\n")))
     )
     ids = f.table("orders").select(
         "o_orderkey", tax_id(F.col("o_custkey")).alias("good"), tax_id(F.col("o_custkey"), wrong=F.lit(True)).alias("off")
@@ -243,9 +240,9 @@ def p17_month_number(f: Frames) -> DataFrame:
 )
 def p18(f: Frames) -> DataFrame:
     closed = f.table("lineitem").where(F.col("l_shipdate") < F.lit(date(2000, 1, 1)))
-    last_close = closed.agg(F.last_day(F.to_date(F.max("l_shipdate"))).alias("d")).scalar()
-    day = F.to_date("o_orderdate")
-    return order_days(f, closed_before("o_orderdate", TODAY) & after(day, last_close))
+    closings = closed.agg(F.max("l_shipdate").alias("day")).select("day", F.last_day(F.to_date("day")).alias("closed"))
+    first_open = cash.first_open_day(closings, "day", "closed", f.table("orders").schema["o_orderdate"].dataType)
+    return order_days(f, closed_before("o_orderdate", TODAY) & since("o_orderdate", first_open.scalar()))
 
 
 @query("p19_current_month_filter", ORDER_DAYS + "o_orderdate >= DATE '2000-06-01' AND o_orderdate < DATE '2000-07-01'")
@@ -310,14 +307,14 @@ def buyers(f: Frames) -> DataFrame:
     )
 
 
-BUYERS = """
+BUYERS = f"""
     SELECT tax, name, email, phone FROM (
       SELECT CNPJ AS tax, upper_name AS name, EMAIL AS email, TELEFONE AS phone,
              row_number() OVER (PARTITION BY CNPJ ORDER BY DATA_PROCESSAMENTO DESC, nf_text DESC,
                  (CASE WHEN upper_name IS NULL THEN 0 ELSE 1 END + CASE WHEN EMAIL IS NULL THEN 0 ELSE 1 END) DESC) AS rn
       FROM (SELECT *, NOME AS upper_name, CASE WHEN o % 31 = 0 THEN 'abc' ELSE lpad(CAST(o AS VARCHAR), 9, '0') END AS nf_text FROM (
         SELECT CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE 'Customer ' || CAST(o_custkey AS VARCHAR) END AS NOME, o_orderkey AS o,
-               CASE WHEN o_orderkey % 29 = 0 THEN x.off ELSE x.good END AS CNPJ,
+               {sql.typed_tax_id("o_orderkey")} AS CNPJ,
                CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'c' || CAST(o_custkey AS VARCHAR) || '@mail.test' END AS EMAIL,
                '55-' || CAST(o_custkey AS VARCHAR) AS TELEFONE, CAST(o_orderdate AS DATE) + 1 AS DATA_PROCESSAMENTO
         FROM orders JOIN customer_tax x ON x.k = o_custkey))) WHERE rn = 1"""
@@ -661,7 +658,7 @@ def s15(f: Frames) -> DataFrame:
 # -- jobs ---------------------------------------------------------------------------------
 
 
-def purchases(f: Frames) -> ingest.Ingest:
+def purchases(f: Frames, **options) -> ingest.Ingest:
     return ingest.purchases_ingest(
         f.purchase_feed(),
         processed=f.purchases_log(),
@@ -670,10 +667,11 @@ def purchases(f: Frames) -> ingest.Ingest:
         addresses=f.supplier_addresses(),
         address_types=f.address_types(),
         terms=f.terms(),
+        **options,
     )
 
 
-def sales(f: Frames) -> ingest.Ingest:
+def sales(f: Frames, **options) -> ingest.Ingest:
     return ingest.sales_ingest(
         f.sales_feed(),
         processed=f.sales_log(),
@@ -682,6 +680,7 @@ def sales(f: Frames) -> ingest.Ingest:
         addresses=f.customer_addresses(),
         address_types=f.address_types(),
         terms=f.terms(),
+        **options,
     )
 
 

@@ -40,6 +40,20 @@ def tax_ids(table: str, key: str) -> str:
               SELECT DISTINCT {key} AS k, lpad(CAST({key} AS VARCHAR), 8, '0') || '0001' AS b FROM {table})))"""
 
 
+def dotted(tax: str) -> str:
+    return f"(substr({tax}, 1, 2) || '.' || substr({tax}, 3, 6) || '/' || substr({tax}, 9, 4) || '-' || substr({tax}, 13, 2))"
+
+
+def typed_tax_id(order: str) -> str:
+    """A party's tax id as the feeds have it, of a row joined to the tax ids ``x``."""
+    tax = f"(CASE WHEN {order} % 29 = 0 THEN x.off ELSE x.good END)"
+    return f"CASE WHEN {order} % 71 = 0 THEN {tax} || chr(10) WHEN {order} % 13 = 0 THEN {dotted(tax)} ELSE {tax} END"
+
+
+def bare_tax_id(text: str) -> str:
+    return f"regexp_replace({text}, '[.,\"''/-]', '', 'g')"
+
+
 def valid_tax_id(text: str) -> str:
     digits = f"regexp_replace({text}, '[.,\"''/-]', '', 'g')"
     first = _check(_dot(digits, FIRST_WEIGHTS))
@@ -100,7 +114,7 @@ def _feed_ctes(side: str, name: str, tax: str, email: str, phone: str, default_e
     return {
         f"{side}_validated": f"""
             SELECT *, {reason("name", "tax_ok", "postal_ok")} AS MOTIVO FROM (
-              SELECT DISTINCT upper({name}) AS name, {tax} AS tax, {mail} AS email, {phone} AS phone,
+              SELECT DISTINCT upper({name}) AS name, CASE WHEN {valid_tax_id(tax)} THEN {bare_tax_id(tax)} ELSE {tax} END AS tax, {mail} AS email, {phone} AS phone,
                      NUMERO_NF, DATA_EMISSAO, VALOR_NET, VALOR_TRIBUTO, VALOR_TOTAL, NOME_ITEM, QTD_ITEM, CONDICAO_PAGAMENTO, CEP,
                      coalesce(NUM_ENDERECO, 0) AS num, coalesce(COMPLEMENTO, 'N/A') AS compl, TIPO_ENDERECO, DATA_PROCESSAMENTO,
                      {valid_tax_id(tax)} AS tax_ok, CEP IN (SELECT CEP FROM postal_codes) AS postal_ok
@@ -167,7 +181,7 @@ CTES: dict[str, str] = {
     "postal_codes": "SELECT CAST(1001000 + n_nationkey AS VARCHAR) AS CEP FROM nation WHERE n_nationkey < 20",
     "purchase_feed": f"""
         SELECT {broken(23, "NULL", "'Supplier ' || CAST(l_suppkey AS VARCHAR)", _ORDER)} AS NOME_FORNECEDOR,
-               CASE WHEN l_orderkey % 29 = 0 THEN x.off ELSE x.good END AS CNPJ_FORNECEDOR,
+               {typed_tax_id("l_orderkey")} AS CNPJ_FORNECEDOR,
                CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE 's' || CAST(l_suppkey AS VARCHAR) || '@mail.test' END AS EMAIL_FORNECEDOR,
                '55-' || CAST(l_suppkey AS VARCHAR) AS TELEFONE_FORNECEDOR,
                {broken(31, "'abc'", "' ' || CAST(l_orderkey AS VARCHAR) || ' '", _ORDER)} AS NUMERO_NF,
@@ -195,7 +209,7 @@ CTES: dict[str, str] = {
     "purchases_log": "SELECT CAST(l_orderkey AS INTEGER) AS NUMERO_NF, CAST(l_shipdate AS DATE) + 1 AS DATA_PROCESSAMENTO FROM lineitem WHERE l_orderkey % 3 = 0",
     "sales_typed": f"""
         SELECT {broken(23, "NULL", "'Customer ' || CAST(o_custkey AS VARCHAR)", "o_orderkey")} AS NOME,
-               CASE WHEN o_orderkey % 29 = 0 THEN x.off ELSE x.good END AS CNPJ,
+               {typed_tax_id("o_orderkey")} AS CNPJ,
                {broken(5, "NULL", "'c' || CAST(o_custkey AS VARCHAR) || '@mail.test'", "o_orderkey")} AS EMAIL,
                '55-' || CAST(o_custkey AS VARCHAR) AS TELEFONE,
                {broken(31, "NULL", "CAST(o_orderkey AS INTEGER)", "o_orderkey")} AS NUMERO_NF,
