@@ -159,31 +159,33 @@ def tile_keys(elements: np.ndarray) -> np.ndarray:
 
 
 def set_table(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and two 64-bit sums that tell sets apart."""
+    """doc_id, n_shingles and set_id: the sum of a set's 64-bit hashes, mixed once more.
+
+    Sets are told apart by this number; among a billion sets, the chance that any two share it
+    is about 3 %.
+    """
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(x.as_py(), words) for x in batch.column(1)]
-            first, second = zip(*map(_sums, sets), strict=True) if sets else ((), ())
-            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "s1", "s2"])
+            columns = [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([_set_id(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_id"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(rows, f"doc_id {kind}, n_shingles long, s1 long, s2 long")
+    return source.mapInArrow(rows, f"doc_id {kind}, n_shingles long, set_id long")
 
 
-def _sums(elements: np.ndarray) -> tuple[int, int]:
-    one = elements.sum(dtype=np.uint64)
-    two = mix(elements ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
-    return int(one.view(np.int64)), int(two.view(np.int64))
+def _set_id(elements: np.ndarray) -> int:
+    return int(mix(elements ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64).view(np.int64))
 
 
-_PACKED = np.dtype([("key", "<u8"), ("owner", "<u4")])
+# 48 bits of a key; its bucket follows from the others
+_PACKED = np.dtype([("low", "<u4"), ("middle", "<u2"), ("owner", "<u4")])
 
 
 def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WORDS) -> DataFrame:
-    """key and s1 (a set's first sum) of all tiles that hold two different sets or more.
+    """key and set_id of all tiles that hold two different sets or more.
 
     A task packs its keys by bucket of the key. Of the sets of a tile that it has itself, one
     goes to the tile's bucket and all go, already known to share it, to buckets of their own,
@@ -193,7 +195,8 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
     def packed(bucket: int, keys: np.ndarray, owners: np.ndarray, shared: bool) -> tuple:
         names, at = np.unique(owners, return_inverse=True)
         block = np.empty(len(keys), _PACKED)
-        block["key"], block["owner"] = keys, at
+        block["low"], block["middle"] = keys & np.uint64(0xFFFFFFFF), keys >> np.uint64(32) & np.uint64(0xFFFF)
+        block["owner"] = at
         return bucket, shared, block.tobytes(), names.tobytes()
 
     def emit(keys: list[np.ndarray], owners: list[int], task: int) -> Iterator[pa.RecordBatch]:
@@ -211,6 +214,7 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         made = []
         one_key, one_owner = key[head], owner[head]
         place = ((one_key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # keys of a bucket that agree in 48 bits only add candidates
         cuts = np.searchsorted(place, np.arange(buckets + 1))
         for b in range(buckets):
             if cuts[b] < cuts[b + 1]:
@@ -234,12 +238,12 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
                 elements = shingle_set(x.as_py(), words)
                 if not len(elements):
                     continue
-                sums = _sums(elements)
-                if sums in seen:
+                name = _set_id(elements)
+                if name in seen:
                     continue
-                seen.add(sums)
+                seen.add(name)
                 keys.append(tile_keys(elements))
-                owners.append(sums[0])
+                owners.append(name)
                 held += len(keys[-1])
                 if held > FLUSH:
                     yield from emit(keys, owners, task)
@@ -250,7 +254,7 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         keys, owners, shared = [], [], []
         for s, block, names in zip(*(table.column(c) for c in ("shared", "block", "names")), strict=True):
             rows = np.frombuffer(block.as_buffer(), _PACKED)
-            keys.append(rows["key"])
+            keys.append(rows["low"].astype(np.int64) | rows["middle"].astype(np.int64) << 32)
             owners.append(np.frombuffer(names.as_buffer(), np.int64)[rows["owner"]])
             shared.append(np.full(len(rows), s.as_py()))
         key, owner, known = np.concatenate(keys), np.concatenate(owners), np.concatenate(shared)
@@ -263,10 +267,10 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         twice[:-1] |= twice[1:]
         out_key.append(key[twice])
         out_owner.append(owner[order][twice])
-        return pa.table({"key": pa.array(np.concatenate(out_key).view(np.int64)), "s1": pa.array(np.concatenate(out_owner))})
+        return pa.table({"key": pa.array(np.concatenate(out_key)), "set_id": pa.array(np.concatenate(out_owner))})
 
     sent = docs.select(F.col(text)).mapInArrow(rows, "bucket int, shared boolean, block binary, names binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "key long, s1 long")
+    return sent.groupBy("bucket").applyInArrow(meet, "key long, set_id long").distinct()
 
 
 def _bitmap(elements: np.ndarray) -> bytes:
@@ -288,105 +292,114 @@ def _possible(na: np.ndarray, nb: np.ndarray, differ: np.ndarray) -> np.ndarray:
     return DENOMINATOR * inside >= NUMERATOR * (na + nb - inside)
 
 
-def candidate_sets(docs: DataFrame, ids: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """rep, n, bits and elements (bytes of sorted 64-bit hashes) of the documents with the given ids."""
-    few = ids.count() <= BROADCAST_IDS
-    wanted = ids.withColumnRenamed("rep", "__rep")
-    source = docs.select(F.col(key).alias("rep"), F.col(text).alias("text")).where("rep is not null")
-    source = source.join(F.broadcast(wanted) if few else wanted, source.rep == wanted["__rep"], "left_semi")
-    kind = source.schema["rep"].dataType.simpleString()
+def candidate_sets(docs: DataFrame, wanted: DataFrame, what: str, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """set_id, n and x of wanted sets; x: their ``bits`` or all ``elements``, sorted 64-bit hashes.
+
+    ``wanted``: set_id, rep (a document that has the set) and rep_rows (rows with that id and
+    set), stored. The documents are read once more rather than keeping all sets.
+    """
+    few = wanted.count() <= BROADCAST_IDS
+    source = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
+    source = source.join(F.broadcast(wanted) if few else wanted, "rep").select("set_id", "rep_rows", "text")
+    make = _bitmap if what == "bits" else np.ndarray.tobytes
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
-                batch = whole.slice(start, 256)
-                sets = [shingle_set(x.as_py(), words) for x in batch.column(1)]
+                names, repeats, sizes, made = [], [], [], []
+                for name, count, x in zip(*whole.slice(start, 256).columns, strict=True):
+                    elements, expected = shingle_set(x.as_py(), words), name.as_py()
+                    # an id may have other texts too
+                    if expected not in seen and _set_id(elements) == expected:
+                        if count.as_py() > 1:
+                            seen.add(expected)
+                        names.append(expected)
+                        repeats.append(count.as_py())
+                        sizes.append(len(elements))
+                        made.append(make(elements))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([_bitmap(s) for s in sets], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    names=["rep", "n", "bits", "elements"],
+                    [pa.array(names, pa.int64()), pa.array(repeats, pa.int64()), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())],
+                    names=["set_id", "rep_rows", "n", "x"],
                 )
 
-    return source.mapInArrow(rows, f"rep {kind}, n long, bits binary, elements binary")
-
-
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: bitmaps first, then exact intersection."""
-
-    def attach(frame: DataFrame, column: str, slice_rows: int) -> DataFrame:
-        for end in ("b", "a"):
-            frame = spread_join(frame, sets.select(F.col("rep").alias(end), F.col("n").alias(f"n{end}"), F.col(column).alias(f"x{end}")), end, slice_rows=slice_rows)
-        return frame
-
-    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            differ = np.zeros(batch.num_rows, np.int64)
-            for k, (x, y) in enumerate(zip(batch.column("xa"), batch.column("xb"), strict=True)):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                size = min(len(left), len(right))
-                differ[k] = np.bitwise_count(_fold(left, size) ^ _fold(right, size)).sum()
-            keep = pa.array(_possible(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), differ))
-            yield batch.select(["a", "b"]).filter(keep)
-
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            links = []
-            for x, y in zip(batch.column("xa"), batch.column("xb"), strict=True):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate([left, right]))
-                inside = int((both[1:] == both[:-1]).sum())
-                links.append(DENOMINATOR * inside >= NUMERATOR * (len(left) + len(right) - inside))
-            yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
-
-    schema = pairs.select("a", "b").schema
-    within = shared_copy(attach(pairs, "bits", 200_000).mapInArrow(bounded, schema))
-    return attach(within, "elements", 20_000).mapInArrow(exact, schema)
-
-
-def _crossing(tile: DataFrame, sets: DataFrame) -> DataFrame:
+    found = source.mapInArrow(rows, "set_id long, rep_rows long, n long, x binary")
+    single = found.where("rep_rows = 1").select("set_id", "n", "x")
+    if wanted.where("rep_rows > 1").limit(1).count():
+        single = single.unionByName(found.where("rep_rows > 1").select("set_id", "n", "x").dropDuplicates(["set_id"]))
+    return single
+
+
+def _attached(pairs: DataFrame, sets: DataFrame, slice_rows: int | None = None) -> DataFrame:
+    """Pairs with both ends' sizes and x. Bitmaps are light, and adaptive execution may split their joins; with
+    ``slice_rows``, for whole sets, an end that very many pairs share is spread over tasks beforehand."""
+    for end in ("b", "a"):
+        named = sets.select(F.col("set_id").alias(end), F.col("n").alias(f"n{end}"), F.col("x").alias(f"x{end}"))
+        pairs = spread_join(pairs, named, end, slice_rows=slice_rows) if slice_rows else pairs.join(named, end)
+    return pairs
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that their bitmaps allow."""
+    for batch in batches:
+        differ = np.zeros(batch.num_rows, np.int64)
+        for k, (x, y) in enumerate(zip(batch.column("xa"), batch.column("xb"), strict=True)):
+            left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            size = min(len(left), len(right))
+            differ[k] = np.bitwise_count(_fold(left, size) ^ _fold(right, size)).sum()
+        keep = pa.array(_possible(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), differ))
+        yield batch.select(["a", "b"]).filter(keep)
+
+
+def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs that link, by intersection of sorted arrays."""
+    for batch in batches:
+        links = []
+        for x, y in zip(batch.column("xa"), batch.column("xb"), strict=True):
+            left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            both = np.sort(np.concatenate([left, right]))
+            inside = int((both[1:] == both[:-1]).sum())
+            links.append(DENOMINATOR * inside >= NUMERATOR * (len(left) + len(right) - inside))
+        yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
+
+
+def _crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
     """Distinct pairs of one tile but different components that the bitmaps allow.
 
-    ``tile``: key, rep, comp, members (sets in the tile). Small tiles are joined with
+    ``tile``: key, set_id, comp, members (sets in the tile). Small tiles are joined with
     themselves; of large ones, blocks of sets meet, each pair of blocks in one group.
     """
-    left = tile.where(F.col("members") <= PAIRED).select("key", F.col("rep").alias("a"), F.col("comp").alias("ca"))
+    left = tile.where(F.col("members") <= PAIRED).select("key", F.col("set_id").alias("a"), F.col("comp").alias("ca"))
     right = left.withColumnsRenamed({"a": "b", "ca": "cb"})
-    small = left.join(right, "key").where("a < b and ca <> cb").select("a", "b")
+    pairs = left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
+    small = _attached(pairs, bits).mapInArrow(_bounded, pairs.schema)
 
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    large = tile.where(F.col("members") > PAIRED).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
+    large = tile.where(F.col("members") > PAIRED).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
     sent = (
         large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "rep", "comp")
-        .join(sets.select("rep", "n", "bits"), "rep")
+        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp")
+        .join(bits, "set_id")
     )
-    kind = tile.schema["rep"].dataType.simpleString()
 
     def compare(table: pa.Table) -> pa.Table:
-        rep, comp, own, n = (table.column(c).to_numpy() for c in ("rep", "comp", "own", "n"))
-        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("bits").combine_chunks()]
+        name, comp, own, n = (table.column(c).to_numpy() for c in ("set_id", "comp", "own", "n"))
+        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("x").combine_chunks()]
         size = min(map(len, maps))
-        bits = np.stack([_fold(m, size) for m in maps])
+        bits_ = np.stack([_fold(m, size) for m in maps])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for k in one.tolist():
-            others = two[(comp[two] != comp[k]) & ((rep[two] > rep[k]) if i == j else True)]
+            others = two[(comp[two] != comp[k]) & ((name[two] > name[k]) if i == j else True)]
             if len(others):
-                differ = np.bitwise_count(bits[others] ^ bits[k]).sum(axis=1).astype(np.int64)
+                differ = np.bitwise_count(bits_[others] ^ bits_[k]).sum(axis=1).astype(np.int64)
                 others = others[_possible(np.full(len(others), n[k]), n[others], differ)]
-                a.append(np.minimum(rep[others], rep[k]))
-                b.append(np.maximum(rep[others], rep[k]))
-        empty = np.empty(0, np.int64)
-        return pa.table({"a": pa.array(np.concatenate([empty, *a])), "b": pa.array(np.concatenate([empty, *b]))}).cast(
-            pa.schema([("a", table.schema.field("rep").type), ("b", table.schema.field("rep").type)])
-        )
-
-    met = sent.groupBy("key", "i", "j").applyInArrow(compare, f"a {kind}, b {kind}")
+                a.append(np.minimum(name[others], name[k]))
+                b.append(np.maximum(name[others], name[k]))
+        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
+
+    met = sent.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
     return small.unionByName(met).distinct()
 
 
@@ -395,37 +408,48 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
 
     Texts without words, NULL and empty ones included, link with nothing. Rows without an id
     have no component. Rows repeated with one id are one document of that id; where their texts
-    differ, each text links for itself and the id joins what its texts join.
+    differ, the id joins what its texts join.
     """
     sets = shared_copy(set_table(docs, key=key, text=text, words=words))
-    full = sets.where("n_shingles > 0 and doc_id is not null")
-    classes = shared_copy(full.groupBy("s1", "s2", "n_shingles").agg(F.min("doc_id").alias("rep")))
-    total = classes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)).alias("n")).first().n
-    met = tiles(docs, max(1, total // (2 * BUCKET)), text=text, words=words)
-    # other sets with an equal first sum only add candidates
-    named = shared_copy(met.join(classes.select("s1", "rep"), "s1").select("key", "rep").distinct())
-    tile = named.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    tiled = shared_copy(spread_join(named, tile, "key"))
-    candidates = shared_copy(candidate_sets(docs, shared_copy(tiled.select("rep").distinct()), key=key, text=text, words=words).dropDuplicates(["rep"]))
-
-    first = tiled.where("rep <> least").groupBy("rep").agg(F.min("least").alias("a")).select("a", F.col("rep").alias("b"))
-    links = shared_copy(verified(first, candidates))
+    owned = sets.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
+    least = F.min(F.struct("doc_id", "rows"))
+    classes = owned.groupBy("set_id").agg(least.alias("least"), F.max("n").alias("n"))
+    classes = shared_copy(classes.select("set_id", F.col("least.doc_id").alias("rep"), F.col("least.rows").alias("rep_rows"), "n"))
+    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+
+    named = shared_copy(tiles(docs, max(1, total // (2 * BUCKET)), text=text, words=words))
+    tile = named.groupBy("key").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    tiled = shared_copy(named.join(tile, "key"))
+
+    def of(ids: DataFrame) -> DataFrame:
+        return shared_copy(classes.join(ids.distinct(), "set_id", "left_semi").select("set_id", "rep", "rep_rows"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
+        elements = shared_copy(candidate_sets(docs, of(ends), "elements", key=key, text=text, words=words))
+        return shared_copy(_attached(pairs, elements, 20_000).mapInArrow(_exact, "a long, b long"))
+
+    bits = shared_copy(candidate_sets(docs, of(tiled.select("set_id")), "bits", key=key, text=text, words=words))
+    first = tiled.where("set_id <> least").groupBy("set_id").agg(F.min("least").alias("a")).select("a", F.col("set_id").alias("b"))
+    links = verified(shared_copy(_attached(first, bits).mapInArrow(_bounded, "a long, b long")))
     nodes = shared_copy(connected_components(links))
-    mine = tiled.join(nodes.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", "members", F.coalesce("component", "rep").alias("comp"))
+
+    mine = tiled.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "members", F.coalesce("component", "set_id").alias("comp"))
     mine = shared_copy(mine)
     open_keys = mine.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    crossing = _crossing(spread_join(mine, open_keys, "key"), candidates)
-    more = shared_copy(links.unionByName(verified(crossing, candidates)))
-    # an id with several texts ties their classes together
-    ties = full.join(classes, ["s1", "s2", "n_shingles"]).where("doc_id <> rep").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
-    nodes = connected_components(more.unionByName(ties.where("a <> b").select("a", "b")))
-    return _answer(sets, classes, nodes)
-
-
-def _answer(sets: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    named = classes.join(nodes.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("s1", "s2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-    known = spread_join(sets, named, ["s1", "s2", "n_shingles"], "left")
-    return known.select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    )
+    crossing = shared_copy(_crossing(mine.join(open_keys, "key"), bits))
+    # an id with several texts ties their sets together
+    ties = owned.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.collect_set("set_id").alias("all")).where("a <> b")
+    more = shared_copy(ties.select("a", F.explode("all").alias("b")).where("a <> b"))
+    if crossing.limit(1).count():
+        more = shared_copy(more.unionByName(verified(crossing)))
+    if more.limit(1).count():
+        nodes = shared_copy(connected_components(links.unionByName(more)))
+
+    label = F.coalesce("component", "set_id")
+    labelled = classes.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "rep", label.alias("label"))
+    smallest = labelled.groupBy("label").agg(F.min("rep").alias("component_id"))
+    answer = labelled.join(smallest, "label").select("set_id", "component_id")
+    known = spread_join(sets, answer, "set_id", "left")
+    component = F.when(F.col("n_shingles") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id"))
+    return known.select("doc_id", "n_shingles", component.alias("component_id"))
