@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 from tokenizers import Tokenizer
 
 CACHED_WORDS = 800_000
@@ -75,7 +76,6 @@ class Vocabulary:
 
         self.symbols = {i: symbols(t) for t, i in vocab.items()}
         self.lengths = {i: len(s) for i, s in self.symbols.items()}
-        by_symbols = {s: i for i, s in self.symbols.items()}
         self.rank: dict[int, int] = {}
         self.parts: dict[int, tuple[int, int]] = {}
         self.rank_of = dict.fromkeys(self.symbols, -1)
@@ -85,6 +85,12 @@ class Vocabulary:
             if made not in self.parts:
                 self.parts[made] = (vocab[a], vocab[b])
                 self.rank_of[made] = r
+        # a token whose own text merges to others never comes out, so it is no match either
+        reached: set[int] = set()
+        for i in sorted(self.symbols, key=self.rank_of.__getitem__):
+            if i not in self.parts or (reached.issuperset(self.parts[i]) and self._border(*self.parts[i], self.rank_of[i])):
+                reached.add(i)
+        by_symbols = {self.symbols[i]: i for i in reached}
         self.prefix: dict[int, int | None] = {}
         for i, s in self.symbols.items():
             self.prefix[i] = next((by_symbols[s[:n]] for n in range(len(s) - 1, 0, -1) if s[:n] in by_symbols), None)
@@ -111,27 +117,28 @@ class Vocabulary:
         ).findall
         self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
 
-    def may_follow(self, first: int, second: int) -> bool:
-        """Whether merging by rank leaves a border between these tokens when they stand side by side.
+    def _border(self, left: int, right: int, limit: int) -> bool:
+        """Whether no merge across the border between two tokens comes before the one of rank ``limit``.
 
         Both are taken apart from the border outwards, the later merge first. A merge across the
         border of an earlier rank than what was taken apart would have come before it.
         """
-        left, right, limit, answer = first, second, len(self.rank) + 1, True
         pairs, rank_of, parts = self.rank, self.rank_of, self.parts
         while True:
-            across = pairs.get(left << 32 | right, limit)
-            if across < limit:
-                answer = False
-                break
+            if pairs.get(left << 32 | right, limit) < limit:
+                return False
             l, r = rank_of[left], rank_of[right]
             if l < 0 and r < 0:
-                break
+                return True
             if l > r:
                 # a merge of the same rank further left comes first
-                limit, left = l, parts[left][1]
+                limit, left = min(limit, l), parts[left][1]
             else:
-                limit, right = r + 1, parts[right][0]
+                limit, right = min(limit, r + 1), parts[right][0]
+
+    def may_follow(self, first: int, second: int) -> bool:
+        """Whether merging by rank leaves a border between these tokens when they stand side by side."""
+        answer = self._border(first, second, len(self.rank) + 1)
         if len(self.compatible) > 2_000_000:
             self.compatible.clear()
         self.compatible[first << 32 | second] = answer
@@ -233,7 +240,7 @@ def encode_documents(docs: DataFrame, path: str, *, text: str = "text", into: st
     """
     kept = [c for c in docs.columns if c != into]
     source = docs.select(*kept, F.col(text).alias("__text"))
-    schema = docs.select(*kept).schema.add(into, "array<int>")
+    schema = docs.select(*kept).schema.add(into, ArrayType(IntegerType()))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)
