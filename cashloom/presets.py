@@ -128,17 +128,17 @@ TERMS = [
     ("Entrada/30/60/90 dias", 4, 1),
 ]
 
-# fixed values: tolerance tiers (description, days from, to, percent from, to, early, approved); the id is the position
+# fixed values, but for the descriptions, which are our own: tolerance tiers (description, days from, to, percent from, to, early, approved); the id is the position
 TIERS = [
-    ("PAGAMENTO NO DIA", 0, 0, "0.00", "0.00", 0, 1),
-    ("DESCONTO MAIOR QUE DEZ DIAS", 11, 11, "3.01", "5.00", 1, 1),
-    ("DESCONTO ANTECIPACAO DEZ DIAS", 6, 10, "2.00", "3.00", 1, 1),
-    ("DESCONTO ANTECIACAO CINCO DIAS", 1, 5, "1.00", "1.90", 1, 1),
-    ("ACRESCIMO ATRASO CINCO DIAS", 1, 5, "0.50", "1.50", 0, 1),
-    ("ACRESCIMO ATRASO DEZ DIAS", 6, 10, "1.60", "2.00", 0, 1),
-    ("ACRESCIMO MAIOR QUE DEZ DIAS", 11, 11, "2.00", "2.00", 0, 1),
-    ("JUROS ATRASO", 5, 10, "2.00", "5.00", 0, 0),
-    ("DESCONTO INVALIDO", -1, -1, "-1.00", "-1.00", 0, 1),
+    ("on the day", 0, 0, "0.00", "0.00", 0, 1),
+    ("early by more than ten days", 11, 11, "3.01", "5.00", 1, 1),
+    ("early by up to ten days", 6, 10, "2.00", "3.00", 1, 1),
+    ("early by up to five days", 1, 5, "1.00", "1.90", 1, 1),
+    ("late by up to five days", 1, 5, "0.50", "1.50", 0, 1),
+    ("late by up to ten days", 6, 10, "1.60", "2.00", 0, 1),
+    ("late by more than ten days", 11, 11, "2.00", "2.00", 0, 1),
+    ("late with interest", 5, 10, "2.00", "5.00", 0, 0),
+    ("no tier", -1, -1, "-1.00", "-1.00", 0, 1),
 ]
 
 

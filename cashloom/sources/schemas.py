@@ -29,6 +29,7 @@ def with_id(name: str, schema: StructType) -> StructType:
     return StructType([StructField(name, IntegerType(), False), *schema.fields])
 
 
+# fixed values: columns and types of the tables and files below
 ADDRESS_TYPE_SCHEMA = required(DESCRICAO=StringType(), SIGLA=StringType())
 
 TIER_SCHEMA = required(

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -104,6 +104,55 @@ def test_current_month_opening(flows):
     assert brief(january)[0] == ("2023-01-05", "15.00", "0.00", "75.00")
 
 
+def test_moments_on_a_closing_day_are_booked_once(spark):
+    receipts = spark.createDataFrame(
+        [(datetime(2023, 1, 31, 10, 0), Decimal("100.00")), (datetime(2023, 2, 28, 23, 59), Decimal("5.00")), (datetime(2023, 3, 1, 0, 0), Decimal("2.00"))],
+        "DATA_RECEBIDO timestamp, VALOR_PAGO decimal(16,2)",
+    )
+    payments = spark.createDataFrame([(date(2023, 1, 31), Decimal("40.00"))], "DATA_PGT_EFETUADO date, VALOR_PARCELA_PAGO decimal(16,2)")
+    first = cashflow_initial(receipts, payments, RunState(date(2023, 2, 10), 0), processed_at=STAMP)
+    second = cashflow_close(receipts, payments, first.daily, first.monthly, RunState(date(2023, 3, 10), 1), processed_at=STAMP)
+    third = cashflow_close(
+        receipts, payments, first.daily.union(second.daily), first.monthly.union(second.monthly), RunState(date(2023, 4, 10), 1), processed_at=STAMP
+    )
+    whole = cashflow_initial(receipts, payments, RunState(date(2023, 4, 10), 0), processed_at=STAMP)
+    assert brief(first.daily.union(second.daily).union(third.daily)) == brief(whole.daily)
+    assert brief(first.monthly.union(second.monthly).union(third.monthly)) == brief(whole.monthly)
+
+
+def test_close_reads_the_open_part_of_a_sorted_ledger(spark, tmp_path):
+    """The bound of a table's last close prunes row groups, as a constant does."""
+    days = spark.range(200_000).select(F.date_add(F.lit(date(2020, 1, 1)), (F.col("id") / 200).cast("int")).cast("timestamp").alias("DATA_RECEBIDO"), F.lit(Decimal("1.00")).cast("decimal(16,2)").alias("VALOR_PAGO"))
+    days.coalesce(1).write.option("parquet.block.size", 64 << 10).parquet(str(tmp_path / "r"))
+    receipts = spark.read.parquet(str(tmp_path / "r"))
+    payments = spark.createDataFrame([], "DATA_PGT_EFETUADO date, VALOR_PARCELA_PAGO decimal(16,2)")
+    history = spark.createDataFrame([(date(2022, 8, 31), date(2022, 8, 31), Decimal("0.00"))], "DATA date, DATA_FECHAMENTO date, ACUMULADO_DIARIO decimal(26,2)")
+    months = history.withColumn("VALOR_ACUMULADO_MES", F.col("ACUMULADO_DIARIO"))
+    later = cashflow_close(receipts, payments, history, months, RunState(date(2022, 10, 5), 1)).daily
+
+    def read(df):
+        df.collect()
+        found = []
+
+        def walk(node):
+            name = node.nodeName()
+            if name.startswith("Scan parquet"):
+                found.append(node.metrics().apply("numOutputRows").value())
+            for way in ("children", "innerChildren"):
+                below = getattr(node, way)()
+                for k in range(below.size()):
+                    walk(below.apply(k))
+            if name == "AdaptiveSparkPlan":
+                walk(node.executedPlan())
+            elif "QueryStage" in name:
+                walk(node.plan())
+
+        walk(df._jdf.queryExecution().executedPlan())
+        return max(found)
+
+    assert later.count() == 26 and 0 < read(later) < 60_000
+
+
 def test_sums_and_latest(spark, flows, rows):
     receipts, _ = flows
     assert rows(cash.daily_sum(receipts.where("DATA_RECEBIDO is not null"), "DATA_RECEBIDO", "VALOR_PAGO", "t"))[1] == (date(2023, 1, 5), 1, Decimal("15.00"))

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
@@ -17,23 +17,25 @@ from cashloom.functions import (
 )
 from cashloom.functions.periods import previous_month
 
+# made up for these tests
 TAX_IDS = [
-    ("14776142000150", True),
-    ("18513075000131", True),
-    ("28195667000106", True),
-    ("6148997.700-0109", True),
-    ("14.776.142/0001-50", True),
-    ("8797760000183", False),
-    ("08797760000183", True),
-    ("16516516151685", False),
-    ("0019472400011322", False),
-    ("39877100000000", False),
+    ("20030040000193", True),
+    ("31042053000280", True),
+    ("45612378900339", True),
+    ("7120003.450-0146", True),
+    ("20.030.040/0001-93", True),
+    ("9876543210111", False),
+    ("09876543210111", True),
+    ("20030040000194", False),
+    ("45612378900330", False),
     ("00000000000000", True),
     ("ABCDEFGHIJKLMN", False),
-    ("A4776142000150", False),
-    (" 14776142000150", False),
-    ("-1477614200015", False),
-    ("147761420001501", False),
+    ("A0030040000193", False),
+    (" 20030040000193", False),
+    ("-2003004000019", False),
+    ("200300400001931", False),
+    ("20030040000193\n", False),
+    ("20030040000193\r", False),
     ("9" * 40, False),
     ("", False),
     (None, False),
@@ -47,8 +49,8 @@ def test_tax_id_vectors(spark):
 
 
 def test_strict_rejects_one_repeated_digit(spark):
-    df = spark.createDataFrame([("00000000000000",), ("14776142000150",)], "t string")
-    assert [r[0] for r in df.select(is_valid_tax_id("t", strict=True)).collect()] == [False, True]
+    df = spark.createDataFrame([("00000000000000",), ("20030040000193",), ("0" * 14 + "\n",)], "t string")
+    assert [r[0] for r in df.select(is_valid_tax_id("t", strict=True)).collect()] == [False, True, False]
 
 
 def _digits(base: str) -> str:
@@ -117,6 +119,13 @@ def test_december_is_closed_in_january_and_march(spark):
     assert kept(after("d", None)) == [12, 1, 2]
 
 
+def test_moments_of_the_closing_day_are_closed(spark):
+    moments = [datetime(2022, 12, 31, 0, 0), datetime(2022, 12, 31, 23, 59), datetime(2023, 1, 1, 0, 0)]
+    df = spark.createDataFrame([(m,) for m in moments], "d timestamp")
+    for bound in (date(2022, 12, 31), F.lit(date(2022, 12, 31))):
+        assert [r.d for r in df.where(after("d", bound)).collect()] == moments[2:]
+
+
 def test_previous_month_crosses_the_year():
     assert previous_month(date(2023, 1, 31)) == date(2022, 12, 1)
     assert previous_month(date(2023, 3, 31)) == date(2023, 2, 1)

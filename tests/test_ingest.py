@@ -8,7 +8,7 @@ from cashloom.plans.seed import seed_reference_data
 from cashloom.presets import INVOICE_COLUMNS, PURCHASES, SALES, TERMS, TIERS, DELIVERY_COLUMNS, term_table
 from cashloom.sources.feeds import read_payments, read_purchases, read_receipts, read_sales
 
-GOOD, OTHER, THIRD = "14776142000150", "18513075000131", "28195667000106"
+GOOD, OTHER, THIRD = "20030040000193", "31042053000280", "45612378900339"
 
 
 def line(name="Alfa", tax=GOOD, email="a@mail.test", phone="11", nf="21", issued="2023-05-01", net="90.00", tribute="10.00", total="100.00",
@@ -22,7 +22,7 @@ LINES = [
     line(nf=" 22 ", email=None, cep="1001001"),
     line(nf="22", cep="1001001"),
     line(name="Beta", tax=OTHER, nf="30", number="x", complement=None, term="Entrada/30 dias"),
-    line(name="Gama", tax="14776142000151", nf="31"),
+    line(name="Gama", tax="20030040000194", nf="31"),
     line(name=None, tax="1", nf=None),
     line(name="Delta", tax=THIRD, nf="33", total="abc"),
     line(name="Delta", tax=THIRD, nf="34", cep="9"),

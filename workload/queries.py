@@ -95,6 +95,7 @@ def p5(f: Frames) -> DataFrame:
     return judged_feed(f).select("NUMERO_NF", "DATA_PROCESSAMENTO", "CNPJ_FORNECEDOR", "MOTIVO")
 
 
+# fixed values: reason codes of the older list, in order
 @query(
     "p5_first_failing_rule_earlier_list",
     """SELECT NUMERO_NF, DATA_PROCESSAMENTO, CNPJ_FORNECEDOR,

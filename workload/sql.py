@@ -8,11 +8,34 @@ from __future__ import annotations
 
 import re
 
-from cashloom.functions.taxid import FIRST_WEIGHTS, SECOND_WEIGHTS
-from cashloom.presets import TERMS, TIERS
-
 from .frames import ADDRESS_TYPES, RAW_TERMS
 
+# fixed values, written out once more so that an error in the library's own shows: weights of the
+# tax id's digits, payment terms (description, instalments, down payment), tolerance tiers (days
+# from, to, hundredths of a percent from, to, early, approved); ids are positions
+FIRST_WEIGHTS = (5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+SECOND_WEIGHTS = (6, 5, 4, 3, 2, 9, 8, 7, 6, 5, 4, 3, 2)
+TERMS = [
+    ("A vista", 1, 1),
+    ("30 dias", 1, 0),
+    ("30/60 dias", 2, 0),
+    ("30/60/90 dias", 3, 0),
+    ("Entrada/30 dias", 2, 1),
+    ("Entrada/30/60 dias", 3, 1),
+    ("Entrada/30/60/90 dias", 4, 1),
+]
+TIERS = [
+    (0, 0, 0, 0, 0, 1),
+    (11, 11, 301, 500, 1, 1),
+    (6, 10, 200, 300, 1, 1),
+    (1, 5, 100, 190, 1, 1),
+    (1, 5, 50, 150, 0, 1),
+    (6, 10, 160, 200, 0, 1),
+    (11, 11, 200, 200, 0, 1),
+    (5, 10, 200, 500, 0, 0),
+    (-1, -1, -100, -100, 0, 1),
+]
+
 
 def cents(column: str) -> str:
     return f"CAST(round({column} * 100) AS BIGINT)"
@@ -100,10 +123,6 @@ def _values(rows: list[tuple], columns: str) -> str:
     return f"SELECT * FROM (VALUES {body}) AS t({columns})"
 
 
-_basis_points = [
-    (i, low, high, round(float(a) * 100), round(float(b) * 100), early, ok)
-    for i, (_, low, high, a, b, early, ok) in enumerate(TIERS, start=1)
-]
 _ORDER = "(l_orderkey + l_partkey)"
 
 
@@ -141,7 +160,7 @@ def _feed_ctes(side: str, name: str, tax: str, email: str, phone: str, default_e
 
 CTES: dict[str, str] = {
     "terms": _values([(i, *t) for i, t in enumerate(TERMS, start=1)], "ID_CONDICAO, DESCRICAO, QTD, ENTRADA"),
-    "tiers": _values(_basis_points, "ID_DESCONTO, low_days, high_days, low_bp, high_bp, early, approved"),
+    "tiers": _values([(i, *t) for i, t in enumerate(TIERS, start=1)], "ID_DESCONTO, low_days, high_days, low_bp, high_bp, early, approved"),
     "address_types": _values([(i, n) for i, n in enumerate(ADDRESS_TYPES, start=1)], "type_id, label"),
     "flow_in": f"SELECT CAST(o_orderdate AS DATE) AS d, {cents('o_totalprice')} AS c FROM orders",
     "flow_out": f"SELECT CAST(l_shipdate AS DATE) AS d, {cents('l_extendedprice')} AS c FROM lineitem",
