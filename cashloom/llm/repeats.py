@@ -36,16 +36,16 @@ LENGTH = 100
 GRAM = 16
 """Bytes that an anchor's hash covers."""
 
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 """Bytes of a document whose anchors are found at once."""
 
-BUCKET_BYTES = 2_500_000
+BUCKET_BYTES = 1_500_000
 """Context bytes of a bucket, at most on average; before equal contexts are put together."""
 
-FLUSH = 200_000
+FLUSH = 100_000
 """Contexts a task holds before it hands them on."""
 
-ANCHOR_BUCKET = 1_000_000
+ANCHOR_BUCKET = 300_000
 """Anchors of a bucket, on average."""
 
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
