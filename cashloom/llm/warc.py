@@ -101,11 +101,11 @@ def write_archives(
     body = F.coalesce(F.col(payload), F.lit(""))
     named = lambda column: F.coalesce(F.col(column).cast("long").cast("string"), F.lit("none"))
     rows = pages.select(named(key).alias("name"), _clean(F.col(url)).alias("url"), body.alias("payload"))
-    # one shuffle of payloads: the join keeps the partitions that bound an archive's size
-    rows = rows.withColumn("payload_digest", payload_digest(F.col("payload"))).repartition(
-        max(1, -(-total // archive_bytes)), "name", "payload_digest"
-    )
+    rows = rows.withColumn("payload_digest", payload_digest(F.col("payload")))
     known = revisits.select(named("page_id").alias("name"), "payload_digest", "refers_to")
+    # one shuffle of payloads: both sides are dealt alike, over the partitions that bound an archive's size
+    parts = max(1, -(-total // archive_bytes))
+    rows, known = (side.repartition(parts, "name", "payload_digest") for side in (rows, known))
     joined = rows.join(known, ["name", "payload_digest"], "left")
 
     revisit = F.col("refers_to").isNotNull()
