@@ -98,10 +98,15 @@ def first_open_day(history: DataFrame, order: str, closed: str, kind: DataType |
     """One row with the day after the last close as ``kind``, the type of the column it bounds.
 
     Default and cast are inside the row, so that comparing a bare column with its scalar
-    becomes a pushed filter.
+    becomes a pushed filter. The row is the first by order, not an aggregate: scalars of
+    aggregates over one table are merged into a record, and fields of it are not pushed.
     """
-    last = F.max_by(closed, order)
-    return history.agg(F.coalesce(F.date_add(last, 1), F.lit(FIRST_DAY).cast("date")).cast(kind).alias("first_open"))
+    default = F.lit(FIRST_DAY).cast("date")
+    closings = history.where(F.col(order).isNotNull()).select(
+        F.col(order).cast("timestamp").alias("at"), F.coalesce(F.date_add(closed, 1), default).alias("day")
+    )
+    none = history.sparkSession.range(1).select(F.lit(None).cast("timestamp").alias("at"), default.alias("day"))
+    return closings.unionByName(none).orderBy(F.desc_nulls_last("at"), F.desc("day")).limit(1).select(F.col("day").cast(kind).alias("first_open"))
 
 
 def audit_columns(df: DataFrame, day: str | None, *, processed_at: datetime | date | None = None) -> DataFrame:
