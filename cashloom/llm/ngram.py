@@ -13,7 +13,9 @@ within the bound are intersected exactly as sorted arrays.
 
 First every set is compared with the smallest set it shares a tile with. Tiles whose sets are
 all connected then need no more work, and in the others only sets of different components
-are compared, large tiles block by block.
+are compared, large tiles block by block. Of the pairs that bitmaps allow in a block, mostly
+links, two rounds verify only the most alike ones that would join its components to each
+other; a last round verifies every pair that is still allowed between components.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ FLUSH = 1_500_000
 BUCKET = 1_000_000
 """Tile keys of one bucket, on average."""
 
-BLOCK = 1024
+BLOCK = 4096
 """Sets of a tile that one task compares with as many others."""
 
 PAIRED = 32
@@ -363,17 +365,16 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(links, pa.bool_()))
 
 
-def _crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
-    """Distinct pairs of one tile but different components that the bitmaps allow.
-
-    ``tile``: key, set_id, comp, members (sets in the tile). Small tiles are joined with
-    themselves; of large ones, blocks of sets meet, each pair of blocks in one group.
-    """
+def _small_crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
+    """Distinct pairs of sets of different components in a tile of up to PAIRED sets that the bitmaps allow."""
     left = tile.where(F.col("members") <= PAIRED).select("key", F.col("set_id").alias("a"), F.col("comp").alias("ca"))
     right = left.withColumnsRenamed({"a": "b", "ca": "cb"})
     pairs = left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-    small = _attached(pairs, bits).mapInArrow(_bounded, pairs.schema)
+    return _attached(pairs, bits).mapInArrow(_bounded, pairs.schema)
 
+
+def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
+    """The same of larger tiles, block by block: ``every`` pair, or the most alike that join a block's components."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     large = tile.where(F.col("members") > PAIRED).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
     sent = (
@@ -386,21 +387,43 @@ def _crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
         name, comp, own, n = (table.column(c).to_numpy() for c in ("set_id", "comp", "own", "n"))
         maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("x").combine_chunks()]
         size = min(map(len, maps))
-        bits_ = np.stack([_fold(m, size) for m in maps])
+        folded = np.stack([_fold(m, size) for m in maps])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        kinds, counts = np.unique(comp, return_counts=True)
+        most = kinds[counts.argmax()]
+        if i == j:
+            one = one[comp[one] != most]  # the largest component's sets are met from the others
+        joined: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while joined.get(c, c) != c:
+                c = joined[c]
+            return c
+
+        pairs: list[tuple[int, int]] = []
         for k in one.tolist():
-            others = two[(comp[two] != comp[k]) & ((name[two] > name[k]) if i == j else True)]
-            if len(others):
-                differ = np.bitwise_count(bits_[others] ^ bits_[k]).sum(axis=1).astype(np.int64)
-                others = others[_possible(np.full(len(others), n[k]), n[others], differ)]
-                a.append(np.minimum(name[others], name[k]))
-                b.append(np.maximum(name[others], name[k]))
-        return pa.table({"a": pa.array(np.concatenate(a)), "b": pa.array(np.concatenate(b))})
-
-    met = sent.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    return small.unionByName(met).distinct()
+            others = two[comp[two] != comp[k]]
+            if i == j:
+                others = others[(comp[others] == most) | (name[others] > name[k])]
+            if not len(others):
+                continue
+            differ = np.bitwise_count(folded[others] ^ folded[k]).sum(axis=1).astype(np.int64)
+            allowed = _possible(np.full(len(others), n[k]), n[others], differ)
+            others = others[allowed][np.argsort(differ[allowed], kind="stable")]
+            if every:
+                pairs += [(k, o) for o in others.tolist()]
+                continue
+            # the most alike set of each other component
+            for o in others[np.sort(np.unique(comp[others], return_index=True)[1])].tolist():
+                x, y = find(int(comp[k])), find(int(comp[o]))
+                if x != y:
+                    joined[max(x, y)] = min(x, y)
+                    pairs.append((k, o))
+        ends = name[np.array(pairs, np.int64).reshape(-1, 2)]
+        return pa.table({"a": pa.array(ends.min(axis=1) if len(ends) else ends[:, 0]), "b": pa.array(ends.max(axis=1) if len(ends) else ends[:, 1])})
+
+    return sent.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -432,19 +455,24 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     bits = shared_copy(candidate_sets(docs, of(tiled.select("set_id")), "bits", key=key, text=text, words=words))
     first = tiled.where("set_id <> least").groupBy("set_id").agg(F.min("least").alias("a")).select("a", F.col("set_id").alias("b"))
     links = verified(shared_copy(_attached(first, bits).mapInArrow(_bounded, "a long, b long")))
-    nodes = shared_copy(connected_components(links))
-
-    mine = tiled.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "members", F.coalesce("component", "set_id").alias("comp"))
-    mine = shared_copy(mine)
-    open_keys = mine.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-    crossing = shared_copy(_crossing(mine.join(open_keys, "key"), bits))
     # an id with several texts ties their sets together
     ties = owned.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.collect_set("set_id").alias("all")).where("a <> b")
-    more = shared_copy(ties.select("a", F.explode("all").alias("b")).where("a <> b"))
-    if crossing.limit(1).count():
-        more = shared_copy(more.unionByName(verified(crossing)))
-    if more.limit(1).count():
-        nodes = shared_copy(connected_components(links.unionByName(more)))
+    links = shared_copy(links.unionByName(ties.select("a", F.explode("all").alias("b")).where("a <> b")))
+    nodes = shared_copy(connected_components(links))
+    tiled = tiled.drop("least")
+    for last in (False, False, True):
+        comp = F.coalesce("component", "set_id").alias("comp")
+        mine = tiled.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "members", comp)
+        open_keys = mine.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+        mine = shared_copy(mine.join(open_keys, "key"))
+        crossing = shared_copy(_large_crossing(mine, bits, last).unionByName(_small_crossing(mine, bits)))
+        if not crossing.limit(1).count():
+            break
+        # what small tiles hold is now verified pair by pair
+        tiled = mine.where(F.col("members") > PAIRED).drop("comp")
+        found = verified(crossing.distinct())
+        if found.limit(1).count():
+            nodes = shared_copy(connected_components(found.unionByName(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
     label = F.coalesce("component", "set_id")
     labelled = classes.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "rep", label.alias("label"))
