@@ -151,12 +151,19 @@ def merge_upsert(
 
 
 def assign_surrogate_keys(
-    rows: DataFrame, key: str | Sequence[str], id_column: str, *, start_after: DataFrame | int = 0, spread: int = 3
+    rows: DataFrame,
+    key: str | Sequence[str],
+    id_column: str,
+    *,
+    ties: Sequence[str] = (),
+    start_after: DataFrame | int = 0,
+    spread: int = 3,
 ) -> DataFrame:
     """Give each row the next free id, densely, without a global sort.
 
     ``start_after`` is the last id in use, or the table (with ``id_column``) to take it
-    from. ``rows`` must hold one row per key. Rows are numbered inside 16**``spread``
+    from. ``rows`` must hold one row per key, or one per key and ``ties``; rows equal in those
+    and in all else get distinct ids, whichever way round. Rows are numbered inside 16**``spread``
     groups (``spread`` from 1 to 4) by key digest, in key order, and each group starts where the groups before it
     end. The ids depend on the data alone, so a task that is run again assigns the same ones.
     """
@@ -173,6 +180,6 @@ def assign_surrogate_keys(
         last: Column = F.lit(start_after)
     else:
         last = F.coalesce(start_after.agg(F.max(id_column)).scalar(), F.lit(0))
-    place = F.row_number().over(Window.partitionBy("__group").orderBy(*keys))
+    place = F.row_number().over(Window.partitionBy("__group").orderBy(*keys, *ties))
     numbered = grouped.withColumn("__place", place).join(F.broadcast(offsets), "__group")
     return numbered.select((last + F.col("__before") + F.col("__place")).cast("long").alias(id_column), *rows.columns)

@@ -15,6 +15,7 @@ from ..operators.dimensions import (
     changed_addresses,
     changed_members,
     latest_per_key,
+    merge_upsert,
     new_addresses,
     new_members,
     one_id_per_key,
@@ -36,7 +37,12 @@ LOG_KEY = ("NUMERO_NF", "DATA_PROCESSAMENTO")
 
 
 class Ingest(NamedTuple):
-    """What one feed changes. New parties carry the ids that addresses and invoices refer to."""
+    """What one feed changes. New parties carry the ids that addresses and invoices refer to.
+
+    ``invoices`` have ids of their own, for the schedules. An invoice without a known party or
+    term cannot be scheduled and is among the incomplete ones, with the reason. The next
+    versions of parties and addresses hold all changes; write them to a new place.
+    """
 
     accepted: DataFrame
     rejected: DataFrame
@@ -46,6 +52,9 @@ class Ingest(NamedTuple):
     new_addresses: DataFrame
     changed_addresses: DataFrame
     invoices: DataFrame
+    incomplete_invoices: DataFrame
+    parties_next: DataFrame
+    addresses_next: DataFrame
 
 
 def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame, layout: Layout) -> DataFrame:
@@ -76,6 +85,7 @@ def _ingest(
     terms: DataFrame,
     stage: Callable[[DataFrame], DataFrame],
     keep_known: bool,
+    invoices_so_far: DataFrame | int,
 ) -> Ingest:
     parties = parties.withColumn(layout.tax_id, strip_punctuation(layout.tax_id))
     accepted, rejected = split_valid_rejected(validated, reason="MOTIVO", flags=("CNPJ_VALIDO", "CEP_VALIDO"))
@@ -113,24 +123,44 @@ def _ingest(
 
     term_ids = one_id_per_key(terms.select(F.col("DESCRICAO").alias("CONDICAO_PAGAMENTO"), "ID_CONDICAO"), "CONDICAO_PAGAMENTO", "ID_CONDICAO")
     canonical = accepted.withColumn("CONDICAO_PAGAMENTO", normalize_term("CONDICAO_PAGAMENTO"))
-    invoices = build_invoice_fact(
+    facts = build_invoice_fact(
         canonical, party_ids, term_ids, party_key=layout.tax_id, term_column="CONDICAO_PAGAMENTO"
     ).select(layout.party_id, "ID_CONDICAO", *INVOICE_COLUMNS)
 
+    lacking = F.when(F.col(layout.party_id).isNull(), f"{layout.party_id}_NULO").when(F.col("ID_CONDICAO").isNull(), "ID_CONDICAO_NULO")
+    complete = facts.where(lacking.isNull())
+    invoices = assign_surrogate_keys(
+        complete,
+        [layout.party_id, "NUMERO_NF"],
+        layout.invoice_id,
+        ties=[c for c in complete.columns if c not in (layout.party_id, "NUMERO_NF")],
+        start_after=invoices_so_far,
+    )
+    changed = changed_members(
+        offered, parties, layout.tax_id, layout.party_attributes, keep_known={layout.email: DEFAULT_TEXT} if keep_known else None
+    )
+    fresh_addresses = new_addresses(located, addresses, address_key)
+    moved = changed_addresses(
+        located, addresses, address_key, ADDRESS_COLUMNS,
+        keep_known={"NUMERO": DEFAULT_NUMBER, "COMPLEMENTO": DEFAULT_TEXT} if keep_known else None,
+    )
+
     return Ingest(
         accepted=accepted,
         rejected=rejected,
         processed_log=accepted.select(*layout.log_columns),
         new_parties=entering,
-        changed_parties=changed_members(
-            offered, parties, layout.tax_id, layout.party_attributes, keep_known={layout.email: DEFAULT_TEXT} if keep_known else None
+        changed_parties=changed,
+        new_addresses=fresh_addresses,
+        changed_addresses=moved,
+        invoices=invoices,
+        incomplete_invoices=facts.where(lacking.isNotNull()).withColumn("MOTIVO", lacking),
+        parties_next=merge_upsert(parties, changed, [layout.tax_id], layout.party_attributes, insert=False).unionByName(
+            entering, allowMissingColumns=True
         ),
-        new_addresses=new_addresses(located, addresses, address_key),
-        changed_addresses=changed_addresses(
-            located, addresses, address_key, ADDRESS_COLUMNS,
-            keep_known={"NUMERO": DEFAULT_NUMBER, "COMPLEMENTO": DEFAULT_TEXT} if keep_known else None,
+        addresses_next=merge_upsert(addresses, moved, address_key, ADDRESS_COLUMNS, insert=False).unionByName(
+            fresh_addresses, allowMissingColumns=True
         ),
-        invoices=invoices,
     )
 
 
@@ -145,17 +175,19 @@ def purchases_ingest(
     terms: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = shared_copy,
     keep_known: bool = False,
+    invoices_so_far: DataFrame | int = 0,
 ) -> Ingest:
     """Ingest a purchase feed of text columns.
 
     ``stage`` makes the typed feed, the validated feed and the feed's parties available to the
     outputs that read them; the default writes each once as a table in the shared checkpoint
     folder, a :class:`~cashloom.sources.staging.Staging` also takes them away again. With
-    ``keep_known``, a missing or default value never replaces a known one.
+    ``keep_known``, a missing or default value never replaces a known one. New invoices get ids
+    after those of ``invoices_so_far``, a table of them or the last id.
     """
     typed = stage(trim_cast_columns(feed, FEED_CASTS).withColumn("TIPO_ENDERECO", F.upper("TIPO_ENDERECO")))
     validated = stage(validate_feed(typed, processed, postal_codes, PURCHASES))
-    result = _ingest(validated, PURCHASES, parties, addresses, address_types, terms, stage, keep_known)
+    result = _ingest(validated, PURCHASES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)
     # rejects are kept with a numeric postal code
     return result._replace(rejected=result.rejected.withColumn("CEP", F.col("CEP").try_cast("int")))
 
@@ -171,8 +203,9 @@ def sales_ingest(
     terms: DataFrame,
     stage: Callable[[DataFrame], DataFrame] = shared_copy,
     keep_known: bool = False,
+    invoices_so_far: DataFrame | int = 0,
 ) -> Ingest:
     """Ingest a sales feed already typed by its scan; only the invoice number is still text."""
     typed = stage(feed.withColumn("NUMERO_NF", F.col("NUMERO_NF").try_cast("int")))
     validated = stage(validate_feed(typed, processed, postal_codes, SALES))
-    return _ingest(validated, SALES, parties, addresses, address_types, terms, stage, keep_known)
+    return _ingest(validated, SALES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cashloom.plans.ingest import purchases_ingest, sales_ingest
 from cashloom.plans.seed import seed_reference_data
 from cashloom.presets import INVOICE_COLUMNS, PURCHASES, SALES, TERMS, TIERS, DELIVERY_COLUMNS, term_table
+from cashloom.sources.staging import Staging
 from cashloom.sources.feeds import read_payments, read_purchases, read_receipts, read_sales
 
 GOOD, OTHER, THIRD = "20030040000193", "31042053000280", "45612378900339"
@@ -90,7 +91,11 @@ def test_one_feed(spark, world, rows, side):
     )
     assert rows(result.changed_addresses, side.party_id, "CEP", "ID_TIPO_ENDERECO", "NUMERO", "COMPLEMENTO") == [(7, "1001000", 2, 0, "N/A")]
     invoices = rows(result.invoices, "NUMERO_NF", side.party_id, "ID_CONDICAO")
-    assert invoices == sorted([(21, new[GOOD], 3), (22, new[GOOD], 3), (22, new[GOOD], 3), (30, 7, 5), (35, new[THIRD], None)], key=repr)
+    assert invoices == sorted([(21, new[GOOD], 3), (22, new[GOOD], 3), (22, new[GOOD], 3), (30, 7, 5)], key=repr)
+    lacking = rows(result.incomplete_invoices, "NUMERO_NF", side.party_id, "ID_CONDICAO", "MOTIVO")
+    assert lacking == [(35, new[THIRD], None, "ID_CONDICAO_NULO")]
+    ids = [r[0] for r in rows(result.invoices, side.invoice_id)]
+    assert ids == [1, 2, 3, 4]
     assert result.processed_log.columns == list(side.log_columns)
 
 
@@ -138,3 +143,38 @@ def test_payment_and_receipt_files(spark, tmp_path):
     assert [tuple(r) for r in read_payments(spark, str(tmp_path / "p.csv")).collect()] == [("1", "2023-06-15", "2023-06-10", " 49.00")]
     found = [(r.NUMERO_NF, r.DATA_VENCIMENTO, str(r.VALOR_RECEBIDO)) for r in read_receipts(spark, str(tmp_path / "r.csv")).collect()]
     assert found == [(7, date(2023, 6, 15), "49.00"), (8, None, "1.00")]
+
+
+@pytest.mark.parametrize("keep", [False, True])
+def test_missing_values_and_what_is_known(spark, rows, keep):
+    from cashloom.operators.dimensions import changed_members
+
+    known = spark.createDataFrame([("a", "x@mail", "1"), ("b", None, "2"), ("c", "y@mail", "3")], "k string, mail string, phone string")
+    offered = spark.createDataFrame([("a", "N/A", "1"), ("b", "z@mail", "2"), ("c", None, "4")], "k string, mail string, phone string")
+    changed = rows(changed_members(offered, known, "k", ["mail", "phone"], keep_known={"mail": "N/A"} if keep else None))
+    assert changed == ([("b", "z@mail", "2"), ("c", "y@mail", "4")] if keep else [("a", "N/A", "1"), ("b", "z@mail", "2"), ("c", None, "4")])
+
+
+def test_one_company_however_its_id_is_typed(spark, world):
+    folder, tables = world
+    header = ",".join(PURCHASES.feed_columns)
+    dotted = f"{GOOD[:2]}.{GOOD[2:5]}.{GOOD[5:8]}/{GOOD[8:12]}-{GOOD[12:]}"
+    (folder / "typed.csv").write_text("\n".join([header, line(nf="1"), line(nf="2", tax=dotted)]) + "\n")
+    empty = lambda schema: spark.createDataFrame([], schema)
+    with Staging(spark) as stage:
+        result = purchases_ingest(
+            read_purchases(spark, str(folder / "typed.csv")),
+            processed=empty("NUMERO_NF int, DATA_PROCESSAMENTO date"),
+            parties=empty("ID_FORNECEDOR long, NOME_FORNECEDOR string, CNPJ_FORNECEDOR string, EMAIL_FORNECEDOR string, TELEFONE_FORNECEDOR string"),
+            addresses=empty("ID_FORNECEDOR long, ID_TIPO_ENDERECO int, CEP string, NUMERO int, COMPLEMENTO string"),
+            stage=stage,
+            invoices_so_far=40,
+            **tables,
+        )
+        assert [r.CNPJ_FORNECEDOR for r in result.new_parties.collect()] == [GOOD]
+        assert sorted((r.ID_NF_ENTRADA, r.ID_FORNECEDOR) for r in result.invoices.collect()) == [(41, 1), (42, 1)]
+        assert result.parties_next.count() == result.addresses_next.count() == 1
+        paths = list(stage.paths)
+        assert paths
+    fs = spark._jvm.org.apache.hadoop.fs
+    assert not any(fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(p)) for p in paths)

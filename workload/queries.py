@@ -727,12 +727,35 @@ def _register_ingest(s: Side) -> None:
             FROM {s.side}_located l JOIN {s.side}_addresses a ON {same}
             WHERE a.type_id IS DISTINCT FROM l.type_id OR a.num <> l.num OR a.compl <> l.compl""",
     )(lambda f: s.run(f).changed_addresses)
+    facts = f"""SELECT p.id AS party, t.ID_CONDICAO, a.NUMERO_NF, a.DATA_EMISSAO, a.VALOR_NET, a.VALOR_TRIBUTO, a.VALOR_TOTAL, a.NOME_ITEM, a.QTD_ITEM
+            FROM {s.side}_accepted a LEFT JOIN {s.side}_party_ids p ON p.tax = a.tax
+            LEFT JOIN terms t ON t.DESCRICAO = {sql.normalized("a.CONDICAO_PAGAMENTO")}"""
+    columns = ", ".join(presets.INVOICE_COLUMNS)
+    ties = ", ".join(f"{c} NULLS FIRST" for c in ("ID_CONDICAO", *presets.INVOICE_COLUMNS[1:]))
     query(
         f"{p}_invoices",
-        f"""SELECT p.id AS {s.layout.party_id}, t.ID_CONDICAO, a.NUMERO_NF, a.DATA_EMISSAO, a.VALOR_NET, a.VALOR_TRIBUTO, a.VALOR_TOTAL, a.NOME_ITEM, a.QTD_ITEM
-            FROM {s.side}_accepted a LEFT JOIN {s.side}_party_ids p ON p.tax = a.tax
-            LEFT JOIN terms t ON t.DESCRICAO = {sql.normalized("a.CONDICAO_PAGAMENTO")}""",
+        f"""SELECT row_number() OVER (ORDER BY substr(md5(party || chr(31) || NUMERO_NF), 1, 3), party, NUMERO_NF, {ties}) AS {s.layout.invoice_id},
+                   party AS {s.layout.party_id}, ID_CONDICAO, {columns} FROM ({facts}) WHERE party IS NOT NULL AND ID_CONDICAO IS NOT NULL""",
     )(lambda f: plain(s.run(f).invoices))
+    query(
+        f"{p}_incomplete_invoices",
+        f"""SELECT party AS {s.layout.party_id}, ID_CONDICAO, {columns}, CASE WHEN party IS NULL THEN '{s.layout.party_id}_NULO' ELSE 'ID_CONDICAO_NULO' END AS MOTIVO
+            FROM ({facts}) WHERE party IS NULL OR ID_CONDICAO IS NULL""",
+    )(lambda f: plain(s.run(f).incomplete_invoices))
+    query(
+        f"{p}_parties_next",
+        f"""SELECT p.id AS {s.layout.party_id}, p.tax AS {tax}, CASE WHEN o.tax IS NULL THEN p.name ELSE o.name END AS {name},
+                   CASE WHEN o.tax IS NULL THEN p.email ELSE o.email END AS {mail}, CASE WHEN o.tax IS NULL THEN p.phone ELSE o.phone END AS {phone}
+            FROM {s.side}_parties p LEFT JOIN {s.side}_offered o ON o.tax = p.tax
+            UNION ALL SELECT id, tax, name, email, phone FROM {s.side}_entering""",
+    )(lambda f: s.run(f).parties_next)
+    query(
+        f"{p}_addresses_next",
+        f"""SELECT a.id AS {s.layout.party_id}, CASE WHEN l.id IS NULL THEN a.type_id ELSE l.type_id END AS ID_TIPO_ENDERECO, a.CEP,
+                   CASE WHEN l.id IS NULL THEN a.num ELSE l.num END AS NUMERO, CASE WHEN l.id IS NULL THEN a.compl ELSE l.compl END AS COMPLEMENTO
+            FROM {s.side}_addresses a LEFT JOIN {s.side}_located l ON {same}
+            UNION ALL SELECT {addresses.replace(" AS " + s.layout.party_id, "")} FROM {s.side}_located l WHERE NOT EXISTS (SELECT 1 FROM {s.side}_addresses a WHERE {same})""",
+    )(lambda f: s.run(f).addresses_next)
 
 
 _register_ingest(Side("q1_purchases_ingest", "purchases", purchases, presets.PURCHASES))
@@ -900,13 +923,8 @@ def q9_through(f: Frames) -> DataFrame:
     return daily(current(f, through_unclosed=True))
 
 
-@query(
-    "q10_seed_reference_data",
-    """SELECT CAST(1001000 + c_custkey AS VARCHAR) AS CEP, CASE WHEN c_nationkey < 12 THEN 'SP' ELSE 'RJ' END AS UF, c_mktsegment AS CIDADE,
-              'Bairro ' || CAST(c_nationkey AS VARCHAR) AS BAIRRO, 'Rua "A", ' || CAST(c_custkey AS VARCHAR) AS LOGRADOURO FROM customer""",
-)
-def q10(f: Frames) -> DataFrame:
-    """Postal codes, one per customer, through the CSV file they are seeded from."""
+def seeded(f: Frames):
+    """The four reference tables, through the CSV files they are seeded from; one postal code per customer."""
     nation = F.col("c_nationkey")
     codes = f.table("customer").select(
         (F.lit(1001000) + F.col("c_custkey")).cast("string").alias("CEP"),
@@ -920,11 +938,47 @@ def q10(f: Frames) -> DataFrame:
     f.address_types().select("DESCRICAO", F.upper("DESCRICAO").alias("SIGLA")).write.csv(f"{folder}/types", header=True)
     f.terms().drop("ID_CONDICAO").write.csv(f"{folder}/terms", header=True)
     presets.tier_table(f.spark).drop("ID_DESCONTO").write.csv(f"{folder}/tiers", header=True)
-    seeded = seed_reference_data(
+    return seed_reference_data(
         f.spark,
         postal_codes=f"{folder}/cep",
         address_types=f"{folder}/types",
         terms=f"{folder}/terms",
         tiers=f"{folder}/tiers",
     )
-    return seeded.postal_codes
+
+
+@query(
+    "q10_seed_reference_data",
+    """SELECT CAST(1001000 + c_custkey AS VARCHAR) AS CEP, CASE WHEN c_nationkey < 12 THEN 'SP' ELSE 'RJ' END AS UF, c_mktsegment AS CIDADE,
+              'Bairro ' || CAST(c_nationkey AS VARCHAR) AS BAIRRO, 'Rua "A", ' || CAST(c_custkey AS VARCHAR) AS LOGRADOURO FROM customer""",
+)
+def q10(f: Frames) -> DataFrame:
+    return seeded(f).postal_codes
+
+
+@query(
+    "q7_parameters_after_first_load",
+    """SELECT ROW_ID, COD, CASE WHEN COD = 1 THEN concat_ws(',', coalesce(VAR_DESCRICAO, ''), coalesce(CAST(VAR_DT_INICIAL AS VARCHAR), ''), coalesce(CAST(VAR_DT_FINAL AS VARCHAR), ''),
+                coalesce(CAST(VAR_DT_ATUAL AS VARCHAR), ''), coalesce(CAST(VAR_EXPURGO AS VARCHAR), ''), '1') ELSE DESCRICAO END AS DESCRICAO FROM parsed""",
+)
+def q7_parameters(f: Frames) -> DataFrame:
+    """The parameter rows as the first load hands them back, its status set."""
+    return initial(f, parameters=f.parameters()).parameters
+
+
+@query("q7_cashflow_initial_when_loaded", daily_sql("false"))
+def q7_loaded(f: Frames) -> DataFrame:
+    """Nothing once the status says that the first load is done."""
+    state = cash_jobs.RunState(TODAY, status=1)
+    return daily(cash_jobs.cashflow_initial(f.receipts_posted(), f.payments_posted(), state, processed_at=STAMP).daily)
+
+
+@query("q8_cashflow_close_again", daily_sql("false"))
+def q8_again(f: Frames) -> DataFrame:
+    """Nothing when the close is run again on the history it has grown."""
+    before, done = history(f), close(f)
+    days, months = before.daily.unionByName(done.daily), before.monthly.unionByName(done.monthly)
+    again = cash_jobs.cashflow_close(
+        f.receipts_posted(), f.payments_posted(), days, months, cash_jobs.RunState(TODAY, status=1), processed_at=STAMP
+    )
+    return daily(again.daily)
