@@ -36,13 +36,13 @@ LENGTH = 100
 GRAM = 16
 """Bytes that an anchor's hash covers."""
 
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 """Bytes of a document whose anchors are found at once."""
 
-BUCKET_BYTES = 1_500_000
+BUCKET_BYTES = 400_000
 """Context bytes of a bucket, at most on average; before equal contexts are put together."""
 
-FLUSH = 100_000
+FLUSH = 60_000
 """Contexts a task holds before it hands them on."""
 
 ANCHOR_BUCKET = 300_000
@@ -324,6 +324,7 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen, found, held = TaskContext.get().partitionId(), set(), [], 0
         for batch in batches:
+            pa.default_memory_pool().release_unused()  # of the batch before
             for x in batch.column(0):
                 data = (x.as_py() or "").encode("utf-8", "surrogatepass")
                 sid = _sid(data)
@@ -419,6 +420,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
 
         bucket_of: dict[bytes, int] = {}
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
                 owner, name = o.as_py(), bytes.fromhex(sha.as_py())
                 data = text_.as_py().encode("utf-8", "surrogatepass")
