@@ -96,7 +96,7 @@ def write_archives(
     """
     headers = shared_copy(record_headers(pages, key=key, url=url, payload=payload))
     total = headers.agg(F.coalesce(F.sum("payload_bytes"), F.lit(0)).alias("n")).first().n
-    revisits = resolve_revisits(headers, min_payload=min_payload)
+    revisits = shared_copy(resolve_revisits(headers, min_payload=min_payload))
 
     body = F.coalesce(F.col(payload), F.lit(""))
     named = lambda column: F.coalesce(F.col(column).cast("long").cast("string"), F.lit("none"))
@@ -106,7 +106,11 @@ def write_archives(
     # one shuffle of payloads: both sides are dealt alike, over the partitions that bound an archive's size
     parts = max(1, -(-total // archive_bytes))
     rows, known = (side.repartition(parts, "name", "payload_digest") for side in (rows, known))
-    joined = rows.join(known, ["name", "payload_digest"], "left")
+    if revisits.limit(1).count():
+        joined = rows.join(known, ["name", "payload_digest"], "left")
+    else:
+        # a join that turns out to be empty would be taken out at run time and the payloads dealt again
+        joined = rows.withColumn("refers_to", F.lit(None).cast("long"))
 
     revisit = F.col("refers_to").isNotNull()
     http = F.concat(
