@@ -39,7 +39,7 @@ GRAM = 16
 CHUNK = 1 << 18
 """Bytes of a document whose anchors are found at once."""
 
-BUCKET_BYTES = 400_000
+BUCKET_BYTES = 800_000
 """Context bytes of a bucket, at most on average; before equal contexts are put together."""
 
 FLUSH = 60_000
@@ -293,7 +293,8 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
             return
         sids = np.array([f[0] for f in found], np.int64)
         owner = np.repeat(np.arange(len(found)), [len(f[1]) for f in found])
-        place, hashed = np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found])
+        # an anchor's hash is the least of many; mixed once more, hashes spread over the buckets alike
+        place, hashed = np.concatenate([f[1] for f in found]), mix(np.concatenate([f[2] for f in found]))
         by = np.argsort(hashed)
         owner, place, hashed = owner[by], place[by], hashed[by]
         head = np.concatenate([[True], hashed[1:] != hashed[:-1]])
