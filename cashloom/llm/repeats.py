@@ -388,9 +388,11 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     total = listed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
     found = shared_copy(repeated_anchors(source.select("text"), max(1, total // 40 // ANCHOR_BUCKET), length))
-    placed = found.join(classes.select("sid", "sha", "o"), "sid").groupBy("o", "sha").agg(F.collect_list("places").alias("places"))
-    placed = shared_copy(placed)
-    size = placed.agg(F.coalesce(F.sum(F.aggregate("places", F.lit(0).cast("long"), lambda s, x: s + F.octet_length(x))), F.lit(0)).alias("n")).first().n
+    # one value per text before anything is joined: a text's anchors come from many buckets
+    whole = found.groupBy("sid").agg(F.collect_list("places").alias("parts"))
+    whole = whole.select("sid", F.aggregate("parts", F.lit(b""), lambda made, x: F.concat(made, x)).alias("places"))
+    placed = shared_copy(whole.join(classes.select("sid", "sha", "o"), "sid").select("o", "sha", "places"))
+    size = placed.agg(F.coalesce(F.sum(F.octet_length("places").cast("long")), F.lit(0)).alias("n")).first().n
     buckets = max(1, size // 4 * (2 * length - GRAM) // BUCKET_BYTES)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -425,7 +427,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
             for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
                 owner, name = o.as_py(), bytes.fromhex(sha.as_py())
                 data = text_.as_py().encode("utf-8", "surrogatepass")
-                at = np.unique(np.concatenate([np.frombuffer(p.as_buffer(), "<u4") for p in places.values])).astype(np.int64)
+                at = np.unique(np.frombuffer(places.as_buffer(), "<u4")).astype(np.int64)
                 at = at[at <= len(data) - GRAM]
                 grams = np.frombuffer(data, np.uint8)[at[:, None] + np.arange(GRAM)].astype(np.uint64)
                 shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)
