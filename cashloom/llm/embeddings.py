@@ -3,8 +3,13 @@
 Each tree splits the vectors again and again at the median of their projection on a random
 direction; a vector near the median goes to both sides. Vectors are compared within leaves of
 all trees. The trees' directions and medians are fitted on a bounded sample; every vector is
-then sent to its leaves and compared there. Medians follow the data, so crowded regions get
-more leaves rather than larger ones; exact copies are one vector with a count.
+then sent to its leaves and compared there. Exact copies are one vector with a count.
+
+A group of near copies larger than a leaf would be cut inside at each further median, so such
+groups are taken out first as cells. A cell has a centre found on the sample; the vectors that
+link with the centre are its core. What links with a core vector lies within twice the
+threshold's angle of the centre, so a cell compares its core in full with everything there, in
+pairs of blocks, and loses nothing. Only vectors in no core go to the trees.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import spread_join
 from ..sources.staging import shared_copy
 from .components import connected_components
+from .ngram import mix
 
 SAMPLE = 131_072
 """Vectors that the trees are fitted on, about; every vector is indexed and compared."""
@@ -35,6 +41,15 @@ SPILL = 0.05
 LEAST_SAMPLED = 8
 """Sampled points in a leaf, at least."""
 
+PROBED = 512
+"""Sampled points of a node that are compared with each other to find a crowded place."""
+
+SURROUNDED = 8
+"""Vectors around a cell as a multiple of its core, at most; where more lie around, trees are used."""
+
+BLOCK_BYTES = 4 << 20
+"""Vectors' bytes in a block of a cell."""
+
 
 class Forest(NamedTuple):
     """For each tree and inner node a direction and the bounds of its spill zone; nodes in heap order."""
@@ -45,6 +60,95 @@ class Forest(NamedTuple):
     depth: int
 
 
+class Cells(NamedTuple):
+    """Centres, the cosines that bound cores and surroundings, and the blocks that each cell is cut into."""
+
+    centres: np.ndarray
+    core: float
+    around: float
+    blocks: np.ndarray
+
+
+def _around(threshold: float) -> float:
+    """Cosine of twice the threshold's angle, lowered by what rounding may take."""
+    return 2 * threshold**2 - 1 - 1e-6 if threshold > 0 else -2.0
+
+
+def find_cells(sample: np.ndarray, rows: int, threshold: float, *, leaf: int = LEAF, seed: int = 12) -> tuple[Cells, np.ndarray]:
+    """Cells around groups of more than about half a leaf's vectors, and which sampled points lie in no core.
+
+    Groups are looked for in the nodes of two trees of medians, large ones at their tops.
+    """
+    n, width = sample.shape
+    single, draw = sample.astype(np.float32), np.random.default_rng(seed)
+    free, untried = np.ones(n, bool), np.ones(n, bool)
+    centres, sizes = [], []
+    per_point, around = rows / max(n, 1), _around(threshold)
+    least = max(LEAST_SAMPLED / 2, leaf / 2 / per_point) if n else 1
+
+    def crowded(part: np.ndarray) -> bool:
+        """Makes the cell of the most crowded place of a node; False if there is none."""
+        probe = part if len(part) <= PROBED else draw.choice(part, PROBED, replace=False)
+        near = single[probe] @ single[probe].T >= threshold
+        count = near.sum(axis=1) * untried[probe]
+        best = int(count.argmax())
+        if count[best] < LEAST_SAMPLED / 2 or count[best] * len(part) < least * len(probe):
+            return False
+        at = probe[near[best]]
+        for _ in range(2):
+            centre = sample[at].mean(axis=0)
+            centre /= np.linalg.norm(centre)
+            cosine = sample @ centre
+            at = np.flatnonzero(free & (cosine >= threshold))
+            if not len(at):
+                break
+        untried[probe[near[best]]] = False
+        size = np.count_nonzero(free & (cosine >= around))
+        if len(at) and size <= SURROUNDED * len(at):
+            centres.append(centre)
+            sizes.append(size * per_point)
+            free[at] = False
+        return True
+
+    for _ in range(2):
+        nodes = [np.flatnonzero(free)]
+        while nodes:
+            part = nodes.pop()
+            part = part[free[part]]
+            while len(part) >= least and crowded(part):
+                part = part[free[part]]
+            if len(part) >= 2 * least:
+                half = len(part) // 2
+                part = part[np.argpartition(single[part] @ draw.standard_normal(width).astype(np.float32), half)]
+                nodes += [part[half:], part[:half]]
+    blocks = np.ceil(np.array(sizes) / max(1024, BLOCK_BYTES // (8 * width))).astype(np.int64)
+    return Cells(np.array(centres).reshape(-1, width), threshold, around, blocks), free
+
+
+def cells_of(unit: np.ndarray, rep: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which vectors are in no core; and row numbers, codes, blocks and whether in the core, for each pair of blocks of each cell.
+
+    A vector belongs to the core of the first cell that has it there, and meets that cell and,
+    from outside, the cells before it; so each pair meets once.
+    """
+    if not len(cells.centres):
+        none = np.empty(0, np.int64)
+        return np.ones(len(unit), bool), none, none, none, none.astype(bool)
+    cosine = unit @ cells.centres.T
+    inside = cosine >= cells.core
+    none = ~inside.any(axis=1)
+    owner = np.where(none, len(cells.centres), inside.argmax(axis=1))
+    row, cell = np.nonzero((cosine >= cells.around) & (np.arange(len(cells.centres)) <= owner[:, None]))
+    blocks = cells.blocks[cell]
+    block = (mix(rep[row].astype(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+    other = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+    row, cell, block, blocks = (np.repeat(x, blocks) for x in (row, cell, block, blocks))
+    first = np.cumsum(cells.blocks**2) - cells.blocks**2
+    # below zero, where no leaf's code is
+    code = -1 - first[cell] - np.minimum(block, other) * blocks - np.maximum(block, other)
+    return none, row, code, block, owner[row] == cell
+
+
 def fit_forest(sample: np.ndarray, rows: int, *, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL, seed: int = 11) -> Forest:
     """Trees over unit vectors, deep enough for ``rows`` vectors as far as the sample allows."""
     wanted = math.ceil(math.log2(max(rows / leaf, 1)))
@@ -114,9 +218,10 @@ def vector_classes(vectors: DataFrame, *, key: str = "vec_id", vector: str = "em
 
 
 def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of one leaf: the linked classes' ids, their links first found here, and the smallest id each reaches here.
+    """Of one leaf or pair of blocks: the linked classes' ids, their links first found here, and the smallest id each reaches here.
 
-    A pair that meets in several leaves is counted in the one with the smallest code.
+    A pair that meets in several leaves is counted in the one with the smallest code. Of a cell's
+    blocks, pairs count of which one is in the core, and of two blocks those from one to the other.
     """
     here = table.column("leaf")[0].as_py()
     ids, n = table.column("rep").to_numpy(), table.column("n").to_numpy()
@@ -128,6 +233,8 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
     earlier = codes.flatten().to_numpy()
     owner, earlier = owner[earlier < here], earlier[earlier < here]
     _, earlier = np.unique(earlier, return_inverse=True)
+    side, core = table.column("block").to_numpy(), table.column("core").to_numpy(zero_copy_only=False)
+    sides = [np.flatnonzero(side == k) for k in np.unique(side)]
 
     links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
 
@@ -136,25 +243,34 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
             root[k] = k = root[root[k]]
         return k
 
+    def found(of: np.ndarray) -> np.ndarray:
+        at = root[of]
+        while (root[at] != at).any():
+            at = root[at]
+        return at
+
     block = 1024
-    for start in range(0, len(ids), block):
-        left = np.arange(start, min(start + block, len(ids)))
-        for other in range(start, len(ids), block):
-            right = np.arange(other, min(other + block, len(ids)))
+    for start in range(0, len(sides[0]), block):
+        left = sides[0][start : start + block]
+        for other in range(start if len(sides) == 1 else 0, len(sides[-1]), block):
+            right = sides[-1][other : other + block]
+            same = len(sides) == 1 and other == start
             close = unit[left] @ unit[right].T >= threshold
-            if other == start:
+            if not core[left].all():
+                close &= core[left, None] | core[right]
+            if same:
                 np.fill_diagonal(close, False)
             if not close.any():
                 continue
             # leaves before this one that two vectors share
-            met = _shared(owner, earlier, left, right)
-            fresh = close & ~met
+            fresh = close & ~_shared(owner, earlier, left, right) if len(earlier) else close
             links[left] += fresh @ n[right]
-            if other != start:
+            if not same:
                 links[right] += fresh.T @ n[left]
-            for k in np.flatnonzero(close.any(axis=1)).tolist():
+            apart = close & (found(left)[:, None] != found(right))
+            for k in np.flatnonzero(apart.any(axis=1)).tolist():
                 # the first of each tree of links is enough, and the smaller place is the smaller id
-                partners = np.unique(root[right[close[k]]])
+                partners = np.unique(root[right[apart[k]]])
                 for p in partners.tolist():
                     x, y = find(left[k]), find(p)
                     root[max(x, y)] = min(x, y)
@@ -203,7 +319,8 @@ def near_duplicates(
     """vec_id, n_links, component_id and kept of every row; see :func:`vector_classes` for rows without links.
 
     Repeated rows are vectors of their own and link with each other. Every link reported is
-    verified in double precision; what is found depends on the number of trees.
+    verified in double precision. Links of vectors in a cell's core are all found; what is
+    found of others depends on the number of trees.
     """
     rows, found = vector_classes(vectors, key=key, vector=vector)
     rows, classes = shared_copy(rows), shared_copy(found)
@@ -211,29 +328,43 @@ def near_duplicates(
     parts = max(1, -(-total // sample))
     sampled = classes.where(F.pmod(F.xxhash64("rep"), F.lit(parts)) == 0).select("v").toArrow()
     points = _matrix(sampled.column("v").combine_chunks()) if sampled.num_rows else np.zeros((0, 1))
-    forest = fit_forest(_unit(points).astype(np.float32) if len(points) else points, total, trees=trees, leaf=leaf, spill=spill)
+    points = _unit(points) if len(points) else points
+    cells, free = find_cells(points, total, threshold, leaf=leaf)
+    outside = points[free].astype(np.float32)
+    forest = fit_forest(outside, -(-total * len(outside) // max(len(points), 1)), trees=trees, leaf=leaf, spill=spill)
+    step = max(64, min(2048, (1 << 22) // (len(cells.centres) + 1)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
-                row, code = leaves_of(_unit(_matrix(batch.column("v"))).astype(np.float32), forest)
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
+                unit = _unit(_matrix(batch.column("v")))
+                none, *cell = cells_of(unit, batch.column("rep").to_numpy(), cells)
+                none = np.flatnonzero(none)
+                row, code = leaves_of(unit[none].astype(np.float32), forest)
+                row = none[row]
                 order = np.argsort(row, kind="stable")
                 row, code = row[order], code[order]
                 offsets = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                codes = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(code))
-                at = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(code), batch.column("rep").take(at), batch.column("n").take(at), batch.column("v").take(at), codes.take(at)],
-                    names=["leaf", "rep", "n", "v", "codes"],
-                )
+                leaves = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(code))
+                for at, where, block, core, codes in (
+                    (row, code, np.zeros(len(row), np.int64), np.ones(len(row), bool), leaves.take(pa.array(row))),
+                    (*cell, pa.array([[]] * len(cell[0]), pa.list_(pa.int64()))),
+                ):
+                    for k in range(0, len(at), 1 << 14):
+                        part = slice(k, k + (1 << 14))
+                        taken = batch.take(pa.array(at[part]))
+                        columns = [where[part], taken.column("rep"), taken.column("n"), taken.column("v"), codes[part], block[part], core[part]]
+                        yield pa.RecordBatch.from_arrays(
+                            [x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=["leaf", "rep", "n", "v", "codes", "block", "core"]
+                        )
 
     def compare(table: pa.Table) -> pa.Table:
         ids, links, roots = _compare(table, threshold)
         return pa.table({"rep": pa.array(ids, pa.int64()), "links": pa.array(links, pa.int64()), "root": pa.array(roots, pa.int64())})
 
     classes = classes.withColumn("rep", F.col("rep").cast("long"))
-    sent = classes.mapInArrow(assign, "leaf long, rep long, n long, v array<double>, codes array<long>")
+    sent = classes.mapInArrow(assign, "leaf long, rep long, n long, v array<double>, codes array<long>, block long, core boolean")
     compared = shared_copy(sent.groupBy("leaf").applyInArrow(compare, "rep long, links long, root long"))
     nodes = connected_components(compared, "rep", "root").withColumnRenamed("node", "rep")
     counted = compared.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -8,7 +8,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from cashloom.llm import ngram, repeats
+from cashloom.llm import embeddings, ngram, repeats
 from cashloom.llm.components import connected_components
 from cashloom.llm.embeddings import near_duplicates
 from cashloom.llm.ngram import similar_components
@@ -224,3 +224,20 @@ def test_vector_recall_on_the_table(spark):
     links = (unit @ unit.T >= 0.95).sum(axis=1) - 1
     assert all(found[r.vec_id] <= n for r, n in zip(rows, links, strict=True))
     assert sum(found.values()) >= 0.9 * links.sum()
+
+
+def test_vectors_in_large_groups(spark, monkeypatch):
+    """Groups of thousands of near copies, at the defaults: every link between their vectors, in one block and in several."""
+    draw = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centres = unit(draw.standard_normal((2, 64)))
+    near = [unit(c + draw.standard_normal((n, 64)) * s / 8) for c, n, s in zip(centres, (4000, 2000), (0.2, 0.25), strict=True)]
+    vectors = np.concatenate([*near, unit(draw.standard_normal((8000, 64)))])
+    links = np.concatenate([(vectors[k : k + 2000] @ vectors.T >= 0.95).sum(axis=1) - 1 for k in range(0, len(vectors), 2000)])
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>").repartition(8)
+    for size in (embeddings.BLOCK_BYTES, 1):
+        monkeypatch.setattr(embeddings, "BLOCK_BYTES", size)
+        found = {r.vec_id: r for r in near_duplicates(frame).collect()}
+        assert all(found[k].n_links <= n for k, n in enumerate(links.tolist()))
+        assert sum(r.n_links for r in found.values()) >= 0.999 * links.sum()
+        assert sum(found[k].component_id == 0 for k in range(4000)) >= 3990
