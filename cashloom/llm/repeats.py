@@ -4,7 +4,9 @@ A position of a document is an anchor if the hash of the bytes from there is the
 any window of the required length around it. Equal windows choose the same anchor, so the
 places of repeated anchors are the only ones where windows can repeat, and the bytes around an
 anchor, its context, go to a bucket chosen by the anchor: windows that are equal meet in one
-bucket, however many documents there are.
+bucket, however many documents there are. An anchor that too many contexts share has no
+bucket: its windows are hashed, the first of each hash is found by an aggregation that combines
+before the shuffle, and a join back marks the others.
 
 A bucket's distinct contexts are indexed by a run-compressed Burrows-Wheeler transform that
 keeps the text position at both ends of each run. The position at the head of a run, the one
@@ -18,7 +20,7 @@ corpus in each chain are marked.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 from typing import NamedTuple
 
 import numpy as np
@@ -48,6 +50,12 @@ FLUSH = 60_000
 ANCHOR_BUCKET = 300_000
 """Anchors of a bucket, on average."""
 
+HOT = 10_000
+"""Contexts of one anchor that may meet in a bucket; they are counted to within a factor of two."""
+
+HELD_WINDOWS = 200_000
+"""Windows of such anchors that a task holds before it hands them on."""
+
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
 """Bounds on what is broadcast to meet the texts; more is joined by a shuffle."""
 
@@ -283,11 +291,15 @@ _ANCHOR = np.dtype([("hash", "<u8"), ("owner", "<u4"), ("place", "<u4")])
 def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
     """sid and places (packed unsigned 32-bit) of anchors found more than once; ``texts``: one column, text.
 
+    A row without a sid has the mixed hashes (packed unsigned 64-bit) of anchors found more than HOT times instead.
+
     Copies of a text within a task count once, those of other tasks as repeats of each other.
     Of a task's own repeats one goes to the anchor's bucket and all are known already, so an
     anchor that a third of all texts share brings its bucket one row per task.
     """
 
+    bound = HOT
+
     def emit(found: list, task: int) -> Iterator[pa.RecordBatch]:
         if not found:
             return
@@ -299,12 +311,15 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         owner, place, hashed = owner[by], place[by], hashed[by]
         head = np.concatenate([[True], hashed[1:] != hashed[:-1]])
         many = ~head | np.concatenate([~head[1:], [False]])
+        power = np.zeros(len(hashed), np.int64)
+        power[head] = np.log2(np.diff(np.append(np.flatnonzero(head), len(hashed)))).astype(np.int64)
         made = []
 
         def packed(bucket: int, pick: np.ndarray, shared: bool) -> None:
             names, at = np.unique(owner[pick], return_inverse=True)
             block = np.empty(len(at), _ANCHOR)
-            block["hash"], block["owner"], block["place"] = hashed[pick], at, place[pick]
+            # fewer than 2**24 texts are held at once; the byte above has the power of two in an anchor's number
+            block["hash"], block["owner"], block["place"] = hashed[pick], at | power[pick] << 24, place[pick]
             made.append((bucket, shared, block.tobytes(), sids[names].tobytes()))
 
         single = np.flatnonzero(head)
@@ -344,12 +359,15 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         parts = []
         for s, block, names in zip(*(table.column(c) for c in ("shared", "block", "names")), strict=True):
             got = np.frombuffer(block.as_buffer(), _ANCHOR)
-            parts.append((got["hash"], np.frombuffer(names.as_buffer(), np.int64)[got["owner"]], got["place"], np.full(len(got), s.as_py())))
-        hashed, owner, place, known = (np.concatenate(c) for c in zip(*parts, strict=True))
+            whose = np.frombuffer(names.as_buffer(), np.int64)[got["owner"] & 0xFFFFFF]
+            parts.append((got["hash"], whose, got["place"], np.full(len(got), s.as_py()), np.int64(1) << (got["owner"] >> 24).astype(np.int64)))
+        hashed, owner, place, known, number = (np.concatenate(c) for c in zip(*parts, strict=True))
         by = np.flatnonzero(~known)
         by = by[np.argsort(hashed[by])]
         # the same place of the same text, from another task's copy, is no repeat
         h, o, a = hashed[by], owner[by], place[by]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+        hot = h[first][np.add.reduceat(number[by], first) > bound] if len(h) else h
         twice = np.zeros(len(by), bool)
         twice[1:] = (h[1:] == h[:-1]) & ((o[1:] != o[:-1]) | (a[1:] != a[:-1]))
         twice[:-1] |= twice[1:]
@@ -358,7 +376,8 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         owner, place = owner[pick], place[pick]
         cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, np.int64)
         blobs = [place[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(place)], strict=True)]
-        return pa.table({"sid": pa.array(owner[cuts]), "places": pa.array(blobs, pa.binary())})
+        names = [*owner[cuts].tolist(), *([None] if len(hot) else [])]
+        return pa.table({"sid": pa.array(names, pa.int64()), "places": pa.array([*blobs, *([hot.tobytes()] if len(hot) else [])], pa.binary())})
 
     return texts.mapInArrow(rows, "bucket int, shared boolean, block binary, names binary").groupBy("bucket").applyInArrow(meet, "sid long, places binary")
 
@@ -373,6 +392,71 @@ def _meeting(texts: DataFrame, small: DataFrame, how: str) -> DataFrame:
     return texts.join(F.broadcast(small) if fits else small, ["o", "sha"], how)
 
 
+def _anchors_at(data: bytes, places: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text's anchors, and their mixed hashes."""
+    at = np.unique(np.frombuffer(places.as_buffer(), "<u4")).astype(np.int64)
+    at = at[at <= len(data) - GRAM]
+    grams = np.frombuffer(data, np.uint8)[at[:, None] + np.arange(GRAM)].astype(np.uint64)
+    shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)
+    low, high = (grams[:, :8] << shifts).sum(axis=1, dtype=np.uint64), (grams[:, 8:] << shifts).sum(axis=1, dtype=np.uint64)
+    return at, mix(mix(low ^ mix(high + np.uint64(0x9E3779B97F4A7C15))))
+
+
+def hot_spans(texts: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
+    """o, sha and part of the windows around hot anchors that equal an earlier one; ``texts``: o, sha, text, places.
+
+    A task puts its own equal windows together before anything is shuffled; windows are told
+    apart by 128-bit hashes.
+    """
+    limit = HELD_WINDOWS
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[bytes, tuple[int, str, int]] = {}
+        marks: dict[tuple[int, str], list[tuple[int, int]]] = {}
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            rows = [(h, *mine, None) for h, mine in held.items()]
+            rows += [(None, *name, None, np.array(union(x), "<u4").tobytes()) for name, x in marks.items()]
+            kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+            for k in range(0, len(rows), 1 << 14):
+                columns = zip(*rows[k : k + (1 << 14)], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["window", "o", "sha", "at", "part"])
+            held.clear()
+            marks.clear()
+
+        for batch in batches:
+            for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
+                name, data = (o.as_py(), sha.as_py()), text_.as_py().encode("utf-8", "surrogatepass")
+                at, hashes = _anchors_at(data, places)
+                around = at[np.isin(hashes, hot)][:, None] + np.arange(GRAM - length, 1)
+                starts = np.unique(around[(around >= 0) & (around <= len(data) - length)])
+                for start in starts.tolist():
+                    h, mine = blake2b(data[start : start + length], digest_size=16).digest(), (*name, start)
+                    before = held.get(h)
+                    if before is None:
+                        held[h] = mine
+                    elif before != mine:
+                        later = max(before, mine)
+                        held[h] = min(before, mine)
+                        marks.setdefault(later[:2], []).append((later[2], later[2] + length))
+                if len(held) > limit:
+                    yield from emit()
+        yield from emit()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = [np.array(union([(a, a + length) for a in x.as_py()]), "<u4").tobytes() for x in batch.column("starts")]
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("sha"), pa.array(parts, pa.binary())], names=["o", "sha", "part"])
+
+    sent = shared_copy(texts.mapInArrow(windows, "window binary, o long, sha string, at long, part binary"))
+    ours = sent.where("window is not null").select("window", F.struct("o", "sha", "at").alias("mine"))
+    first = ours.groupBy("window").agg(F.min("mine").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # one row of a window comes from each time a task handed on, so no window has many
+    later = ours.join(first, "window").where("mine <> first").select("mine.o", "mine.sha", "mine.at")
+    found = later.groupBy("o", "sha").agg(F.collect_set("at").alias("starts")).mapInArrow(merged, "o long, sha string, part binary")
+    return found.unionByName(sent.where("window is null").select("o", "sha", "part"))
+
+
 def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """o, sha, whole and spans of every document from which something goes.
 
@@ -389,7 +473,9 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
 
     found = shared_copy(repeated_anchors(source.select("text"), max(1, total // 40 // ANCHOR_BUCKET), length))
     # one value per text before anything is joined: a text's anchors come from many buckets
-    whole = found.groupBy("sid").agg(F.collect_list("places").alias("parts"))
+    hot = [np.frombuffer(r.places, np.uint64) for r in found.where("sid is null").select("places").collect()]
+    hot = np.unique(np.concatenate(hot)) if hot else np.empty(0, np.uint64)
+    whole = found.where("sid is not null").groupBy("sid").agg(F.collect_list("places").alias("parts"))
     whole = whole.select("sid", F.aggregate("parts", F.lit(b""), lambda made, x: F.concat(made, x)).alias("places"))
     placed = shared_copy(whole.join(classes.select("sid", "sha", "o"), "sid").select("o", "sha", "places"))
     size = placed.agg(F.coalesce(F.sum(F.octet_length("places").cast("long")), F.lit(0)).alias("n")).first().n
@@ -427,13 +513,11 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
             for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
                 owner, name = o.as_py(), bytes.fromhex(sha.as_py())
                 data = text_.as_py().encode("utf-8", "surrogatepass")
-                at = np.unique(np.frombuffer(places.as_buffer(), "<u4")).astype(np.int64)
-                at = at[at <= len(data) - GRAM]
-                grams = np.frombuffer(data, np.uint8)[at[:, None] + np.arange(GRAM)].astype(np.uint64)
-                shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)
-                low, high = (grams[:, :8] << shifts).sum(axis=1, dtype=np.uint64), (grams[:, 8:] << shifts).sum(axis=1, dtype=np.uint64)
-                hashes = mix(low ^ mix(high + np.uint64(0x9E3779B97F4A7C15)))
-                target = ((mix(hashes) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+                at, hashes = _anchors_at(data, places)
+                if len(hot):
+                    cold = ~np.isin(hashes, hot)
+                    at, hashes = at[cold], hashes[cold]
+                target = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
                 for place, bucket in zip(at.tolist(), target.tolist(), strict=True):
                     start = max(0, place + GRAM - length)
                     context = data[start : place + length]
@@ -492,8 +576,12 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
         blobs = [np.array(union(x), "<u4").tobytes() for x in merged.values()]
         return pa.table({"o": pa.array([n[0] for n in merged], pa.int64()), "sha": pa.array([n[1].hex() for n in merged], pa.string()), "part": pa.array(blobs, pa.binary())})
 
-    sent = _meeting(hashed, placed, "inner").mapInArrow(contexts, "bucket int, marked boolean, bytes binary, rows binary, names binary")
-    spans = sent.groupBy("bucket").applyInArrow(index, "o long, sha string, part binary").groupBy("o", "sha").agg(F.collect_list("part").alias("spans"))
+    texts = _meeting(hashed, placed, "inner")
+    sent = texts.mapInArrow(contexts, "bucket int, marked boolean, bytes binary, rows binary, names binary")
+    parts = sent.groupBy("bucket").applyInArrow(index, "o long, sha string, part binary")
+    if len(hot):
+        parts = parts.unionByName(hot_spans(texts, hot, length))
+    spans = parts.groupBy("o", "sha").agg(F.collect_list("part").alias("spans"))
     copies = listed.join(classes.where("copies > 1").select("sha", F.col("o").alias("first")), "sha").where("o <> first").select("o", "sha").distinct()
     return shared_copy(
         spans.select("o", "sha", F.lit(False).alias("whole"), "spans").unionByName(

@@ -158,6 +158,23 @@ def test_repeats_on_the_table_and_in_small_parts(spark, documents, monkeypatch):
     assert Counter(tuple(r) for r in found.collect()) == expected_cuts(rows)
 
 
+def test_repeats_around_anchors_of_very_many_texts(spark, monkeypatch):
+    """A passage that most texts share amid different text: its anchors have no bucket, and nothing is lost."""
+    seen, whole = [], repeats.hot_spans
+    monkeypatch.setattr(repeats, "HOT", 8)
+    monkeypatch.setattr(repeats, "HELD_WINDOWS", 1000)
+    monkeypatch.setattr(repeats, "hot_spans", lambda texts, hot, length: seen.append(len(hot)) or whole(texts, hot, length))
+    draw = random.Random(12)
+    piece = lambda n: "".join(draw.choice("abcdeé \n") for _ in range(n))
+    common = piece(230)
+    rows = long_texts() + [(k, piece(draw.randint(0, 150)) + common + piece(draw.randint(0, 150))) for k in range(200, 260)]
+    rows += [rows[-1], (None, common), (230, piece(90) + common), (300, common[30:160] + piece(40) + common)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = cut_repeats(frame, digest=True).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert Counter(tuple(r) for r in found.collect()) == expected_cuts(rows)
+    assert len(seen) == 1 and seen[0] >= 3
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_index_marks_later_windows(seed):
     draw = random.Random(seed)
