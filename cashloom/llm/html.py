@@ -4,7 +4,8 @@ Every element of a page's tree gets a density, its characters per tag corrected
 A container's density sum adds up its children's. The container with the largest sum holds
 the article; the smallest density on the path from it up to the body is the threshold for
 what else on that path belongs to it. Elements that are no article by their own account
-(menus, forms, adverts, comments and so on) are left out before anything is measured.
+(menus, forms, adverts, comments and so on) are left out before anything is measured, but
+those that are so by a name, and forms, only if most of the text is elsewhere.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ KEPT = frozenset("html body article main".split())
 ARTICLES = frozenset("article main".split())
 
 DROPPED = frozenset(
-    "head script style noscript template iframe svg canvas object nav footer aside form button select textarea dialog menu"
+    "head script style noscript template iframe svg canvas object nav footer aside button select textarea dialog menu"
     " audio video math datalist".split()
 )
 """Elements that never hold article text."""
@@ -40,7 +41,13 @@ NAMES = frozenset(
     " subscribe signup login share sharing social related recommended comment comments disqus respond reply replies"
     " pagination pager toolbar topbar contentinfo complementary search dialog alert form widget".split()
 )
-"""Words of a class, id or role that mark an element as something else than article text."""
+"""Words of a class, id or role that mark an element as something else than article text, unless it holds most of that."""
+
+PLAIN = frozenset(
+    "list box left right top bottom block section area slot item items unit bar buttons links inner outer wrap wrapper container"
+    " site page global main primary secondary".split()
+)
+"""Words that may stand beside those in a name without changing what it says."""
 
 HEADERS = frozenset("header masthead".split())
 """Dropped outside an article; inside one they hold its title."""
@@ -58,17 +65,27 @@ _SCOPE = frozenset("table ul ol dl body html article section main div td th".spl
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[0-9]+")
 
 
+def _named(names: list[str], words: frozenset[str]) -> bool:
+    """Whether a whole name says one of ``words``: has-sidebar and social-science do not say sidebar or social."""
+    for name in names:
+        said = {w.lower() for w in _WORDS.findall(name) if not w.isdigit()}
+        if not said.isdisjoint(words) and said <= words | NAMES | PLAIN:
+            return True
+    return False
+
+
 class _Tree(HTMLParser):
     """Elements in page order, with the text that lies directly in each."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.ends = ["#root"], [-1], [0]
+        self.doubtful: list[int] = []  # no article by a name, or a form
         self.pieces: list[tuple[int, str]] = []
         self.open: list[tuple[str, int]] = [("#root", 0)]  # -1 in an element left out
         self.articles = 0
 
-    def _push(self, tag: str, dropped: bool) -> None:
+    def _push(self, tag: str, dropped: bool, doubtful: bool) -> None:
         above = self.open[-1][1]
         node = -1
         if above >= 0 and not dropped:
@@ -76,6 +93,8 @@ class _Tree(HTMLParser):
             self.tags.append(tag)
             self.parents.append(above)
             self.ends.append(node + 1)
+            if doubtful:
+                self.doubtful.append(node)
             self.articles += tag in ARTICLES
         self.open.append((tag, node))
 
@@ -104,15 +123,12 @@ class _Tree(HTMLParser):
             if tag in CLOSED_BY:
                 self._close(CLOSED_BY[tag], frozenset(("table", "ul", "ol", "dl", "select")) - {tag})
             self._break()
-        dropped = tag in DROPPED
+        dropped, doubtful = tag in DROPPED, False
         if not dropped and tag not in KEPT:
-            named = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _WORDS.findall(v)}
-            dropped = (
-                not named.isdisjoint(NAMES)
-                or (not self.articles and (tag == "header" or not named.isdisjoint(HEADERS)))
-                or any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
-            )
-        self._push(tag, dropped)
+            names = [w for k, v in attrs if k in ("class", "id", "role") and v for w in v.split()]
+            doubtful = tag == "form" or _named(names, NAMES) or (not self.articles and (tag == "header" or _named(names, HEADERS)))
+            dropped = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
+        self._push(tag, dropped, doubtful)
         if tag in VOID:
             self._pop()
 
@@ -141,6 +157,37 @@ def composite_density(c: int, t: int, lc: int, lt: int, body_lc: int, body_c: in
     return c / max(t, 1) * math.log(max(ratio, 1.0001)) / max(math.log(base + 1e-9), 0.05) if base > 1 else c / max(t, 1) * math.log(max(ratio, 1.0001)) / 0.05
 
 
+def _left_out(tree: _Tree, in_link: list[bool]) -> bytearray:
+    """Which nodes lie in a doubtful element that does not hold most of the page's article text.
+
+    That is the text outside links in the innermost article and main elements, or on a page
+    without such text all text outside links.
+    """
+    n = len(tree.tags)
+    text, marked, inner = [0] * n, [False] * n, [0] * n
+    for k, piece in tree.pieces:
+        if not in_link[k]:
+            text[k] += len(" ".join(piece.split()))
+    for k in range(n - 1, 0, -1):
+        up = tree.parents[k]
+        if tree.tags[k] in ARTICLES and not marked[k]:
+            marked[k], inner[k] = True, text[k]
+        text[up] += text[k]
+        inner[up] += inner[k]
+        marked[up] |= marked[k]
+    within = [0] * n  # the innermost article or main element around a node
+    for k in range(1, n):
+        up = tree.parents[k]
+        within[k] = k if tree.tags[k] in ARTICLES else within[up]
+    gone = bytearray(n)
+    for k in tree.doubtful:
+        around = within[k] if inner[0] and inner[within[k]] == text[within[k]] else 0
+        held = text[k] if around or not inner[0] else inner[k]
+        if held * 2 <= (inner[0] or text[0]):
+            gone[k : tree.ends[k]] = b"\1" * (tree.ends[k] - k)
+    return gone
+
+
 def main_text(html: str | None) -> str:
     """The article of a page, its blocks joined by one space; empty where there is none."""
     if not html:
@@ -156,11 +203,18 @@ def main_text(html: str | None) -> str:
     in_link = [False] * n
     for k in range(1, n):
         in_link[k] = in_link[tree.parents[k]] or tree.tags[k] == "a"
+    if tree.doubtful:
+        gone = _left_out(tree, in_link)
+        tree.pieces = [x for x in tree.pieces if not gone[x[0]]]
+    else:
+        gone = bytearray(n)
     for k, text in tree.pieces:
         size = len(" ".join(text.split()))
         chars[k] += size
         link_chars[k] += size * in_link[k]
     for k in range(n - 1, 0, -1):
+        if gone[k]:
+            continue
         up = tree.parents[k]
         chars[up] += chars[k]
         tags[up] += tags[k] + 1

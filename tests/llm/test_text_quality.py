@@ -135,6 +135,21 @@ def test_main_text_without_an_article_element():
     assert main_text(f"<body><nav>n</nav>{article}<footer>f</footer></body>") == "H Body text"
 
 
+def test_main_text_inside_wrappers_with_listed_words():
+    """Names cut at hyphens, listed names and forms around the whole page lose nothing; what they name inside still goes."""
+    body = "<h1>Title</h1><p>First paragraph of the text, long enough to count.</p><p>Second paragraph, with more words in it.</p>"
+    expected = "Title First paragraph of the text, long enough to count. Second paragraph, with more words in it."
+    other = '<div class="menu"><a href="x">One</a></div><div class="ad">Buy now</div><div class="cookie-notice">We use cookies</div>'
+    wrappers = ["<div class='content has-sidebar'>|</div>", "<div id='page' class='no-comments'>|</div>", "<section class='social-science'>|</section>"]
+    wrappers += ["<div class='layout nav-open'>|</div>", "<form action='page.aspx'>|</form>", "<div class='sidebar-right'>|</div>", "<form><div class='widget'>|</div></form>"]
+    for wrapper in wrappers:
+        for article in (body, f"<article>{body}</article>", f"<main>{body}</main>"):
+            assert main_text(f"<html><body>{wrapper.replace('|', article + other)}</body></html>") == expected, (wrapper, article)
+    comments = f"<section class='comments'>{'<p>A long comment.</p>' * 50}</section>"
+    related = "<div class='related'><article><p>Teaser text.</p></article></div>"
+    assert main_text(f"<body><article>{body}</article>{comments}{related}</body>") == expected
+
+
 def test_main_text_edges(spark):
     texts = [None, "", "plain", "<p>open <b>tags <i>only", "<div>" * 3000 + "deep" + "</div>" * 3000, "<!-- only -->", "</p></div>stray", "<script>x</script>", "<p>" + "long text " * 100_000 + "</p>", "a<br>b"]
     frame = spark.createDataFrame([(k, None, t, "x") for k, t in enumerate(texts)] + [(None, "u", "plain", "x")], "page_id long, url string, html string, text string")
