@@ -233,12 +233,15 @@ def main_text(html: str | None) -> str:
     path = [best]
     while path[-1] > 0:
         path.append(tree.parents[path[-1]])
-    article = next((k for k in reversed(path) if tree.tags[k] in ARTICLES), None)
+    # the innermost article element around the densest container is the article; a main element bounds the path like a body
+    article = next((k for k in path if tree.tags[k] == "article"), None)
+    upto = next((i for i, k in enumerate(path) if tree.tags[k] in ("body", "main")), len(path) - 1)
     if article is not None:
         chosen = [(article, tree.ends[article])]
     else:
-        upto = next((i for i, k in enumerate(path) if tree.tags[k] == "body"), len(path) - 1)
         threshold = min(density[k] for k in path[: upto + 1])
+        if tree.tags[path[upto]] == "main":
+            path = path[: upto + 1]
         on_path = set(path)
         chosen = [(best, tree.ends[best])]
         for k in range(1, n):
@@ -249,10 +252,10 @@ def main_text(html: str | None) -> str:
     for low, high in chosen:
         keep[low:high] = b"\1" * (high - low)
     if article is None:
-        for k in path[:-1]:
+        for k in path if path[-1] else path[:-1]:
             # text that lies directly in the ancestors goes with the article
             keep[k] = 1
-        keep[0] = tree.tags[best] == "#root" or best == 0 or all(tree.tags[k] != "body" for k in path)
+        keep[0] |= best == 0 or path[-1] == 0 and all(tree.tags[k] != "body" for k in path)
     # an element break is a space, so blocks come apart whatever the page's own spacing
     return " ".join("".join(text for k, text in tree.pieces if keep[k]).split())
 

@@ -150,6 +150,16 @@ def test_main_text_inside_wrappers_with_listed_words():
     assert main_text(f"<body><article>{body}</article>{comments}{related}</body>") == expected
 
 
+def test_main_text_beside_the_article_in_main():
+    article = "<article><h1>Title</h1><p>The text of the article, long enough to count as such.</p><p>And a second paragraph of it.</p></article>"
+    teasers = '<div class="grid"><p><a href="a">Another story to read</a></p><p><a href="b">One more story to read</a></p></div>'
+    expected = "Title The text of the article, long enough to count as such. And a second paragraph of it."
+    assert main_text(f"<body><main>{article}{teasers}</main></body>") == expected
+    assert main_text(f"<body><article><main><article>{article[9:]}</main>{teasers}</article></body>") == expected
+    plain = article.replace("article>", "div>")
+    assert main_text(f"<body><p>Site</p><main>{plain}{teasers}</main></body>") == expected
+
+
 def test_main_text_edges(spark):
     texts = [None, "", "plain", "<p>open <b>tags <i>only", "<div>" * 3000 + "deep" + "</div>" * 3000, "<!-- only -->", "</p></div>stray", "<script>x</script>", "<p>" + "long text " * 100_000 + "</p>", "a<br>b"]
     frame = spark.createDataFrame([(k, None, t, "x") for k, t in enumerate(texts)] + [(None, "u", "plain", "x")], "page_id long, url string, html string, text string")
