@@ -89,6 +89,57 @@ def op10_warc_revisits(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(_table(spark, folder, "pages")).drop("url")
 
 
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    from .resampling import resample
+
+    drawn = resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    from .periodic import periodic_runs
+
+    docs = _table(spark, folder, "documents").select("doc_id", planted_period("doc_id", "text").alias("text"))
+    found = periodic_runs(docs, keep=["doc_id"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("n"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.n").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.n) div (-best.p)").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def planted_period(key: str, text: str) -> Column:
+    """The text, or, for a tenth of the documents, its words with a period from one place on, as the query's contract has it."""
+    h = F.crc32(F.col(key).cast("string"))
+    g = F.expr(f"crc32(cast({key} as string)) div 10")
+
+    def periodic(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8)).cast("int")
+        repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p)))
+        return F.array_join(repeated, " ")
+
+    words = F.array_remove(F.split(F.col(text), r"[\x20\x09-\x0D]+"), "")
+    # bound once, as a lambda would split the text again for every word
+    changed = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, periodic(w)).otherwise(F.lit("")))[0]
+    return F.when(h % 10 == 0, changed).otherwise(F.col(text))
+
+
+def op13_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from .mixing import mix_sources, taken_words
+
+    mixed = taken_words(mix_sources(_table(spark, folder, "documents")))
+    return mixed.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -102,6 +153,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_language_id,
         op9_html_extraction,
         op10_warc_revisits,
+        op11_importance_resampling,
+        op12_periodic_runs,
+        op13_source_mixing,
     )
 }
 
