@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import sql
+
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -203,4 +205,5 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> original THEN original END AS refers_to
 FROM o""",
+    **sql.ORACLES,
 }
