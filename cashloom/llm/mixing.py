@@ -54,8 +54,11 @@ MOST_BLOCKS = 1 << 24
 SHARD_BLOCKS = 256
 """Blocks of an output shard."""
 
-GROUP_ROWS = 100_000
-"""Documents that are laid end to end by one task, on average."""
+GROUP_ROWS = 4096
+"""Documents that are laid end to end in one group, on average, of a corpus of up to 2^32 documents."""
+
+MOST_GROUPS = 1 << 20
+"""Groups of a source, whose totals one task adds up."""
 
 
 def water_level(sizes: Sequence[int], weights: Sequence[int], share: Fraction = SHARE, passes: int = PASSES) -> list[float]:
@@ -189,17 +192,20 @@ def drawn_blocks(spark, mix: Mix, *, seed: int, shard_blocks: int = SHARD_BLOCKS
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in batch.column(0).to_pylist():
-                for shard, before, own in split_quotas(units, shards, seed, start * step, min(shards, (start + 1) * step)):
-                    parts = []
-                    for source in np.flatnonzero(own).tolist():
-                        drawn = _drawn(mix, source, int(before[source]), int(own[source]), seed)
-                        parts.append(np.stack([np.full(len(drawn[0]), source), *drawn]))
-                    if not parts:
-                        continue
-                    table = np.concatenate(parts, axis=1)
-                    places = np.random.default_rng((seed, shards, shard)).permutation(table.shape[1])
-                    columns = [*table, np.full(table.shape[1], shard), places]
-                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=names)
+                leaves = list(split_quotas(units, shards, seed, start * step, min(shards, (start + 1) * step)))
+                ids, own = np.array([s for s, _, _ in leaves]), np.array([o for _, _, o in leaves])
+                # shards side by side draw from one stretch of a source's order
+                parts = []
+                for source in np.flatnonzero(own.sum(axis=0)).tolist():
+                    drawn = _drawn(mix, source, int(leaves[0][1][source]), int(own[:, source].sum()), seed)
+                    parts.append(np.stack([np.full(len(drawn[0]), source), *drawn, np.repeat(ids, own[:, source])]))
+                if not parts:
+                    continue
+                table = np.concatenate(parts, axis=1)
+                table = table[:, np.argsort(table[-1], kind="stable")]
+                places = [np.random.default_rng((seed, shards, s)).permutation(n) for s, n in zip(ids.tolist(), own.sum(axis=1).tolist(), strict=True)]
+                columns = [*table, np.concatenate(places)]
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=names)
 
     return spark.range(-(-shards // step)).mapInArrow(rows, ", ".join(f"{n} long" for n in names))
 
@@ -214,7 +220,7 @@ def laid_out(docs: DataFrame, *, key: str, text: str, source: str, group_rows: i
     n_words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
     sized = shared_copy(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), n_words.alias("size"), F.xxhash64(key, text).alias("mark")))
     # rows in the footers; a power of two, so that it seldom changes
-    groups = 1 << max(0, int(sized.count() // group_rows).bit_length())
+    groups = min(MOST_GROUPS, 1 << max(0, int(sized.count() // group_rows).bit_length()))
     grouped = sized.withColumn("group", F.pmod("mark", F.lit(groups)))
     inside = Window.partitionBy("source", "group").orderBy("mark", "key", "size").rowsBetween(Window.unboundedPreceding, -1)
     placed = grouped.withColumn("ahead", F.coalesce(F.sum("size").over(inside), F.lit(0)))
@@ -266,7 +272,8 @@ def mix_sources(
         "key", "source_no", "offset", "size",
         F.explode(F.sequence(F.expr(f"offset div {mix.block}"), F.expr(f"(offset + size - 1) div {mix.block}"))).alias("block"),
     )
-    met = cut.join(drawn_blocks(spark, mix, seed=seed, shard_blocks=shard_blocks), ["source_no", "block"])
+    # nobody can tell beforehand how many rows a task makes of its shards: no broadcast
+    met = cut.join(drawn_blocks(spark, mix, seed=seed, shard_blocks=shard_blocks).hint("merge"), ["source_no", "block"])
     begin = F.greatest(F.col("offset"), F.col("block") * block)
     end = F.least(F.col("offset") + F.col("size"), F.col("block") * block + F.col("words"))
     pieces = met.select(

@@ -375,11 +375,11 @@ def resample(
 ) -> DataFrame:
     """``docs`` (or its columns ``keep``, the key among them) with n_words, n_features, weight, score and rank.
 
-    Of the documents with at least ``least_words`` words, ``percent`` are drawn; the others have no
-    rank. Rows with a rank are the sample, in the order of their rank.
+    Columns of ``docs`` with these five names are replaced. Of the documents with at least
+    ``least_words`` words, ``percent`` are drawn; the others have no rank. Rows with a rank are the sample, in the order of their rank.
     """
     gains = learn_gains(docs, target, text=text, target_text=target_text, buckets=buckets)
-    weighed = weigh(docs, gains, text=text, keep=keep)
+    weighed = weigh(docs, gains, text=text, keep=[c for c in keep or docs.columns if c not in ("score", "rank")])
     # kept, as range partitions are chosen in a pass of their own
     scored = shared_copy(weighed.withColumn("score", F.col("weight") + gumbel(F.col(key), seed)))
     return ranked(scored, F.col("n_words") >= least_words, percent, key=key)
