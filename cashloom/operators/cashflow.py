@@ -89,6 +89,43 @@ def running_balance(
     return df.withColumn(balance, total.cast("decimal(26,2)"))
 
 
+def repair_balances(history: DataFrame, corrections: DataFrame, order: str, net: str, balance: str) -> DataFrame:
+    """Closed rows from the first corrected one on, as they have to be: (order, SAIDA, ENTRADA, ``net``, ``balance``).
+
+    ``corrections`` holds ENTRADA and SAIDA to be added, signed, for some values of ``order``;
+    some may be new to the history. A balance changes by the corrections up to its row, so
+    it is repaired by their prefix sums, and a new row starts from the last balance before it.
+    Nothing is summed that the history has summed before. Both sides hold one row per day or
+    month, which bounds the window.
+    """
+    none = F.lit(None).cast("decimal(26,2)")
+    old = history.select(order, "SAIDA", "ENTRADA", F.col(balance).alias("__old"), F.lit(None).cast("decimal(26,2)").alias("__change"))
+    new = corrections.select(order, "SAIDA", "ENTRADA", none.alias("__old"), (F.col("ENTRADA") - F.col("SAIDA")).alias("__change"))
+    rows = old.unionByName(new).groupBy(order).agg(
+        F.sum("SAIDA").alias("SAIDA"), F.sum("ENTRADA").alias("ENTRADA"), F.max("__old").alias("__old"), F.sum("__change").alias("__change")
+    )
+    so_far = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    change = F.sum("__change").over(so_far)
+    base = F.coalesce(F.last("__old", ignorenulls=True).over(so_far), F.lit(0))
+    return (
+        rows.withColumns({"__before": base, "__until": change})
+        .where(F.col("__until").isNotNull())  # before the first correction nothing changes
+        .select(
+            order,
+            F.col("SAIDA").cast("decimal(26,2)").alias("SAIDA"),
+            F.col("ENTRADA").cast("decimal(26,2)").alias("ENTRADA"),
+            (F.col("ENTRADA") - F.col("SAIDA")).cast("decimal(26,2)").alias(net),
+            (F.col("__before") + F.col("__until")).cast("decimal(26,2)").alias(balance),
+        )
+    )
+
+
+def with_repairs(history: DataFrame, repaired: DataFrame, order: str) -> DataFrame:
+    """The next version of the history: its rows before the first repaired one, and the repaired ones."""
+    first = repaired.agg(F.min(order)).scalar()
+    return history.where(first.isNull() | (F.col(order) < first)).unionByName(repaired)
+
+
 def latest_row(df: DataFrame, order: str, *values: str) -> DataFrame:
     """One row with the named values of the row latest in ``order``; NULLs where there is none."""
     return df.agg(*[F.max_by(v, order).alias(v) for v in values])

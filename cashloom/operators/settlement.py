@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.amounts import deviation_percent, within_percent
+from .intervals import ranges_of_points
 from .joins import fits_broadcast, spread_join
 from .quality import drop_null_rows
 
@@ -106,13 +107,7 @@ def tolerance_band_join(
     if fits_broadcast(tiers):
         matched = settlements.join(F.broadcast(bands), "TIPO").where(accepted)
     else:
-        # Too many tiers to send everywhere: meet on the number of binary digits of the days,
-        # under which a tier appears at most 32 times, and compare exactly after that.
-        low, high = F.greatest(F.col("MINIMO_DIAS"), F.lit(0)), F.col("MAXIMO_DIAS")
-        reach = F.sequence(_binary_digits(low), _binary_digits(high))
-        keyed = bands.where((high >= 0) & (low <= high)).withColumn("__digits", F.explode(reach))
-        placed = settlements.withColumn("__digits", _binary_digits(F.col("DIAS_DIFERENCA")))
-        matched = spread_join(placed, keyed, ["TIPO", "__digits"]).where(accepted)
+        matched = tiers_by_days(settlements, bands).where(_percent_accepted(actual, expected))
     if best_tier:
         return matched.groupBy(*settlements.columns).agg(F.min("ID_DESCONTO").alias("ID_DESCONTO"))
     return matched.select(*settlements.columns, "ID_DESCONTO")
@@ -124,8 +119,16 @@ def _percent_accepted(actual: str, expected: str) -> Column:
     return F.when(marked, F.lit(-1).between(low, high)).otherwise(within_percent(F.col(actual), F.col(expected), low, high))
 
 
-def _binary_digits(days: Column) -> Column:
-    return F.length(F.bin(days.cast("long")))
+def tiers_by_days(settlements: DataFrame, bands: DataFrame) -> DataFrame:
+    """Settlements with every tier of their side whose range of days holds theirs, for tiers too many to send everywhere.
+
+    The days that occur, far fewer than settlements, find their tiers through the dyadic index;
+    settlements then meet the tiers of their day and no others. A day that very many
+    settlements share is spread over tasks.
+    """
+    days = settlements.select("TIPO", "DIAS_DIFERENCA").distinct()
+    found = ranges_of_points(days, bands, ["TIPO"], point="DIAS_DIFERENCA", low="MINIMO_DIAS", high="MAXIMO_DIAS")
+    return spread_join(settlements, found.drop("MINIMO_DIAS", "MAXIMO_DIAS"), ["TIPO", "DIAS_DIFERENCA"])
 
 
 def unmatched_default(

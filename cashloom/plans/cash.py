@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 from typing import NamedTuple
@@ -10,8 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import PeriodMode, closed_before, in_month_of, previous_month, since
-from ..operators.cashflow import audit_columns, first_open_day, latest_row, merge_flows_daily, merge_flows_monthly, running_balance
+from ..operators.cashflow import (
+    audit_columns,
+    first_open_day,
+    latest_row,
+    merge_flows_daily,
+    merge_flows_monthly,
+    repair_balances,
+    running_balance,
+    with_repairs,
+)
 from ..operators.parameters import encode_parameters, parameter_value, parse_parameters
+from ..sources.staging import shared_copy
 
 RECEIVED = ("DATA_RECEBIDO", "VALOR_PAGO")
 PAID = ("DATA_PGT_EFETUADO", "VALOR_PARCELA_PAGO")
@@ -31,6 +42,15 @@ class InitialLoad(NamedTuple):
     parameters: DataFrame | None
 
 
+class Repair(NamedTuple):
+    """Closed days and months that late postings change, and both histories with them."""
+
+    daily: DataFrame
+    monthly: DataFrame
+    daily_next: DataFrame
+    monthly_next: DataFrame
+
+
 @dataclass(frozen=True)
 class RunState:
     """When a job runs and what was done before: status 0 means nothing was loaded yet."""
@@ -160,3 +180,37 @@ def cashflow_current_month(
         opening = F.coalesce(latest_row(months, "DATA_FECHAMENTO", "VALOR_ACUMULADO_MES").scalar(), closed)
     current = _both(receipts, payments, lambda d: gate & in_month_of(d, state.today))
     return daily_flow(*current, opening=opening, processed_at=processed_at)
+
+
+def cashflow_late_postings(
+    receipts: DataFrame,
+    payments: DataFrame,
+    daily_history: DataFrame,
+    monthly_history: DataFrame,
+    *,
+    arrived: str,
+    after: date,
+    processed_at: datetime | date | None = None,
+    stage: Callable[[DataFrame], DataFrame] = shared_copy,
+) -> Repair:
+    """Book postings dated in a closed month that arrived after ``after``, the day of the last close or repair.
+
+    ``arrived`` names the ledgers' column with the day a row came in; of a ledger partitioned by
+    it, only the partitions behind ``after`` are read, whatever the closed months hold. The rows
+    are added up by day, once, and balances from the first corrected day on move by the sums up
+    to them. Rows dated after the last closed day are left to the next close. Without late
+    rows nothing is repaired; a repair that is run again must start ``after`` the last one.
+    """
+    last = latest_row(daily_history, "DATA", "DATA_FECHAMENTO").scalar()
+
+    def late(flow: DataFrame, day: str) -> DataFrame:
+        return flow.where((F.col(arrived) > F.lit(after)) & (F.to_date(day) <= last))
+
+    days = stage(merge_flows_daily(late(receipts, RECEIVED[0]), late(payments, PAID[0]), RECEIVED, PAID))
+    months = days.groupBy(F.last_day("DATA").alias("DATA_FECHAMENTO")).agg(F.sum("SAIDA").alias("SAIDA"), F.sum("ENTRADA").alias("ENTRADA"))
+    daily = audit_columns(repair_balances(daily_history, days, "DATA", "SALDO_DIARIO", "ACUMULADO_DIARIO"), "DATA", processed_at=processed_at)
+    monthly = audit_columns(
+        repair_balances(monthly_history, months, "DATA_FECHAMENTO", "SALDO_MENSAL", "VALOR_ACUMULADO_MES"), None, processed_at=processed_at
+    ).withColumns({"ANO": F.year("DATA_FECHAMENTO"), "MES": F.month("DATA_FECHAMENTO")})
+    daily, monthly = stage(daily.select(*DAILY_COLUMNS)), stage(monthly.select(*MONTHLY_COLUMNS))
+    return Repair(daily, monthly, with_repairs(daily_history, daily, "DATA"), with_repairs(monthly_history, monthly, "DATA_FECHAMENTO"))

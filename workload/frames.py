@@ -33,14 +33,14 @@ class Frames:
 
     # -- cash movements ------------------------------------------------------------------
 
-    def receipts_posted(self) -> DataFrame:
+    def receipts_posted(self, *more: str) -> DataFrame:
         return self.table("orders").select(
-            at_hour("o_orderdate", F.col("o_orderkey") % 24).alias("DATA_RECEBIDO"), money("o_totalprice").alias("VALOR_PAGO")
+            *more, at_hour("o_orderdate", F.col("o_orderkey") % 24).alias("DATA_RECEBIDO"), money("o_totalprice").alias("VALOR_PAGO")
         )
 
-    def payments_posted(self) -> DataFrame:
+    def payments_posted(self, *more: str) -> DataFrame:
         return self.table("lineitem").select(
-            at_hour("l_shipdate", F.col("l_orderkey") % 24).alias("DATA_PGT_EFETUADO"), money("l_extendedprice").alias("VALOR_PARCELA_PAGO")
+            *more, at_hour("l_shipdate", F.col("l_orderkey") % 24).alias("DATA_PGT_EFETUADO"), money("l_extendedprice").alias("VALOR_PARCELA_PAGO")
         )
 
     # -- invoices and schedules ----------------------------------------------------------

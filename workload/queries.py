@@ -19,10 +19,11 @@ from cashloom.operators import parameters as params
 from cashloom.operators import quality, schedule, settlement
 from cashloom.operators.schema import conform_schema
 from cashloom.plans import cash as cash_jobs
-from cashloom.plans import ingest, posting, schedules
+from cashloom.plans import cycle, ingest, posting, schedules
 from cashloom.plans.seed import seed_reference_data
 from cashloom.sources.schemas import MONEY, required
-from cashloom.sources.staging import shared_folder
+from cashloom.sources.staging import shared_copy, shared_folder
+from cashloom.sources.tables import BucketedLog, KeyedTable
 
 from . import sql
 from .frames import FIRST_RUN, STAMP, TODAY, Frames, dotted, tax_id
@@ -278,16 +279,30 @@ def p22(f: Frames) -> DataFrame:
 # -- joins --------------------------------------------------------------------------------
 
 
-@query(
-    "j1_unprocessed_only",
-    """SELECT NUMERO_NF, DATA_PROCESSAMENTO, CNPJ_FORNECEDOR FROM purchases_typed f
-       WHERE NOT EXISTS (SELECT 1 FROM purchases_log l WHERE l.NUMERO_NF = f.NUMERO_NF AND l.DATA_PROCESSAMENTO = f.DATA_PROCESSAMENTO)""",
-)
+ORACLE_J1 = """SELECT NUMERO_NF, DATA_PROCESSAMENTO, CNPJ_FORNECEDOR FROM purchases_typed f
+       WHERE NOT EXISTS (SELECT 1 FROM purchases_log l WHERE l.NUMERO_NF = f.NUMERO_NF AND l.DATA_PROCESSAMENTO = f.DATA_PROCESSAMENTO)"""
+
+
+@query("j1_unprocessed_only", ORACLE_J1)
 def j1(f: Frames) -> DataFrame:
     rows = f.purchases_typed().select("NUMERO_NF", "DATA_PROCESSAMENTO", "CNPJ_FORNECEDOR")
     return dims.unprocessed_only(rows, f.purchases_log(), ["NUMERO_NF", "DATA_PROCESSAMENTO"])
 
 
+@query("j1_unprocessed_only_bucketed_log", ORACLE_J1)
+def j1_bucketed(f: Frames) -> DataFrame:
+    """The same against a stored log in buckets, written by two appends."""
+    rows = f.purchases_typed().select("NUMERO_NF", "DATA_PROCESSAMENTO", "CNPJ_FORNECEDOR")
+    done, even = f.purchases_log(), F.col("NUMERO_NF") % 2 == 0
+    log = BucketedLog(f.spark, f"{shared_folder(f.spark)}/log-{uuid4()}", done.schema, ["NUMERO_NF", "DATA_PROCESSAMENTO"], buckets=16)
+    log.append(done.where(even))
+    log.append(done.where(~even))
+    fresh = log.unprocessed(rows, range_column="DATA_PROCESSAMENTO")
+    fresh.schema  # analysed while the session still knows the table
+    log.forget()
+    return fresh
+
+
 @query(
     "j1_unprocessed_only_by_party",
     """SELECT NUMERO_NF, DATA_PROCESSAMENTO, CNPJ_FORNECEDOR FROM purchases_typed f
@@ -489,6 +504,31 @@ def j13_best(f: Frames) -> DataFrame:
     return tiered(f, best_tier=True)
 
 
+MANY_TIERS = """SELECT o_orderkey AS tier, o_orderkey % 2003 AS low, o_orderkey % 2003 + o_orderkey % 5 AS high, o_orderkey % 13 * 25 AS low_bp,
+                       o_orderkey % 13 * 25 + 50 AS high_bp, o_orderkey % 2 = 1 AS early FROM orders"""
+
+
+@query(
+    "j13_tolerance_band_join_many_tiers",
+    f"""SELECT {TIER_NAMES}, tier AS ID_DESCONTO FROM judged j JOIN ({MANY_TIERS}) t ON j.early = t.early AND j.days BETWEEN t.low AND t.high
+        WHERE NOT j.underpaid AND j.val <> 0 AND abs(j.r - j.val) * 10000 BETWEEN t.low_bp * j.val AND t.high_bp * j.val""",
+)
+def j13_many(f: Frames) -> DataFrame:
+    """A tier of its own for every order: too many to send everywhere."""
+    key = F.col("o_orderkey")
+    tiers = f.table("orders").select(
+        key.alias("ID_DESCONTO"),
+        (key % 2003).cast("int").alias("MINIMO_DIAS"),
+        (key % 2003 + key % 5).cast("int").alias("MAXIMO_DIAS"),
+        (key % 13 * F.lit(0.25).cast("decimal(3,2)")).cast("decimal(5,2)").alias("MINIMO"),
+        (key % 13 * F.lit(0.25).cast("decimal(3,2)") + F.lit(0.5).cast("decimal(3,2)")).cast("decimal(5,2)").alias("MAXIMO"),
+        (key % 2).cast("int").alias("TIPO_DESCONTO"),
+    )
+    judged = settlement.settlement_deviation(f.settlements())
+    matched = settlement.tolerance_band_join(judged, tiers)
+    return matched.select("ID_PROG_RECEBIMENTO", "DATA_RECEBIMENTO", cents("VALOR_RECEBIDO"), "ID_DESCONTO")
+
+
 @query(
     "j14_unmatched_default",
     f"""SELECT {TIER_NAMES}, 9 AS ID_DESCONTO, 'DESCONTO INVALIDO' AS MOTIVO FROM judged WHERE prog NOT IN (SELECT prog FROM matched)""",
@@ -610,23 +650,39 @@ def k1_residue(f: Frames) -> DataFrame:
     return in_cents(plan, "VALOR_PARCELA")
 
 
-@query(
-    "s7_upsert",
-    """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment, c_nationkey FROM customer
-       UNION ALL SELECT 1000000000 + c_custkey, 'NEW', NULL FROM customer WHERE c_custkey % 11 = 0""",
-)
-def s7(f: Frames) -> DataFrame:
+S7 = """SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS c_mktsegment, c_nationkey FROM customer
+       UNION ALL SELECT 1000000000 + c_custkey, 'NEW', NULL FROM customer WHERE c_custkey % 11 = 0"""
+
+
+def customers_changed(f: Frames) -> tuple[DataFrame, DataFrame]:
     customer = f.table("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     key = F.col("c_custkey")
     changed = customer.where(key % 5 == 0).select(key, F.lit("CHANGED").alias("c_mktsegment"))
     added = customer.where(key % 11 == 0).select((key + 1000000000).alias("c_custkey"), F.lit("NEW").alias("c_mktsegment"))
-    return dims.merge_upsert(customer, changed.unionByName(added), ["c_custkey"], ["c_mktsegment"])
+    return customer, changed.unionByName(added)
 
 
-@query(
-    "s8_mark_settled",
-    "SELECT prog AS ID_PROG_PAGAMENTO, CASE WHEN id % 4 = 0 OR prog IN (SELECT prog FROM paid_rows) THEN 1 ELSE 0 END AS STATUS_PAGAMENTO FROM instalments",
-)
+@query("s7_upsert", S7)
+def s7(f: Frames) -> DataFrame:
+    customer, changes = customers_changed(f)
+    return dims.merge_upsert(customer, changes, ["c_custkey"], ["c_mktsegment"])
+
+
+@query("s7_upsert_by_partition", S7)
+def s7_by_partition(f: Frames) -> DataFrame:
+    """The same on a stored table, in place, and once more, which changes nothing."""
+    customer, changes = customers_changed(f)
+    table = KeyedTable(f.spark, f"{shared_folder(f.spark)}/customer-{uuid4()}", customer.schema, ["c_custkey"], parts=16)
+    table.create(customer)
+    for _ in range(2):
+        table.upsert(changes, ["c_mktsegment"])
+    return table.read()
+
+
+S8 = "SELECT prog AS ID_PROG_PAGAMENTO, CASE WHEN id % 4 = 0 OR prog IN (SELECT prog FROM paid_rows) THEN 1 ELSE 0 END AS STATUS_PAGAMENTO FROM instalments"
+
+
+@query("s8_mark_settled", S8)
 def s8(f: Frames) -> DataFrame:
     plan = f.payable_schedule()
     settled = settlement.payments_to_open_schedule(f.payments(), plan)
@@ -634,6 +690,16 @@ def s8(f: Frames) -> DataFrame:
     return marked.select("ID_PROG_PAGAMENTO", "STATUS_PAGAMENTO")
 
 
+@query("s8_mark_settled_by_partition", S8)
+def s8_by_partition(f: Frames) -> DataFrame:
+    """The same on a stored schedule, in place."""
+    plan = f.payable_schedule()
+    table = KeyedTable(f.spark, f"{shared_folder(f.spark)}/plan-{uuid4()}", plan.schema, ["ID_PROG_PAGAMENTO"], parts=16)
+    table.create(plan)
+    table.mark(settlement.payments_to_open_schedule(f.payments(), plan), "STATUS_PAGAMENTO", 1)
+    return table.read().select("ID_PROG_PAGAMENTO", "STATUS_PAGAMENTO")
+
+
 @query(
     "s13_conform_schema",
     "SELECT o_orderkey AS ID_NF, CAST(o_custkey AS INTEGER) AS ID_CLIENTE, CAST(o_orderdate AS DATE) AS DATA_EMISSAO, CAST(round(o_totalprice * 100) AS BIGINT) AS VALOR_TOTAL FROM orders",
@@ -780,6 +846,30 @@ def q4(f: Frames) -> DataFrame:
     return in_cents(schedules.receivables_schedule(f.invoices(), f.terms(), existing), "VALOR_PARCELA")
 
 
+NEW_IDS = "(SELECT max(prog) FROM instalments WHERE id % 5 = 0) + row_number() OVER (ORDER BY id, k)"
+
+
+@query(
+    "q3_payables_schedule_ids",
+    f"""SELECT {NEW_IDS} AS ID_PROG_PAGAMENTO, id AS ID_NF_ENTRADA, due AS DATA_VENCIMENTO, k AS NUM_PARCELAS, val AS VALOR_PARCELA, 0 AS STATUS_PAGAMENTO
+        FROM instalments WHERE id % 5 <> 0""",
+)
+def q3_ids(f: Frames) -> DataFrame:
+    existing = f.payable_schedule().where(F.col("ID_NF_ENTRADA") % 5 == 0)
+    return in_cents(schedules.numbered_payables(f.invoices("ID_NF_ENTRADA"), f.terms(), existing), "VALOR_PARCELA")
+
+
+@query(
+    "q4_receivables_schedule_ids",
+    """SELECT (SELECT max(prog) FROM instalments WHERE id % 5 = 0 OR k = 2) + row_number() OVER (ORDER BY id, k) AS ID_PROG_RECEBIMENTO, id AS ID_NF_SAIDA,
+              due AS DATA_VENCIMENTO, k AS NUM_PARCELAS, val AS VALOR_PARCELA, 0 AS STATUS_RECEBIMENTO FROM instalments WHERE id % 5 <> 0 AND k <> 2""",
+)
+def q4_ids(f: Frames) -> DataFrame:
+    """Of some invoices a part is scheduled already."""
+    existing = f.receivable_schedule().where((F.col("ID_NF_SAIDA") % 5 == 0) | (F.col("NUM_PARCELAS") == 2))
+    return in_cents(schedules.numbered_receivables(f.invoices(), f.terms(), existing), "VALOR_PARCELA")
+
+
 @query("q5_post_payments_history", f"SELECT {PAID_NAMES} FROM paid_rows")
 def q5_history(f: Frames) -> DataFrame:
     posted = posting.post_payments(f.payment_file(), f.payable_schedule()).history
@@ -923,6 +1013,89 @@ def q9_through(f: Frames) -> DataFrame:
     return daily(current(f, through_unclosed=True))
 
 
+def late(f: Frames) -> cash_jobs.Repair:
+    """A first load without the postings that arrive after it, and their booking."""
+    run = F.lit(TODAY)
+
+    def ledger(flow: DataFrame, day: str, key: str, table: str) -> DataFrame:
+        return flow.withColumn("CHEGADA", F.when(F.col(key) % 17 == 3, F.date_add(run, 20)).otherwise(F.least(F.to_date(day), run)))
+
+    receipts = ledger(f.receipts_posted("o_orderkey"), "DATA_RECEBIDO", "o_orderkey", "orders")
+    payments = ledger(f.payments_posted("l_orderkey"), "DATA_PGT_EFETUADO", "l_orderkey", "lineitem")
+    known = [flow.where(F.col("CHEGADA") <= run) for flow in (receipts, payments)]
+    before = cash_jobs.cashflow_initial(*known, cash_jobs.RunState(TODAY, status=0), processed_at=STAMP)
+    days, months = shared_copy(before.daily), shared_copy(before.monthly)
+    return cash_jobs.cashflow_late_postings(receipts, payments, days, months, arrived="CHEGADA", after=TODAY, processed_at=STAMP)
+
+
+@query("q8_cashflow_late_postings", daily_sql("d < DATE '2000-06-01'"))
+def q8_late(f: Frames) -> DataFrame:
+    """Equal to a first load that had all postings."""
+    return daily(late(f).daily_next)
+
+
+@query("q8_cashflow_late_postings_monthly", monthly_sql("m < DATE '2000-06-01'"))
+def q8_late_monthly(f: Frames) -> DataFrame:
+    return monthly(late(f).monthly_next)
+
+
+def bank_payments(payables: DataFrame) -> DataFrame:
+    """A payment file of text columns for two thirds of the instalments, some amounts unreadable."""
+    part, due = F.col("NUM_PARCELAS"), F.col("DATA_VENCIMENTO")
+    mark = F.dayofmonth(due) + part
+    return payables.where(mark % 3 != 0).select(
+        F.col("ID_NF_ENTRADA").cast("string").alias("ID_NF_ENTRADA"),
+        due.cast("string").alias("DATA_VENCIMENTO"),
+        F.date_add(due, mark % 15 - 7).cast("string").alias("DATA_PGT_EFETUADO"),
+        F.when(mark % 17 == 0, F.lit("?")).otherwise(F.col("VALOR_PARCELA").cast("string")).alias("VALOR_PGT_EFETUADO"),
+    )
+
+
+def bank_receipts(receivables: DataFrame, invoices: DataFrame) -> DataFrame:
+    """Receipts by invoice number, early and late, with a little too much or too little."""
+    part, due = F.col("NUM_PARCELAS"), F.col("DATA_VENCIMENTO")
+    mark = F.dayofmonth(due) + part
+    value = F.call_function("div", (F.col("VALOR_PARCELA") * 100).cast("long") * (10000 + (mark % 13 - 6) * 50), F.lit(10000).cast("long"))
+    return receivables.where((F.dayofmonth(due) * 7 + part) % 4 != 0).join(invoices.select("ID_NF_SAIDA", "NUMERO_NF"), "ID_NF_SAIDA").select(
+        "NUMERO_NF",
+        "DATA_VENCIMENTO",
+        F.date_add(due, mark % 25 - 12).alias("DATA_RECEBIMENTO"),
+        (value.cast("decimal(18,0)") / 100).cast("decimal(16,2)").alias("VALOR_RECEBIDO"),
+    )
+
+
+def whole_cycle(f: Frames, stage: Callable[[DataFrame], DataFrame] = shared_copy) -> tuple[cycle.Schedules, cycle.Cycle]:
+    """Both feeds to the end: parties, invoices, schedules with ids, postings, cash flow."""
+    bought, sold = purchases(f, stage=stage), sales(f, stage=stage)
+    invoices = stage(sold.invoices)
+    payables, receivables = f.payable_schedule().limit(0), f.receivable_schedule().limit(0)
+    plans = cycle.schedule_invoices(bought, sold._replace(invoices=invoices), f.terms(), payables=payables, receivables=receivables, stage=stage)
+    none = plans.new_payables.limit(0)
+    done = cycle.post_and_report(
+        plans,
+        bank_payments(plans.new_payables),
+        bank_receipts(plans.new_receivables, invoices),
+        invoices=invoices,
+        tiers=presets.tier_table(f.spark),
+        payment_history=posting.post_payments(bank_payments(none), none).history,
+        receipt_history=f.spark.createDataFrame([], "ID_PROG_RECEBIMENTO long, ID_DESCONTO int, DATA_RECEBIDO date, VALOR_TOTAL_EM_HAVER decimal(16,2), VALOR_PAGO decimal(16,2)"),
+        state=cash_jobs.RunState(TODAY, status=0),
+        stage=stage,
+        processed_at=STAMP,
+    )
+    return plans, done
+
+
+@query(
+    "q11_feed_to_cashflow",
+    """SELECT d AS DATA, c_out AS SAIDA, c_in AS ENTRADA, c_in - c_out AS SALDO_DIARIO, CAST(sum(c_in - c_out) OVER (ORDER BY d) AS BIGINT) AS ACUMULADO_DIARIO,
+              last_day(d) AS DATA_FECHAMENTO, DATE '2000-06-15' AS DATA_PROCESSADO
+       FROM (SELECT d, CAST(sum(c_out) AS BIGINT) AS c_out, CAST(sum(c_in) AS BIGINT) AS c_in FROM cycle_flows WHERE d < DATE '2000-06-01' GROUP BY d)""",
+)
+def q11(f: Frames) -> DataFrame:
+    return daily(whole_cycle(f)[1].cash.daily)
+
+
 def seeded(f: Frames):
     """The four reference tables, through the CSV files they are seeded from; one postal code per customer."""
     nation = F.col("c_nationkey")

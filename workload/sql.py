@@ -277,6 +277,35 @@ CTES: dict[str, str] = {
 }
 
 
+def _cycle_ctes(side: str) -> dict[str, str]:
+    """Instalments of the invoices that one side's ingest accepts."""
+    return {
+        f"{side}_planned": f"""
+            SELECT inv, NUMERO_NF, k, CAST(issued + to_months(CAST(k - entrada AS INTEGER)) AS DATE) AS due, CAST((2 * c + qtd) // (2 * qtd) AS BIGINT) AS val
+            FROM (SELECT row_number() OVER () AS inv, a.NUMERO_NF, a.DATA_EMISSAO AS issued, a.VALOR_TOTAL AS c, t.QTD AS qtd, t.ENTRADA AS entrada, unnest(range(1, t.QTD + 1)) AS k
+                  FROM {side}_accepted a JOIN {side}_party_ids p ON p.tax = a.tax JOIN terms t ON t.DESCRICAO = {normalized("a.CONDICAO_PAGAMENTO")})"""
+    }
+
+
+CTES |= _cycle_ctes("purchases") | _cycle_ctes("sales")
+CTES |= {
+    "cycle_paid": """
+        SELECT due + CAST((day(due) + k) % 15 - 7 AS INTEGER) AS d, val AS c FROM purchases_planned WHERE (day(due) + k) % 3 <> 0 AND (day(due) + k) % 17 <> 0""",
+    "cycle_met": """
+        SELECT NUMERO_NF, k, val, due, due + CAST((day(due) + k) % 25 - 12 AS INTEGER) AS received, CAST(val * (10000 + ((day(due) + k) % 13 - 6) * 50) // 10000 AS BIGINT) AS r
+        FROM sales_planned WHERE (day(due) * 7 + k) % 4 <> 0""",
+    "cycle_matched": """
+        SELECT j.NUMERO_NF, j.k, j.received, j.r, t.ID_DESCONTO FROM cycle_met j JOIN tiers t
+          ON abs(j.received - j.due) BETWEEN t.low_days AND t.high_days AND (j.received < j.due) = (t.early = 1)
+         AND CASE WHEN j.received >= j.due AND j.r < j.val THEN -100 BETWEEN t.low_bp AND t.high_bp
+                  ELSE abs(j.r - j.val) * 10000 BETWEEN t.low_bp * j.val AND t.high_bp * j.val AND j.val <> 0 END""",
+    "cycle_received": """
+        SELECT received AS d, r AS c FROM (SELECT DISTINCT * FROM cycle_matched)
+        UNION ALL SELECT received, r FROM cycle_met m WHERE NOT EXISTS (SELECT 1 FROM cycle_matched x WHERE x.NUMERO_NF = m.NUMERO_NF AND x.k = m.k)""",
+    "cycle_flows": "SELECT d, 0 AS c_in, c AS c_out FROM cycle_paid UNION ALL SELECT d, c, 0 FROM cycle_received",
+}
+
+
 def oracle(query: str) -> str:
     """The query with the common table expressions it uses, in order of need."""
     needed: list[str] = []
