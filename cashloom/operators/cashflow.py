@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +11,7 @@ from pyspark.sql.types import DataType
 
 from ..functions.amounts import MONEY
 from ..functions.periods import FIRST_DAY, month_end
+from ..sources.staging import shared_copy
 
 
 def daily_sum(df: DataFrame, day: str, amount: str, total: str) -> DataFrame:
@@ -89,6 +90,42 @@ def running_balance(
     return df.withColumn(balance, total.cast("decimal(26,2)"))
 
 
+BLOCK_ROWS = 1_000_000
+"""Movements of a block of :func:`running_balance_of_movements`."""
+
+
+def running_balance_of_movements(
+    movements: DataFrame,
+    order: Sequence[str],
+    amount: str,
+    balance: str,
+    *,
+    opening: Column | None = None,
+    block_rows: int = BLOCK_ROWS,
+    stage: Callable[[DataFrame], DataFrame] = shared_copy,
+) -> DataFrame:
+    """The balance after every single movement, in ``order``, however many there are.
+
+    A blocked prefix scan: movements are dealt in order over blocks of about ``block_rows``, the
+    sums of the blocks, one row each, give every block its opening balance, and a window adds
+    up inside the block. No task gets more than a block. ``order`` should tell movements apart;
+    of those it does not, each has the balance of one of their orders, as in any running sum.
+    NULL amounts count as 0.
+    """
+    blocks = max(1, -(-movements.count() // block_rows))
+    dealt = stage(movements.repartitionByRange(blocks, *order).withColumn("__block", F.spark_partition_id()))
+    value = F.coalesce(F.col(amount), F.lit(0))
+    sums = dealt.groupBy("__block").agg(F.sum(value).alias("__sum"))
+    before = F.sum("__sum").over(Window.orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    # a row for each block: the window over them and the broadcast are bounded by their number
+    openings = F.broadcast(sums.select("__block", F.coalesce(before, F.lit(0)).alias("__before")))
+    inside = Window.partitionBy("__block").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum(value).over(inside) + F.col("__before")
+    if opening is not None:
+        total = total + F.coalesce(opening, F.lit(0))
+    return dealt.join(openings, "__block").withColumn(balance, total.cast("decimal(26,2)")).select(*movements.columns, balance)
+
+
 def repair_balances(history: DataFrame, corrections: DataFrame, order: str, net: str, balance: str) -> DataFrame:
     """Closed rows from the first corrected one on, as they have to be: (order, SAIDA, ENTRADA, ``net``, ``balance``).
 

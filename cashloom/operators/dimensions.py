@@ -86,6 +86,25 @@ def changed_members(
     return changed.select(*keys, *[offer(a).alias(a) for a in attributes]).distinct()
 
 
+def row_digest(attributes: Sequence[str]) -> Column:
+    """128 bits that tell rows with different ``attributes`` apart, NULL and text included; 16 bytes to be stored beside them."""
+    return F.unhex(F.md5(F.to_json(F.struct(*attributes))))
+
+
+def changed_by_digest(candidates: DataFrame, members: DataFrame, key: str | Sequence[str], attributes: Sequence[str], *, digest: str) -> DataFrame:
+    """:func:`changed_members` on members that store ``digest``, their :func:`row_digest` of the same attributes.
+
+    Of the members only keys and digests are read and shuffled, however wide they are; what a
+    change consists of is taken from the candidates. Types of the attributes must be the same on
+    both sides, as they were when the digest was made.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    known = members.select(*keys, F.col(digest).alias("__known"))
+    offered = candidates.select(*keys, *attributes, row_digest(attributes).alias("__offered"))
+    changed = spread_join(known, offered, keys).where(~F.col("__known").eqNullSafe(F.col("__offered")))
+    return changed.select(*keys, *attributes).distinct()
+
+
 def new_addresses(candidates: DataFrame, addresses: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Candidate addresses whose (party, postal code) is unknown."""
     return new_members(candidates, addresses, keys)

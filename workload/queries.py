@@ -13,6 +13,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType
 
 from cashloom import presets
 from cashloom.functions import closed_before, complete_tax_id, in_month_of, is_valid_tax_id, normalize_term, since
+from cashloom.functions.sql import register_functions
 from cashloom.operators import cashflow as cash
 from cashloom.operators import dimensions as dims
 from cashloom.operators import parameters as params
@@ -21,12 +22,13 @@ from cashloom.operators.schema import conform_schema
 from cashloom.plans import cash as cash_jobs
 from cashloom.plans import cycle, ingest, posting, schedules
 from cashloom.plans.seed import seed_reference_data
-from cashloom.sources.schemas import MONEY, required
+from cashloom.sources.feeds import scan_csv
+from cashloom.sources.schemas import MONEY, optional, required
 from cashloom.sources.staging import shared_copy, shared_folder
 from cashloom.sources.tables import BucketedLog, KeyedTable
 
 from . import sql
-from .frames import FIRST_RUN, STAMP, TODAY, Frames, dotted, tax_id
+from .frames import FIRST_RUN, RAW_TERMS, STAMP, TODAY, Frames, dotted, money, raw_term, tax_id
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -342,15 +344,23 @@ def j2(f: Frames) -> DataFrame:
     return dims.new_members(buyers(f), f.customers(), "CNPJ")
 
 
-@query(
-    "j3_changed_members",
-    f"""SELECT b.tax AS CNPJ, b.name AS NOME, b.email AS EMAIL, b.phone AS TELEFONE FROM ({BUYERS}) b JOIN sales_parties p ON p.tax = b.tax
-        WHERE b.name IS DISTINCT FROM p.name OR b.email IS DISTINCT FROM p.email OR b.phone IS DISTINCT FROM p.phone""",
-)
+J3 = f"""SELECT b.tax AS CNPJ, b.name AS NOME, b.email AS EMAIL, b.phone AS TELEFONE FROM ({BUYERS}) b JOIN sales_parties p ON p.tax = b.tax
+        WHERE b.name IS DISTINCT FROM p.name OR b.email IS DISTINCT FROM p.email OR b.phone IS DISTINCT FROM p.phone"""
+
+
+@query("j3_changed_members", J3)
 def j3(f: Frames) -> DataFrame:
     return dims.changed_members(buyers(f), f.customers(), "CNPJ", ("NOME", "EMAIL", "TELEFONE"))
 
 
+@query("j3_changed_members_by_digest", J3)
+def j3_by_digest(f: Frames) -> DataFrame:
+    """The same, of stored parties reading their digests only."""
+    attributes = ("NOME", "EMAIL", "TELEFONE")
+    known = shared_copy(f.customers().withColumn("RESUMO", dims.row_digest(attributes)))
+    return dims.changed_by_digest(buyers(f), known, "CNPJ", attributes, digest="RESUMO")
+
+
 ADDRESS_KEY = ["ID_FORNECEDOR", "CEP"]
 ADDRESS_NAMES = "id AS ID_FORNECEDOR, CEP, type_id AS ID_TIPO_ENDERECO, num AS NUMERO, compl AS COMPLEMENTO"
 
@@ -595,6 +605,21 @@ def w1(f: Frames) -> DataFrame:
     return balanced.select("DATA", cents("ACUMULADO_DIARIO"))
 
 
+@query(
+    "w1_running_balance_of_movements",
+    f"""SELECT l_orderkey, l_linenumber, l_partkey, CAST(sum({sql.cents("l_extendedprice")}) OVER
+              (ORDER BY CAST(l_shipdate AS DATE), l_orderkey, l_linenumber, l_partkey, l_extendedprice ROWS UNBOUNDED PRECEDING) AS BIGINT) AS ACUMULADO FROM lineitem""",
+)
+def w1_of_movements(f: Frames) -> DataFrame:
+    """The balance behind every line item, in date order, in blocks of a few thousand."""
+    lines = f.table("lineitem").select(
+        F.to_date("l_shipdate").alias("DATA"), "l_orderkey", "l_linenumber", "l_partkey", money("l_extendedprice").alias("VALOR")
+    )
+    order = ["DATA", "l_orderkey", "l_linenumber", "l_partkey", "VALOR"]
+    done = cash.running_balance_of_movements(lines, order, "VALOR", "ACUMULADO", block_rows=5000)
+    return done.select("l_orderkey", "l_linenumber", "l_partkey", cents("ACUMULADO"))
+
+
 @query(
     "w1_running_balance_by_party",
     """SELECT party, d, CAST(sum(c) OVER (PARTITION BY party ORDER BY d) AS BIGINT) AS balance FROM (
@@ -1155,3 +1180,139 @@ def q8_again(f: Frames) -> DataFrame:
         f.receipts_posted(), f.payments_posted(), days, months, cash_jobs.RunState(TODAY, status=1), processed_at=STAMP
     )
     return daily(again.daily)
+
+
+# -- files, stored tables, parameters, SQL ------------------------------------------------
+
+
+@query("q10_seed_address_types", "SELECT lower(label) AS DESCRICAO, label AS SIGLA FROM address_types")
+def q10_types(f: Frames) -> DataFrame:
+    return seeded(f).address_types
+
+
+@query("q10_seed_terms", "SELECT DESCRICAO, CAST(QTD AS INTEGER) AS QTD_PARCELAS, CAST(ENTRADA AS SMALLINT) AS ENTRADA FROM terms")
+def q10_terms(f: Frames) -> DataFrame:
+    return seeded(f).terms
+
+
+@query(
+    "q10_seed_tiers",
+    """SELECT CAST(low_days AS INTEGER) AS MINIMO_DIAS, CAST(high_days AS INTEGER) AS MAXIMO_DIAS, CAST(low_bp AS BIGINT) AS MINIMO, CAST(high_bp AS BIGINT) AS MAXIMO,
+              '-' AS APROVADOR, DATE '2023-01-01' AS DATA_APROVACAO, CAST(early AS SMALLINT) AS TIPO_DESCONTO, CAST(approved AS SMALLINT) AS STATUS_APROVACAO FROM tiers""",
+)
+def q10_tiers(f: Frames) -> DataFrame:
+    return in_cents(seeded(f).tiers.drop("DESCRICAO"), "MINIMO", "MAXIMO")
+
+
+LINE = "(l_orderkey * 7 + l_linenumber)"
+GOOD_LINE = """CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) || ',"Part ""' || CAST(l_partkey AS VARCHAR) || '"", ' || l_returnflag || '",' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"""
+
+
+def feed_folder(f: Frames) -> str:
+    """Line items as CSV files of three lots: a byte order mark, CRLF, blank lines, quoted commas, and three kinds of broken lines."""
+    number, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
+    mark = F.col("l_orderkey") * 7 + F.col("l_linenumber")
+    part = F.concat(F.lit('"Part ""'), F.col("l_partkey").cast("string"), F.lit('"", '), F.col("l_returnflag"), F.lit('"'))
+    good = F.concat_ws(",", number, line, part, F.col("l_quantity").cast("int").cast("string"))
+    text = (
+        F.when(mark % 29 == 0, F.concat_ws(",", number, line))
+        .when(mark % 31 == 0, F.concat(good, F.lit(",one too many")))
+        .when(mark % 37 == 0, F.concat_ws(",", number, line, F.lit('"Part'), F.lit("5")))
+        .otherwise(good)
+    )
+    rows = f.table("lineitem").select((F.col("l_orderkey") % 3).cast("int").alias("lote"), F.lit(1).alias("at"), text.alias("value"))
+    heads = f.spark.range(3).select(F.col("id").cast("int").alias("lote"), F.lit(0).alias("at"), F.lit("\ufeffNUMERO,LINHA,DESCRICAO,QTD").alias("value"))
+    blanks = f.spark.range(3).select(F.col("id").cast("int").alias("lote"), F.lit(2).alias("at"), F.lit("").alias("value"))
+    folder = f"{shared_folder(f.spark)}/feed-{uuid4()}"
+    lines = heads.unionByName(rows).unionByName(blanks).repartition("lote").sortWithinPartitions("lote", "at")
+    lines.select("lote", "value").write.partitionBy("lote").option("lineSep", "\r\n").text(folder)
+    return f"{folder}/lote=*"
+
+
+FEED_FIELDS = ("NUMERO", "LINHA", "DESCRICAO", "QTD")
+BROKEN = f"{LINE} % 29 = 0 OR {LINE} % 31 = 0 OR {LINE} % 37 = 0"
+
+
+@query(
+    "s2_csv_raw_scan",
+    f"""SELECT CAST(l_orderkey AS VARCHAR) AS NUMERO, CAST(l_linenumber AS VARCHAR) AS LINHA, 'Part "' || CAST(l_partkey AS VARCHAR) || '", ' || l_returnflag AS DESCRICAO,
+               CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS QTD FROM lineitem WHERE NOT ({BROKEN})""",
+)
+def s2(f: Frames) -> DataFrame:
+    return scan_csv(f.spark, feed_folder(f), FEED_FIELDS).rows
+
+
+@query(
+    "s2_csv_malformed_lines",
+    f"""SELECT CAST(l_orderkey % 3 AS INTEGER) AS lote,
+               CASE WHEN {LINE} % 29 = 0 THEN CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR)
+                    WHEN {LINE} % 31 = 0 THEN {GOOD_LINE} || ',one too many'
+                    ELSE CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) || ',"Part,5' END AS LINHA FROM lineitem WHERE {BROKEN}""",
+)
+def s2_malformed(f: Frames) -> DataFrame:
+    broken = scan_csv(f.spark, feed_folder(f), FEED_FIELDS).malformed
+    return broken.select(F.regexp_extract("ARQUIVO", r"lote=(\d)", 1).cast("int").alias("lote"), "LINHA")
+
+
+@query(
+    "s1_csv_typed_scan",
+    f"""SELECT l_orderkey AS NUMERO, CAST(l_linenumber AS INTEGER) AS LINHA, NULL::DATE AS DESCRICAO, CAST(CAST(l_quantity AS INTEGER) * 100 AS BIGINT) AS QTD
+        FROM lineitem WHERE NOT ({BROKEN})""",
+)
+def s1(f: Frames) -> DataFrame:
+    """Bound to types by position; a field that does not parse, here a date that is none, is NULL."""
+    schema = optional(NUMERO=LongType(), LINHA=IntegerType(), DESCRICAO=DateType(), QTD=MONEY)
+    return in_cents(scan_csv(f.spark, feed_folder(f), schema).rows, "QTD")
+
+
+@query("s4_append_sink", "SELECT o_orderkey, o_orderstatus FROM orders")
+def s4(f: Frames) -> DataFrame:
+    """A table grown by three appends."""
+    path = f"{shared_folder(f.spark)}/grown-{uuid4()}"
+    orders = f.table("orders").select("o_orderkey", "o_orderstatus")
+    for part in range(3):
+        orders.where(F.col("o_orderkey") % 3 == part).write.mode("append").parquet(path)
+    return f.spark.read.schema(orders.schema).parquet(path)
+
+
+@query("s5_overwrite_sink", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0")
+def s5(f: Frames) -> DataFrame:
+    """A table replaced by another one, as the view of the open month is."""
+    path = f"{shared_folder(f.spark)}/replaced-{uuid4()}"
+    orders = f.table("orders").select("o_orderkey", "o_orderstatus")
+    orders.where(F.col("o_orderkey") % 2 == 1).write.parquet(path)
+    orders.where(F.col("o_orderkey") % 2 == 0).write.mode("overwrite").parquet(path)
+    return f.spark.read.schema(orders.schema).parquet(path)
+
+
+@query(
+    "p16_scalar_lookup",
+    "SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) < (SELECT max(VAR_DT_INICIAL) FROM parsed WHERE COD = 2)",
+)
+def p16(f: Frames) -> DataFrame:
+    """One value of the parameters, looked up by its code, in a later filter."""
+    parsed = params.parse_parameters(f.parameters()).where("COD = 2").groupBy("COD").agg(F.max("VAR_DT_INICIAL").alias("VAR_DT_INICIAL"))
+    day = params.parameter_value(parsed, 2, "VAR_DT_INICIAL")
+    return f.table("orders").where(F.to_date("o_orderdate") < F.lit(day)).select("o_orderkey")
+
+
+def in_sql(f: Frames, frame: DataFrame, text: str) -> DataFrame:
+    """A query as text, over a temporary view and the library's SQL functions."""
+    register_functions(f.spark)
+    view = f"rows_{uuid4().hex}"
+    frame.createTempView(view)
+    try:
+        return f.spark.sql(text.format(view=view))
+    finally:
+        f.spark.catalog.dropTempView(view)
+
+
+@query("p7_tax_id_valid_in_sql", f"SELECT o_orderkey, tax_text, {sql.valid_tax_id('tax_text')} AS valid FROM ({TAX_TEXT})")
+def p7_in_sql(f: Frames) -> DataFrame:
+    return in_sql(f, p7(f).drop("valid"), "SELECT o_orderkey, tax_text, cnpj_valid(tax_text) AS valid FROM {view}")
+
+
+@query("p10_normalize_term_in_sql", f"SELECT o_orderkey, {sql.normalized(sql.pick(RAW_TERMS, f'o_orderkey % {len(RAW_TERMS)}'))} AS term FROM orders")
+def p10_in_sql(f: Frames) -> DataFrame:
+    terms = f.table("orders").select("o_orderkey", raw_term(F.col("o_orderkey")).alias("raw"))
+    return in_sql(f, terms, "SELECT o_orderkey, normalized_term(raw) AS term FROM {view}")
