@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import lookup_join, spread_join
+from .joins import MEMBER_ROWS, fits_broadcast, lookup_join, spread_join
 
 
 def unprocessed_only(feed: DataFrame, log: DataFrame, keys: Sequence[str], *, range_column: str | None = None) -> DataFrame:
@@ -152,6 +152,18 @@ def one_id_per_key(table: DataFrame, key: str | Sequence[str], id_column: str) -
     return table.groupBy(*keys).agg(F.min(id_column).alias(id_column))
 
 
+def ids_of_keys(table: DataFrame, wanted: DataFrame, key: str, id_column: str) -> DataFrame:
+    """:func:`one_id_per_key` of the wanted keys only; ``wanted``: a stored frame with one row per key.
+
+    Few keys go to the table and thin it out before anything of it is aggregated or shuffled;
+    many meet what the aggregation leaves of it, on the partitioning that both already have.
+    """
+    keys = wanted.select(key)
+    if fits_broadcast(keys, MEMBER_ROWS):
+        return one_id_per_key(table.join(F.broadcast(keys), key, "left_semi"), key, id_column)
+    return one_id_per_key(table, key, id_column).join(keys, key, "left_semi")
+
+
 def merge_upsert(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], columns: Sequence[str], *, insert: bool = True
 ) -> DataFrame:

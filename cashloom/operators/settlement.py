@@ -45,6 +45,30 @@ def receipts_to_schedule(
     return met.select(*schedule.columns, amount, received)
 
 
+def receipts_to_unposted(
+    receipts: DataFrame,
+    invoices: DataFrame,
+    schedule: DataFrame,
+    history: DataFrame,
+    *,
+    number: str = "NUMERO_NF",
+    invoice_id: str = "ID_NF_SAIDA",
+    due: str = "DATA_VENCIMENTO",
+    schedule_id: str = "ID_PROG_RECEBIMENTO",
+    amount: str = "VALOR_RECEBIDO",
+    received: str = "DATA_RECEBIMENTO",
+) -> DataFrame:
+    """:func:`receipts_to_schedule` of receipts that name an invoice's number, in one join that hot keys have to be spread for.
+
+    The schedule loses what was posted and gets the invoices' numbers by two joins on ids that
+    are unique on one side; then receipts meet it once, by number and due date.
+    """
+    unposted = schedule.join(history.select(schedule_id).distinct(), schedule_id, "left_anti")
+    numbered = unposted.join(invoices.select(number, invoice_id), invoice_id)
+    met = spread_join(receipts.select(number, due, amount, received), numbered, [number, due])
+    return met.select(*schedule.columns, amount, received)
+
+
 def payments_to_open_schedule(
     payments: DataFrame,
     schedule: DataFrame,

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from typing import NamedTuple
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import is_valid_tax_id, normalize_term, strip_punctuation
@@ -14,6 +15,7 @@ from ..operators.dimensions import (
     build_invoice_fact,
     changed_addresses,
     changed_members,
+    ids_of_keys,
     latest_per_key,
     merge_upsert,
     new_addresses,
@@ -33,6 +35,7 @@ from ..presets import DEFAULT_NUMBER, DEFAULT_TEXT, FEED_CASTS, INVOICE_COLUMNS,
 from ..sources.staging import shared_copy
 
 ADDRESS_COLUMNS = ("ID_TIPO_ENDERECO", "NUMERO", "COMPLEMENTO")
+ACCEPTED = "OK"
 LOG_KEY = ("NUMERO_NF", "DATA_PROCESSAMENTO")
 
 
@@ -55,6 +58,18 @@ class Ingest(NamedTuple):
     incomplete_invoices: DataFrame
     parties_next: DataFrame
     addresses_next: DataFrame
+    verdicts: Observation | None = None
+
+    def verdict_counts(self) -> dict[str, int]:
+        """Rows of the feed by verdict, OK or the reason of the rejection, counted while the validated feed was staged."""
+        return {code: n for code, n in self.verdicts.get.items() if n}
+
+
+def count_verdicts(validated: DataFrame, rules: list[tuple[Column, str]], reason: str = "MOTIVO") -> tuple[DataFrame, Observation]:
+    """``validated``, and its rows by verdict, to be read once it has been written or otherwise run through; no pass of its own."""
+    seen = Observation(f"verdicts-{uuid4()}")
+    codes = dict.fromkeys([*(code for _, code in rules), ACCEPTED])
+    return validated.observe(seen, *[F.count_if(F.col(reason) == code).alias(code) for code in codes]), seen
 
 
 def validate_feed(feed: DataFrame, processed: DataFrame, postal_codes: DataFrame, layout: Layout) -> DataFrame:
@@ -99,10 +114,8 @@ def _ingest(
             new_members(offered, parties, layout.tax_id), layout.tax_id, layout.party_id, start_after=parties
         )
     )
-    # the parties of this feed only, on the partitioning that both sides already have
-    known_ids = one_id_per_key(parties, layout.tax_id, layout.party_id).join(
-        offered.select(layout.tax_id), layout.tax_id, "left_semi"
-    )
+    # the parties of this feed only
+    known_ids = ids_of_keys(parties, offered, layout.tax_id, layout.party_id)
     party_ids = stage(known_ids.unionByName(entering.select(layout.tax_id, layout.party_id)))
 
     type_ids = one_id_per_key(
@@ -186,10 +199,10 @@ def purchases_ingest(
     after those of ``invoices_so_far``, a table of them or the last id.
     """
     typed = stage(trim_cast_columns(feed, FEED_CASTS).withColumn("TIPO_ENDERECO", F.upper("TIPO_ENDERECO")))
-    validated = stage(validate_feed(typed, processed, postal_codes, PURCHASES))
-    result = _ingest(validated, PURCHASES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)
+    judged, verdicts = count_verdicts(validate_feed(typed, processed, postal_codes, PURCHASES), feed_rules(PURCHASES, tax_id_ok="CNPJ_VALIDO", postal_ok="CEP_VALIDO"))
+    result = _ingest(stage(judged), PURCHASES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)
     # rejects are kept with a numeric postal code
-    return result._replace(rejected=result.rejected.withColumn("CEP", F.col("CEP").try_cast("int")))
+    return result._replace(rejected=result.rejected.withColumn("CEP", F.col("CEP").try_cast("int")), verdicts=verdicts)
 
 
 def sales_ingest(
@@ -207,5 +220,6 @@ def sales_ingest(
 ) -> Ingest:
     """Ingest a sales feed already typed by its scan; only the invoice number is still text."""
     typed = stage(feed.withColumn("NUMERO_NF", F.col("NUMERO_NF").try_cast("int")))
-    validated = stage(validate_feed(typed, processed, postal_codes, SALES))
-    return _ingest(validated, SALES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)
+    judged, verdicts = count_verdicts(validate_feed(typed, processed, postal_codes, SALES), feed_rules(SALES, tax_id_ok="CNPJ_VALIDO", postal_ok="CEP_VALIDO"))
+    result = _ingest(stage(judged), SALES, parties, addresses, address_types, terms, stage, keep_known, invoices_so_far)
+    return result._replace(verdicts=verdicts)

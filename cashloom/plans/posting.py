@@ -13,8 +13,7 @@ from ..operators.schema import conform_schema
 from ..operators.settlement import (
     mark_settled,
     payments_to_open_schedule,
-    receipts_to_invoice,
-    receipts_to_schedule,
+    receipts_to_unposted,
     settlement_deviation,
     tolerance_band_join,
     unmatched_default,
@@ -56,8 +55,7 @@ def post_receipts(
     Any receipt settles its instalment, divergent ones too. The matched receipts are read
     several times, so ``stage`` keeps them.
     """
-    known = receipts_to_invoice(receipts, invoices)
-    met = stage(settlement_deviation(receipts_to_schedule(known, schedule, history)))
+    met = stage(settlement_deviation(receipts_to_unposted(receipts, invoices, schedule, history)))
     columns = ["ID_PROG_RECEBIMENTO", "ID_DESCONTO", "DATA_RECEBIMENTO", "VALOR_PARCELA", "VALOR_RECEBIDO"]
     matched = tolerance_band_join(met, tiers, approved_only=approved_only, best_tier=best_tier).select(*columns).distinct()
     divergent = unmatched_default(met, matched).select(*columns)

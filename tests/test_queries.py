@@ -46,17 +46,21 @@ JOINING = [
     "q1_purchases_ingest_invoices",
     "q2_sales_ingest_changed_addresses",
     "q6_post_receipts_history",
+    "j13_tolerance_band_join_many_tiers",
+    "j3_changed_members_by_digest",
+    "j1_unprocessed_only_bucketed_log",
+    "q4_receivables_schedule_ids",
 ]
 
 
 @pytest.mark.parametrize("name", JOINING)
 def test_same_answer_with_sliced_keys_and_no_small_side(spark, duck, monkeypatch, name):
     """The paths for large data: nothing counts as small, and few rows make a key hot."""
-    from cashloom.operators import joins, quality, settlement
+    from cashloom.operators import dimensions, joins, quality, settlement
 
     monkeypatch.setitem(joins.spread_join.__kwdefaults__, "slice_rows", 25)
     monkeypatch.setitem(joins.spread_join.__kwdefaults__, "buckets", 256)
-    for module in (joins, quality, settlement):
+    for module in (dimensions, joins, quality, settlement):
         monkeypatch.setattr(module, "fits_broadcast", lambda df, rows=0: False)
     df = QUERIES[name](spark, FOLDER)
     assert difference(df, duck, ORACLES[name]) is None

@@ -849,6 +849,15 @@ def _register_ingest(s: Side) -> None:
     )(lambda f: s.run(f).addresses_next)
 
 
+def _register_verdicts(name: str, side: str, run: Callable[[Frames], ingest.Ingest]) -> None:
+    def counted(f: Frames) -> DataFrame:
+        return f.spark.createDataFrame(list(run(f).verdict_counts().items()), "MOTIVO string, linhas long")
+
+    query(name, f"SELECT MOTIVO, count(*) AS linhas FROM {side}_validated GROUP BY MOTIVO")(counted)
+
+
+_register_verdicts("q1_purchases_ingest_verdicts", "purchases", purchases)
+_register_verdicts("q2_sales_ingest_verdicts", "sales", sales)
 _register_ingest(Side("q1_purchases_ingest", "purchases", purchases, presets.PURCHASES))
 _register_ingest(Side("q2_sales_ingest", "sales", sales, presets.SALES))
 
