@@ -9,13 +9,16 @@ A group of near copies larger than a leaf would be cut inside at each further me
 groups are taken out first as cells. A cell has a centre found on the sample; the vectors that
 link with the centre are its core. What links with a core vector lies within twice the
 threshold's angle of the centre, so a cell compares its core in full with everything there, in
-pairs of blocks, and loses nothing. Only vectors in no core go to the trees.
+pairs of blocks, and loses nothing. Where vectors all lean to one side, most of them are that near
+to any centre: a cell then takes a narrower core, which has to look less far, if that holds
+nearly all of the group. Only vectors in no core go to the trees.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -44,9 +47,15 @@ LEAST_SAMPLED = 8
 PROBED = 512
 """Sampled points of a node that are compared with each other to find a crowded place."""
 
-SURROUNDED = 8
+SURROUNDED = 24
 """Vectors around a cell as a multiple of its core, at most; where more lie around, trees are used."""
 
+CORES = (1.0, 0.8, 0.6)
+"""A core's angle, in angles of the threshold; a smaller core has less around it."""
+
+COVERED = 0.9
+"""Share of the widest core that a smaller one has to hold."""
+
 BLOCK_BYTES = 4 << 20
 """Vectors' bytes in a block of a cell."""
 
@@ -61,17 +70,19 @@ class Forest(NamedTuple):
 
 
 class Cells(NamedTuple):
-    """Centres, the cosines that bound cores and surroundings, and the blocks that each cell is cut into."""
+    """Centres, the cosines that bound each one's core and surroundings, and the blocks that each cell is cut into."""
 
     centres: np.ndarray
-    core: float
-    around: float
+    core: np.ndarray
+    around: np.ndarray
     blocks: np.ndarray
 
 
-def _around(threshold: float) -> float:
-    """Cosine of twice the threshold's angle, lowered by what rounding may take."""
-    return 2 * threshold**2 - 1 - 1e-6 if threshold > 0 else -2.0
+def _bounds(threshold: float, share: float) -> tuple[float, float]:
+    """Cosines of a core of ``share`` of the threshold's angle, and of the angle of its links, lowered by what rounding may take."""
+    angle = math.acos(threshold)
+    beyond = (1 + share) * angle
+    return (threshold if share == 1 else math.cos(share * angle)), (math.cos(beyond) - 1e-6 if beyond < math.pi else -2.0)
 
 
 def find_cells(sample: np.ndarray, rows: int, threshold: float, *, leaf: int = LEAF, seed: int = 12) -> tuple[Cells, np.ndarray]:
@@ -82,8 +93,8 @@ def find_cells(sample: np.ndarray, rows: int, threshold: float, *, leaf: int = L
     n, width = sample.shape
     single, draw = sample.astype(np.float32), np.random.default_rng(seed)
     free, untried = np.ones(n, bool), np.ones(n, bool)
-    centres, sizes = [], []
-    per_point, around = rows / max(n, 1), _around(threshold)
+    centres, sizes, bounds = [], [], []
+    per_point = rows / max(n, 1)
     least = max(LEAST_SAMPLED / 2, leaf / 2 / per_point) if n else 1
 
     def crowded(part: np.ndarray) -> bool:
@@ -103,11 +114,18 @@ def find_cells(sample: np.ndarray, rows: int, threshold: float, *, leaf: int = L
             if not len(at):
                 break
         untried[probe[near[best]]] = False
-        size = np.count_nonzero(free & (cosine >= around))
-        if len(at) and size <= SURROUNDED * len(at):
-            centres.append(centre)
-            sizes.append(size * per_point)
-            free[at] = False
+        if len(at):
+            widest, fitting = len(at), []
+            for core, around in (_bounds(threshold, share) for share in CORES):
+                held, size = np.count_nonzero(free & (cosine >= core)), np.count_nonzero(free & (cosine >= around))
+                if held >= COVERED * widest and size <= SURROUNDED * held:
+                    fitting.append((size / held, -core, core, around, size))
+            if fitting:
+                *_, core, around, size = min(fitting)
+                centres.append(centre)
+                sizes.append(size * per_point)
+                bounds.append((core, around))
+                free[cosine >= core] = False
         return True
 
     for _ in range(2):
@@ -122,7 +140,8 @@ def find_cells(sample: np.ndarray, rows: int, threshold: float, *, leaf: int = L
                 part = part[np.argpartition(single[part] @ draw.standard_normal(width).astype(np.float32), half)]
                 nodes += [part[half:], part[:half]]
     blocks = np.ceil(np.array(sizes) / max(1024, BLOCK_BYTES // (8 * width))).astype(np.int64)
-    return Cells(np.array(centres).reshape(-1, width), threshold, around, blocks), free
+    core, around = np.array(bounds).reshape(-1, 2).T
+    return Cells(np.array(centres).reshape(-1, width), core, around, blocks), free
 
 
 def cells_of(unit: np.ndarray, rep: np.ndarray, cells: Cells) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -199,9 +218,8 @@ def _matrix(column: pa.Array) -> np.ndarray:
 def vector_classes(vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
     """The rows (vec_id, vector; NULL for one that links with nothing) and the classes of equal vectors.
 
-    A vector links with nothing if it or its id is NULL, if it is empty or zero, if it has a
-    NULL or non-finite component, or if its length is not the most common one (of equally
-    common lengths, the largest).
+    A vector links with nothing if it or its id is NULL, if it is empty or zero, or if it has a
+    NULL or non-finite component. Vectors of different lengths never link.
     """
     at = F.col(vector)
     usable = (
@@ -211,8 +229,6 @@ def vector_classes(vectors: DataFrame, *, key: str = "vec_id", vector: str = "em
         & F.exists(at, lambda x: x != 0)
     )
     rows = vectors.select(F.col(key).alias("vec_id"), F.when(usable, F.transform(at, lambda x: x.cast("double") + F.lit(0.0))).alias("v"))
-    sizes = rows.where("v is not null").groupBy(F.size("v").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    rows = rows.withColumn("v", F.when(F.size("v") == (sizes["size"] if sizes else 0), F.col("v")))
     classes = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
     return rows, classes
 
@@ -305,26 +321,8 @@ def _shared(owner: np.ndarray, code: np.ndarray, left: np.ndarray, right: np.nda
     return counts > 0
 
 
-def near_duplicates(
-    vectors: DataFrame,
-    *,
-    key: str = "vec_id",
-    vector: str = "embedding",
-    threshold: float = 0.95,
-    trees: int = TREES,
-    leaf: int = LEAF,
-    spill: float = SPILL,
-    sample: int = SAMPLE,
-) -> DataFrame:
-    """vec_id, n_links, component_id and kept of every row; see :func:`vector_classes` for rows without links.
-
-    Repeated rows are vectors of their own and link with each other. Every link reported is
-    verified in double precision. Links of vectors in a cell's core are all found; what is
-    found of others depends on the number of trees.
-    """
-    rows, found = vector_classes(vectors, key=key, vector=vector)
-    rows, classes = shared_copy(rows), shared_copy(found)
-    total = classes.count()
+def _links(classes: DataFrame, total: int, *, threshold: float, trees: int, leaf: int, spill: float, sample: int) -> DataFrame:
+    """rep, links and root of the linked classes of vectors of one length; ``total``: the classes there are."""
     parts = max(1, -(-total // sample))
     sampled = classes.where(F.pmod(F.xxhash64("rep"), F.lit(parts)) == 0).select("v").toArrow()
     points = _matrix(sampled.column("v").combine_chunks()) if sampled.num_rows else np.zeros((0, 1))
@@ -363,9 +361,37 @@ def near_duplicates(
         ids, links, roots = _compare(table, threshold)
         return pa.table({"rep": pa.array(ids, pa.int64()), "links": pa.array(links, pa.int64()), "root": pa.array(roots, pa.int64())})
 
-    classes = classes.withColumn("rep", F.col("rep").cast("long"))
     sent = classes.mapInArrow(assign, "leaf long, rep long, n long, v array<double>, codes array<long>, block long, core boolean")
-    compared = shared_copy(sent.groupBy("leaf").applyInArrow(compare, "rep long, links long, root long"))
+    return sent.groupBy("leaf").applyInArrow(compare, "rep long, links long, root long")
+
+
+def near_duplicates(
+    vectors: DataFrame,
+    *,
+    key: str = "vec_id",
+    vector: str = "embedding",
+    threshold: float = 0.95,
+    trees: int = TREES,
+    leaf: int = LEAF,
+    spill: float = SPILL,
+    sample: int = SAMPLE,
+) -> DataFrame:
+    """vec_id, n_links, component_id and kept of every row; see :func:`vector_classes` for rows without links.
+
+    Repeated rows are vectors of their own and link with each other. Every link reported is
+    verified in double precision. Links of vectors in a cell's core are all found; what is
+    found of others depends on the number of trees.
+    """
+    rows, found = vector_classes(vectors, key=key, vector=vector)
+    rows, classes = shared_copy(rows), shared_copy(found)
+    classes = classes.withColumn("rep", F.col("rep").cast("long"))
+    # one row for each length; vectors of one model have one
+    lengths = classes.groupBy(F.size("v").alias("size")).agg(F.count(F.lit(1)).alias("n")).orderBy("size").collect()
+    parts = [
+        _links(classes.where(F.size("v") == r.size), r.n, threshold=threshold, trees=trees, leaf=leaf, spill=spill, sample=sample) for r in lengths
+    ]
+    none = classes.sparkSession.createDataFrame([], "rep long, links long, root long")
+    compared = shared_copy(reduce(DataFrame.unionByName, parts, none))
     nodes = connected_components(compared, "rep", "root").withColumnRenamed("node", "rep")
     counted = compared.groupBy("rep").agg(F.sum("links").alias("links"))
     classed = (
