@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import letting_go
+
 DIMENSIONS = 1024
 READY = 4096
 """Trigrams whose vectors a worker keeps ready; the others are bound when they occur."""
@@ -26,6 +28,9 @@ CHUNK = 1 << 20
 BATCH = 128
 """Documents whose trigram counts are multiplied at once."""
 
+HELD = 1 << 19
+"""Trigram counts of documents that a task holds before it adds them up."""
+
 UNKNOWN = "und"
 _SPACE = 32
 _BITS = 21
@@ -110,17 +115,41 @@ class Profiles(NamedTuple):
     ready: np.ndarray
 
 
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
 def _labelled_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram counts by language, added up for each batch of documents."""
+    """Trigram counts by language, added up for each batch of documents.
+
+    No more than about ``HELD`` counts are held at once: beyond it those of each language are
+    put together, and handed on where that does not make them few.
+    """
+    found: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        for lang, parts in found.items():
+            codes, counts = _added(parts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"])
+        found.clear()
+
     for batch in batches:
-        found: dict[str, list] = {}
+        held = 0
         for lang, text in zip(batch.column(0), batch.column(1), strict=True):
             if text.as_py():
-                found.setdefault(lang.as_py(), []).append(trigrams(text.as_py()))
-        for lang, parts in found.items():
-            codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
-            counts = np.bincount(at, np.concatenate([n for _, n in parts])).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes)), pa.array(codes), pa.array(counts)], names=["lang", "code", "n"])
+                part = trigrams(text.as_py())
+                found.setdefault(lang.as_py(), []).append(part)
+                held += len(part[0])
+            if held > HELD:
+                for name, parts in found.items():
+                    found[name] = [_added(parts)]
+                held = sum(len(parts[0][0]) for parts in found.values())
+                if 2 * held > HELD:
+                    yield from emit()
+                    held = 0
+        yield from emit()
+        pa.default_memory_pool().release_unused()
 
 
 def learn_profiles(labelled: DataFrame, *, text: str = "text", lang: str = "lang", dimensions: int = DIMENSIONS, ready: int = READY) -> Profiles:
@@ -129,7 +158,7 @@ def learn_profiles(labelled: DataFrame, *, text: str = "text", lang: str = "lang
     The driver gets one vector for each language and ``ready`` trigrams, whatever the corpus.
     """
     source = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counts = source.mapInArrow(_labelled_counts, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).persist()
+    counts = source.mapInArrow(letting_go(_labelled_counts), "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).persist()
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = _Vectors(dimensions)
@@ -209,4 +238,4 @@ def predict_language(docs: DataFrame, profiles: Profiles, *, text: str = "text",
                     [*(part.column(c) for c in kept), pa.array(langs, pa.string()), pa.array(scores)], names=[*kept, *into]
                 )
 
-    return source.mapInArrow(rows, schema)
+    return source.mapInArrow(letting_go(rows), schema)

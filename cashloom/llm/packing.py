@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import shared_copy
 from .bpe import vocabulary
+from .memory import letting_go
 
 CAPACITY = 4096
 END = 1
@@ -142,8 +143,6 @@ def plan_bins(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[Place
     return placed
 
 
-
-
 def token_pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """Each document's ids with ``end`` behind them, cut only where longer than ``capacity``.
 
@@ -176,7 +175,7 @@ def token_pieces(docs: DataFrame, path: str, *, key: str = "doc_id", text: str =
             columns += [pa.array([task] * len(owner), pa.int32()), pa.array(nth, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return source.mapInArrow(rows, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
+    return source.mapInArrow(letting_go(rows, keep=True), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, task int, nth long")
 
 
 def pack(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
