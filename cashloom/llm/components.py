@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import shared_copy
+from ..sources.staging import Staging
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,10 +15,12 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     every node's larger neighbours to its smallest one and then its smaller neighbours, which
     shortens paths at least by half in practice; the loop ends when all links are stars around
     smallest nodes. A node with very many links only ever meets them in aggregations that
-    combine before the shuffle and in joins that can be split.
+    combine before the shuffle and in joins that can be split. The links of a round are released
+    when the next one has its own.
     """
     clean = links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    current = shared_copy(clean.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
+    round_ = Staging(links.sparkSession)
+    current = round_(clean.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
     while not _are_stars(current):
         both = current.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             current.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
@@ -27,7 +29,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         lowest = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(lowest, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        current = shared_copy(small.unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct())
+        before, round_ = round_, Staging(links.sparkSession)
+        current = round_(small.unionByName(lowest.select("hi", F.col("m").alias("lo"))).distinct())
+        before.release()
     roots = current.select(F.col("lo").alias("node")).distinct().withColumn("component", F.col("node"))
     return current.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 

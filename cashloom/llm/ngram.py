@@ -21,6 +21,7 @@ other; a last round verifies every pair that is still allowed between components
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import spread_join
-from ..sources.staging import shared_copy
+from ..sources.staging import Staging, shared_copy
 from .components import connected_components
+from .memory import letting_go
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 80, 100
@@ -48,6 +50,9 @@ BUCKET = 1_000_000
 BLOCK = 4096
 """Sets of a tile that one task compares with as many others."""
 
+MAP_WORDS = 512
+"""64-bit words of a bitmap in a block; longer ones are folded, which leaves them a bound."""
+
 PAIRED = 32
 """Sets of a tile up to which its pairs are joined directly."""
 
@@ -175,7 +180,7 @@ def set_table(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_shingles", "set_id"])
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(rows, f"doc_id {kind}, n_shingles long, set_id long")
+    return source.mapInArrow(letting_go(rows), f"doc_id {kind}, n_shingles long, set_id long")
 
 
 def _set_id(elements: np.ndarray) -> int:
@@ -217,10 +222,9 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         one_key, one_owner = key[head], owner[head]
         place = ((one_key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         # keys of a bucket that agree in 48 bits only add candidates
-        cuts = np.searchsorted(place, np.arange(buckets + 1))
-        for b in range(buckets):
-            if cuts[b] < cuts[b + 1]:
-                made.append(packed(b, one_key[cuts[b] : cuts[b + 1]], one_owner[cuts[b] : cuts[b + 1]], False))
+        cuts = [0, *(np.flatnonzero(place[1:] != place[:-1]) + 1).tolist(), len(place)]
+        for start, stop in zip(cuts, cuts[1:], strict=False):
+            made.append(packed(int(place[start]), one_key[start:stop], one_owner[start:stop], False))
         known_key, known_owner = key[many], owner[many]
         for k in range(0, len(known_key), 1 << 18):
             part = slice(k, k + (1 << 18))
@@ -271,7 +275,7 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         out_owner.append(owner[order][twice])
         return pa.table({"key": pa.array(np.concatenate(out_key)), "set_id": pa.array(np.concatenate(out_owner))})
 
-    sent = docs.select(F.col(text)).mapInArrow(rows, "bucket int, shared boolean, block binary, names binary")
+    sent = docs.select(F.col(text)).mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary")
     return sent.groupBy("bucket").applyInArrow(meet, "key long, set_id long").distinct()
 
 
@@ -325,7 +329,7 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, what: str, *, key: str =
                     names=["set_id", "rep_rows", "n", "x"],
                 )
 
-    found = source.mapInArrow(rows, "set_id long, rep_rows long, n long, x binary")
+    found = source.mapInArrow(letting_go(rows), "set_id long, rep_rows long, n long, x binary")
     single = found.where("rep_rows = 1").select("set_id", "n", "x")
     if wanted.where("rep_rows > 1").limit(1).count():
         single = single.unionByName(found.where("rep_rows > 1").select("set_id", "n", "x").dropDuplicates(["set_id"]))
@@ -334,11 +338,20 @@ def candidate_sets(docs: DataFrame, wanted: DataFrame, what: str, *, key: str =
 
 def _attached(pairs: DataFrame, sets: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """Pairs with both ends' sizes and x. Bitmaps are light, and adaptive execution may split their joins; with
-    ``slice_rows``, for whole sets, an end that very many pairs share is spread over tasks beforehand."""
-    for end in ("b", "a"):
-        named = sets.select(F.col("set_id").alias(end), F.col("n").alias(f"n{end}"), F.col("x").alias(f"x{end}"))
-        pairs = spread_join(pairs, named, end, slice_rows=slice_rows) if slice_rows else pairs.join(named, end)
-    return pairs
+    ``slice_rows``, for whole sets, an end that very many pairs share is spread over tasks beforehand, and pairs
+    that are few go to the sets instead of the sets to them."""
+
+    def named(end: str) -> DataFrame:
+        return sets.select(F.col("set_id").alias(end), F.col("n").alias(f"n{end}"), F.col("x").alias(f"x{end}"))
+
+    if slice_rows is None:
+        return pairs.join(named("b"), "b").join(named("a"), "a")
+    few = pairs.count() <= BROADCAST_IDS
+    half = named("b").join(F.broadcast(pairs), "b") if few else spread_join(pairs, named("b"), "b", slice_rows=slice_rows)
+    # of the sets only those that are the other end of a pair
+    ends = pairs.select("a").distinct()
+    others = named("a").join(F.broadcast(ends) if few else ends, "a", "left_semi")
+    return spread_join(half, others, "a", slice_rows=slice_rows)
 
 
 def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,57 +386,133 @@ def _small_crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
     return _attached(pairs, bits).mapInArrow(_bounded, pairs.schema)
 
 
-def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
-    """The same of larger tiles, block by block: ``every`` pair, or the most alike that join a block's components."""
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    large = tile.where(F.col("members") > PAIRED).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
-    sent = (
-        large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp")
-        .join(bits, "set_id")
-    )
+class _Block(NamedTuple):
+    """Sets of a tile: ids, components, sizes and bitmaps of equal length."""
 
-    def compare(table: pa.Table) -> pa.Table:
-        name, comp, own, n = (table.column(c).to_numpy() for c in ("set_id", "comp", "own", "n"))
-        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("x").combine_chunks()]
-        size = min(map(len, maps))
-        folded = np.stack([_fold(m, size) for m in maps])
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        one, two = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        kinds, counts = np.unique(comp, return_counts=True)
-        most = kinds[counts.argmax()]
-        if i == j:
-            one = one[comp[one] != most]  # the largest component's sets are met from the others
-        joined: dict[int, int] = {}
-
-        def find(c: int) -> int:
-            while joined.get(c, c) != c:
-                c = joined[c]
-            return c
-
-        pairs: list[tuple[int, int]] = []
-        for k in one.tolist():
-            others = two[comp[two] != comp[k]]
-            if i == j:
-                others = others[(comp[others] == most) | (name[others] > name[k])]
+    name: np.ndarray
+    comp: np.ndarray
+    n: np.ndarray
+    maps: np.ndarray
+
+
+def _block_of(table: pa.Table, rows: np.ndarray | None = None) -> _Block:
+    if rows is not None:
+        table = table.take(pa.array(rows))
+    maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("x").combine_chunks()]
+    size = min(MAP_WORDS, *map(len, maps)) if maps else 1
+    name, comp, n = (table.column(c).to_numpy().astype(np.int64) for c in ("set_id", "comp", "n"))
+    return _Block(name, comp, n, np.stack([_fold(m, size) for m in maps]) if maps else np.empty((0, 1), np.uint64))
+
+
+class _Crossing:
+    """Pairs of sets of different components that the bitmaps allow: ``every`` one, or the most alike that join components."""
+
+    def __init__(self, every: bool) -> None:
+        self.every = every
+        self.joined: dict[int, int] = {}
+        self.ends: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def find(self, c: int) -> int:
+        while self.joined.get(c, c) != c:
+            c = self.joined[c]
+        return c
+
+    def compare(self, one: _Block, two: _Block) -> None:
+        """``one`` with ``two``, or a block with itself."""
+        size, same = min(one.maps.shape[1], two.maps.shape[1]), one is two
+        left, right = _folded(one.maps, size), _folded(two.maps, size)
+        for k in range(len(one.name)):
+            others = np.flatnonzero(two.comp != one.comp[k])
+            if same:
+                others = others[two.name[others] > one.name[k]]
             if not len(others):
                 continue
-            differ = np.bitwise_count(folded[others] ^ folded[k]).sum(axis=1).astype(np.int64)
-            allowed = _possible(np.full(len(others), n[k]), n[others], differ)
+            differ = np.bitwise_count(right[others] ^ left[k]).sum(axis=1).astype(np.int64)
+            allowed = _possible(np.full(len(others), one.n[k]), two.n[others], differ)
             others = others[allowed][np.argsort(differ[allowed], kind="stable")]
-            if every:
-                pairs += [(k, o) for o in others.tolist()]
-                continue
-            # the most alike set of each other component
-            for o in others[np.sort(np.unique(comp[others], return_index=True)[1])].tolist():
-                x, y = find(int(comp[k])), find(int(comp[o]))
-                if x != y:
-                    joined[max(x, y)] = min(x, y)
-                    pairs.append((k, o))
-        ends = name[np.array(pairs, np.int64).reshape(-1, 2)]
-        return pa.table({"a": pa.array(ends.min(axis=1) if len(ends) else ends[:, 0]), "b": pa.array(ends.max(axis=1) if len(ends) else ends[:, 1])})
+            if not self.every:
+                # the most alike set of each other component
+                tried, others = others[np.sort(np.unique(two.comp[others], return_index=True)[1])], []
+                for o in tried.tolist():
+                    x, y = self.find(int(one.comp[k])), self.find(int(two.comp[o]))
+                    if x != y:
+                        self.joined[max(x, y)] = min(x, y)
+                        others.append(o)
+            if len(others):
+                self.ends.append((np.full(len(others), one.name[k]), two.name[others]))
+
+    def table(self) -> pa.Table:
+        a, b = (np.concatenate([e[i] for e in self.ends]) if self.ends else np.empty(0, np.int64) for i in (0, 1))
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+
+
+def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
+    """The same of larger tiles: ``every`` pair, or the most alike that join a block's components.
+
+    The sets of a tile's largest component are its main ones; among them nothing is open, so
+    others are compared with main sets and with each other. A tile of one block meets as it is.
+    Of a larger one, main sets and others are dealt to blocks, a block becomes one row, and
+    every block of others meets the main blocks and the blocks of others: a set is repeated once
+    for each block it has to meet, main sets, mostly nearly all, once for the others' few blocks.
+    """
+    counts = tile.where(F.col("members") > PAIRED).groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct("n", "comp"))
+    sizes = counts.groupBy("key").agg(best["comp"].alias("most"), best["n"].alias("n_main"), (F.sum("n") - best["n"]).alias("n_other"))
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    sizes = sizes.select("key", "most", blocks("n_main").alias("mains"), blocks("n_other").alias("others"))
+    dealt = tile.join(sizes, "key").select("key", "set_id", "comp", "members", "mains", "others", (F.col("comp") == F.col("most")).alias("main"))
+
+    def meet(table: pa.Table) -> pa.Table:
+        main, crossing = table.column("main").to_numpy(zero_copy_only=False), _Crossing(every)
+        mains, others = (_block_of(table, np.flatnonzero(x)) for x in (main, ~main))
+        crossing.compare(others, mains)
+        crossing.compare(others, others)
+        return crossing.table()
+
+    whole = dealt.where(F.col("members") <= BLOCK).select("key", "set_id", "comp", "main").join(bits, "set_id")
+    met = whole.groupBy("key").applyInArrow(meet, "a long, b long")
+    many = dealt.where(F.col("members") > BLOCK)
+    if not many.limit(1).count():
+        return met.distinct()
+
+    def pack(table: pa.Table) -> pa.Table:
+        block = _block_of(table)
+        row = {c: table.column(c).slice(0, 1) for c in ("key", "main", "own", "mains", "others")}
+        blobs = {"set_id": block.name, "comp": block.comp, "n": block.n, "x": block.maps}
+        return pa.table({**row, **{c: pa.array([v.tobytes()], pa.binary()) for c, v in blobs.items()}})
+
+    own = F.pmod(F.xxhash64("set_id"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
+    fields = "key long, main boolean, own int, mains int, others int, set_id binary, comp binary, n binary, x binary"
+    packed = many.drop("members").withColumn("own", own).join(bits, "set_id").groupBy("key", "main", "own").applyInArrow(pack, fields)
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # a main block (i) with a block of others (j), or two blocks of others
+    pair = lambda mixed, i, j: F.struct(mixed.alias("mixed"), i.alias("i"), j.alias("j"))
+    mine = F.col("own")
+    meets = F.when(F.col("main"), F.transform(upto("others"), lambda j: pair(F.lit(True), mine, j))).otherwise(
+        F.concat(
+            F.transform(upto("mains"), lambda i: pair(F.lit(True), i, mine)),
+            F.transform(upto("others"), lambda o: pair(F.lit(False), F.least(mine, o), F.greatest(mine, o))),
+        )
+    )
+    sent = packed.withColumn("pair", F.explode(meets)).select("key", "pair.mixed", "pair.i", "pair.j", "main", "set_id", "comp", "n", "x")
+
+    def compare(table: pa.Table) -> pa.Table:
+        found, crossing = [], _Crossing(every)
+        for k in range(table.num_rows):
+            name, comp, n, x = (np.frombuffer(table.column(c)[k].as_buffer(), np.int64) for c in ("set_id", "comp", "n", "x"))
+            found.append((table.column("main")[k].as_py(), _Block(name, comp, n, x.view(np.uint64).reshape(len(name), -1))))
+        found.sort(key=lambda b: b[0])  # others first
+        # hashing may have left the other block of a pair empty
+        if len(found) > 1 or not table.column("mixed")[0].as_py():
+            crossing.compare(found[0][1], found[-1][1])
+        return crossing.table()
+
+    return met.unionByName(sent.groupBy("key", "mixed", "i", "j").applyInArrow(compare, "a long, b long")).distinct()
+
 
-    return sent.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+def _folded(maps: np.ndarray, size: int) -> np.ndarray:
+    """Rows of bitmaps brought to ``size`` words each."""
+    return np.bitwise_xor.reduce(maps.reshape(len(maps), -1, size), axis=1) if maps.shape[1] > size else maps
 
 
 def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -433,6 +522,7 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     have no component. Rows repeated with one id are one document of that id; where their texts
     differ, the id joins what its texts join.
     """
+    spark = docs.sparkSession
     sets = shared_copy(set_table(docs, key=key, text=text, words=words))
     owned = sets.where("n_shingles > 0 and doc_id is not null").groupBy("set_id", "doc_id").agg(F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("n"))
     least = F.min(F.struct("doc_id", "rows"))
@@ -440,39 +530,46 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     classes = shared_copy(classes.select("set_id", F.col("least.doc_id").alias("rep"), F.col("least.rows").alias("rep_rows"), "n"))
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
-    named = shared_copy(tiles(docs, max(1, total // (2 * BUCKET)), text=text, words=words))
-    tile = named.groupBy("key").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    tiled = shared_copy(named.join(tile, "key"))
-
-    def of(ids: DataFrame) -> DataFrame:
-        return shared_copy(classes.join(ids.distinct(), "set_id", "left_semi").select("set_id", "rep", "rep_rows"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
-        elements = shared_copy(candidate_sets(docs, of(ends), "elements", key=key, text=text, words=words))
-        return shared_copy(_attached(pairs, elements, 20_000).mapInArrow(_exact, "a long, b long"))
-
-    bits = shared_copy(candidate_sets(docs, of(tiled.select("set_id")), "bits", key=key, text=text, words=words))
-    first = tiled.where("set_id <> least").groupBy("set_id").agg(F.min("least").alias("a")).select("a", F.col("set_id").alias("b"))
-    links = verified(shared_copy(_attached(first, bits).mapInArrow(_bounded, "a long, b long")))
-    # an id with several texts ties their sets together
-    ties = owned.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.collect_set("set_id").alias("all")).where("a <> b")
-    links = shared_copy(links.unionByName(ties.select("a", F.explode("all").alias("b")).where("a <> b")))
-    nodes = shared_copy(connected_components(links))
-    tiled = tiled.drop("least")
-    for last in (False, False, True):
-        comp = F.coalesce("component", "set_id").alias("comp")
-        mine = tiled.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "members", comp)
-        open_keys = mine.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
-        mine = shared_copy(mine.join(open_keys, "key"))
-        crossing = shared_copy(_large_crossing(mine, bits, last).unionByName(_small_crossing(mine, bits)))
-        if not crossing.limit(1).count():
-            break
-        # what small tiles hold is now verified pair by pair
-        tiled = mine.where(F.col("members") > PAIRED).drop("comp")
-        found = verified(crossing.distinct())
-        if found.limit(1).count():
-            nodes = shared_copy(connected_components(found.unionByName(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")))))
+    # what the answer does not read is released as soon as the next step is stored
+    with Staging(spark) as kept:
+        with Staging(spark) as work:
+            named = work(tiles(docs, max(1, total // (2 * BUCKET)), text=text, words=words))
+            tile = named.groupBy("key").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
+            tiled = kept(named.join(tile, "key"))
+
+        def of(ids: DataFrame, stage: Staging) -> DataFrame:
+            return stage(classes.join(ids.distinct(), "set_id", "left_semi").select("set_id", "rep", "rep_rows"))
+
+        def verified(pairs: DataFrame, stage: Staging) -> DataFrame:
+            """Pairs that link; ``pairs`` is stored."""
+            with Staging(spark) as work:
+                ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
+                elements = work(candidate_sets(docs, of(ends, work), "elements", key=key, text=text, words=words))
+                return stage(_attached(pairs, elements, 20_000).mapInArrow(_exact, "a long, b long"))
+
+        bits = kept(candidate_sets(docs, of(tiled.select("set_id"), kept), "bits", key=key, text=text, words=words))
+        with Staging(spark) as work:
+            first = tiled.where("set_id <> least").groupBy("set_id").agg(F.min("least").alias("a")).select("a", F.col("set_id").alias("b"))
+            links = verified(work(_attached(first, bits).mapInArrow(_bounded, "a long, b long")), work)
+            # an id with several texts ties their sets together
+            ties = owned.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.collect_set("set_id").alias("all")).where("a <> b")
+            links = work(links.unionByName(ties.select("a", F.explode("all").alias("b")).where("a <> b")))
+            nodes = shared_copy(connected_components(links))
+        tiled = tiled.drop("least")
+        for last in (False, False, True):
+            comp = F.coalesce("component", "set_id").alias("comp")
+            mine = tiled.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "members", comp)
+            open_keys = mine.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high").select("key")
+            mine = kept(mine.join(open_keys, "key"))
+            with Staging(spark) as work:
+                crossing = work(_large_crossing(mine, bits, last).unionByName(_small_crossing(mine, bits)).distinct())
+                if not crossing.limit(1).count():
+                    break
+                # what small tiles hold is now verified pair by pair
+                tiled = mine.where(F.col("members") > PAIRED).drop("comp")
+                found = verified(crossing, work)
+                if found.limit(1).count():
+                    nodes = shared_copy(connected_components(found.unionByName(nodes.select(F.col("node").alias("a"), F.col("component").alias("b")))))
 
     label = F.coalesce("component", "set_id")
     labelled = classes.join(nodes.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "rep", label.alias("label"))
