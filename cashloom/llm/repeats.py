@@ -19,7 +19,7 @@ corpus in each chain are marked.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b, sha256
 from typing import NamedTuple
 
@@ -29,7 +29,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.staging import shared_copy
+from ..operators.joins import spread_join
+from ..sources.staging import Staging, shared_copy
+from .memory import letting_go
 from .ngram import mix
 
 LENGTH = 100
@@ -54,7 +56,7 @@ HOT = 10_000
 """Contexts of one anchor that may meet in a bucket; they are counted to within a factor of two."""
 
 HELD_WINDOWS = 200_000
-"""Windows of such anchors that a task holds before it hands them on."""
+"""Keys or windows around such anchors, and marks of them, that a task holds before it hands them on."""
 
 BROADCAST_ROWS, BROADCAST_BYTES = 2_000_000, 64 << 20
 """Bounds on what is broadcast to meet the texts; more is joined by a shuffle."""
@@ -100,6 +102,14 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return place, hashed[fresh]
 
 
+def _runs(values: np.ndarray) -> list[slice]:
+    """Where runs of equal values lie."""
+    if not len(values):
+        return []
+    cuts = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    return [slice(a, z) for a, z in zip(cuts, cuts[1:], strict=False)]
+
+
 class RunIndex(NamedTuple):
     """A run-compressed transform: symbol (-1 at a string's start) and length of each run, text positions at its ends."""
 
@@ -289,9 +299,10 @@ _ANCHOR = np.dtype([("hash", "<u8"), ("owner", "<u4"), ("place", "<u4")])
 
 
 def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> DataFrame:
-    """sid and places (packed unsigned 32-bit) of anchors found more than once; ``texts``: one column, text.
+    """sid and place of anchors found more than once; ``texts``: one column, text.
 
-    A row without a sid has the mixed hashes (packed unsigned 64-bit) of anchors found more than HOT times instead.
+    A row without a sid has the mixed hash of an anchor found more than HOT times instead. One row
+    an anchor: a row for each text and bucket would grow with the product of both.
 
     Copies of a text within a task count once, those of other tasks as repeats of each other.
     Of a task's own repeats one goes to the anchor's bucket and all are known already, so an
@@ -324,10 +335,8 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
 
         single = np.flatnonzero(head)
         target = ((hashed[single] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        cuts = np.searchsorted(target, np.arange(buckets + 1))
-        for b in range(buckets):
-            if cuts[b] < cuts[b + 1]:
-                packed(b, single[cuts[b] : cuts[b + 1]], False)
+        for at in _runs(target):
+            packed(int(target[at.start]), single[at], False)
         known = np.flatnonzero(many)
         known = known[np.argsort(owner[known], kind="stable")]
         for k in range(0, len(known), 1 << 18):
@@ -373,28 +382,25 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         twice[:-1] |= twice[1:]
         pick = np.concatenate([by[twice], np.flatnonzero(known)])
         pick = pick[np.argsort(owner[pick], kind="stable")]
-        owner, place = owner[pick], place[pick]
-        cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.empty(0, np.int64)
-        blobs = [place[a:b].tobytes() for a, b in zip(cuts, [*cuts[1:], len(place)], strict=True)]
-        names = [*owner[cuts].tolist(), *([None] if len(hot) else [])]
-        return pa.table({"sid": pa.array(names, pa.int64()), "places": pa.array([*blobs, *([hot.tobytes()] if len(hot) else [])], pa.binary())})
+        names = pa.concat_arrays([pa.array(owner[pick]), pa.nulls(len(hot), pa.int64())])
+        return pa.table({"sid": names, "place": pa.array(np.concatenate([place[pick].astype(np.int64), hot.view(np.int64)]))})
 
-    return texts.mapInArrow(rows, "bucket int, shared boolean, block binary, names binary").groupBy("bucket").applyInArrow(meet, "sid long, places binary")
+    return texts.mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary").groupBy("bucket").applyInArrow(meet, "sid long, place long")
 
 
 def _meeting(texts: DataFrame, small: DataFrame, how: str) -> DataFrame:
-    """``texts`` joined by (o, sha) to a stored table that is broadcast if it is small."""
+    """``texts`` joined by (o, sid) to a stored table that is broadcast if it is small."""
     sizes = [F.octet_length(f.name) for f in small.schema if f.dataType.typeName() in ("binary", "string")]
-    lists = [F.size(f.name) * 40 for f in small.schema if f.dataType.typeName() == "array"]
+    lists = [F.size(f.name) * (4 if f.dataType.elementType.typeName() == "integer" else 40) for f in small.schema if f.dataType.typeName() == "array"]
     bytes_ = sum((F.coalesce(x, F.lit(0)) for x in sizes + lists), F.lit(0).cast("long"))
     found = small.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(bytes_), F.lit(0)).alias("bytes")).first()
     fits = found.n <= BROADCAST_ROWS and found.bytes <= BROADCAST_BYTES
-    return texts.join(F.broadcast(small) if fits else small, ["o", "sha"], how)
+    return texts.join(F.broadcast(small) if fits else small, ["o", "sid"], how)
 
 
 def _anchors_at(data: bytes, places: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
     """Places of a text's anchors, and their mixed hashes."""
-    at = np.unique(np.frombuffer(places.as_buffer(), "<u4")).astype(np.int64)
+    at = np.unique(places.values.to_numpy()).astype(np.int64)
     at = at[at <= len(data) - GRAM]
     grams = np.frombuffer(data, np.uint8)[at[:, None] + np.arange(GRAM)].astype(np.uint64)
     shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)
@@ -402,84 +408,189 @@ def _anchors_at(data: bytes, places: pa.Scalar) -> tuple[np.ndarray, np.ndarray]
     return at, mix(mix(low ^ mix(high + np.uint64(0x9E3779B97F4A7C15))))
 
 
-def hot_spans(texts: DataFrame, hot: np.ndarray, length: int = LENGTH) -> DataFrame:
-    """o, sha and part of the windows around hot anchors that equal an earlier one; ``texts``: o, sha, text, places.
+_PIECE = np.dtype([("high", "<u8"), ("low", "<u8"), ("owner", "<u4"), ("place", "<u4")])
+_NAME = np.dtype([("o", "<i8"), ("sid", "<u8")])
+_MASK = (1 << 64) - 1
+
+STEPS = 4
+"""Keys of a context around a hot anchor; a window repeats only if one of them does."""
+
+
+def _grid(length: int) -> list[tuple[int, int]]:
+    """Bytes left and right of an anchor that each key of its context covers."""
+    around = length - GRAM
+    return [(k * around // STEPS, (STEPS - 1 - k) * around // STEPS) for k in range(STEPS)]
+
+
+def _met(texts: DataFrame, pieces: Callable, buckets: int, later: bool) -> DataFrame:
+    """o, sid and places (packed unsigned 32-bit) of pieces that occur more than once: all of them, or with ``later`` all but each one's first.
 
-    A task puts its own equal windows together before anything is shuffled; windows are told
-    apart by 128-bit hashes.
+    ``pieces`` gives (place, bytes) of a row of ``texts``: o, sid, text, places. A task puts its
+    own equal pieces together and packs what is left by a bucket of the hash, so a piece that a
+    third of all texts share brings its bucket one entry each time a task hands on. Pieces are
+    told apart by 128-bit hashes; "first" is by o, sid and place.
     """
     limit = HELD_WINDOWS
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bytes, tuple[int, str, int]] = {}
-        marks: dict[tuple[int, str], list[tuple[int, int]]] = {}
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        held: dict[bytes, tuple[int, int, int]] = {}
+        marks: list[tuple[int, int, int]] = []
+        twice: set[bytes] = set()
+
+        def packed(entries: list[tuple[int, int, int]], hashes: np.ndarray) -> tuple[bytes, bytes]:
+            owners: dict[tuple[int, int], int] = {}
+            block = np.zeros(len(entries), _PIECE)
+            block["owner"] = [owners.setdefault(e[:2], len(owners)) for e in entries]
+            block["place"] = [e[2] for e in entries]
+            if len(hashes):
+                block["high"], block["low"] = hashes[:, 0], hashes[:, 1]
+            return block.tobytes(), np.array(list(owners), _NAME).tobytes()
 
         def emit() -> Iterator[pa.RecordBatch]:
-            rows = [(h, *mine, None) for h, mine in held.items()]
-            rows += [(None, *name, None, np.array(union(x), "<u4").tobytes()) for name, x in marks.items()]
-            kinds = (pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.binary())
-            for k in range(0, len(rows), 1 << 14):
-                columns = zip(*rows[k : k + (1 << 14)], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["window", "o", "sha", "at", "part"])
+            made = []
+            if held:
+                if not later:
+                    marks.extend(held[h] for h in twice)
+                hashes = np.frombuffer(b"".join(held), "<u8").reshape(-1, 2)
+                entries = list(held.values())
+                target = hashes[:, 0] % np.uint64(buckets)
+                order = np.argsort(target, kind="stable")
+                for at in _runs(target[order]):
+                    mine = order[at]
+                    made.append((int(target[mine[0]]), False, *packed([entries[k] for k in mine.tolist()], hashes[mine])))
+            for k in range(0, len(marks), 1 << 16):
+                made.append(((task * 7919 + k) % buckets, True, *packed(marks[k : k + (1 << 16)], np.empty((0, 2)))))
+            for k in range(0, len(made), 64):
+                columns = zip(*made[k : k + 64], strict=True)
+                kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["bucket", "marked", "block", "names"])
             held.clear()
             marks.clear()
+            twice.clear()
 
         for batch in batches:
-            for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
-                name, data = (o.as_py(), sha.as_py()), text_.as_py().encode("utf-8", "surrogatepass")
-                at, hashes = _anchors_at(data, places)
-                around = at[np.isin(hashes, hot)][:, None] + np.arange(GRAM - length, 1)
-                starts = np.unique(around[(around >= 0) & (around <= len(data) - length)])
-                for start in starts.tolist():
-                    h, mine = blake2b(data[start : start + length], digest_size=16).digest(), (*name, start)
+            for o, sid, text_, places in zip(*(batch.column(c) for c in ("o", "sid", "text", "places")), strict=True):
+                name = (o.as_py(), sid.as_py() & _MASK)  # texts of one id are ordered like their hashes
+                for place, piece in pieces(text_.as_py().encode("utf-8", "surrogatepass"), places):
+                    h, mine = blake2b(piece, digest_size=16).digest(), (*name, place)
                     before = held.get(h)
                     if before is None:
                         held[h] = mine
                     elif before != mine:
-                        later = max(before, mine)
+                        twice.add(h)
+                        marks.append(max(before, mine))
                         held[h] = min(before, mine)
-                        marks.setdefault(later[:2], []).append((later[2], later[2] + length))
-                if len(held) > limit:
+                if len(held) + len(marks) > limit:
                     yield from emit()
         yield from emit()
 
+    def meet(table: pa.Table) -> pa.Table:
+        blocks, names, known = [], [], []
+        for marked, block, listed in zip(*(table.column(c) for c in ("marked", "block", "names")), strict=True):
+            blocks.append(np.frombuffer(block.as_buffer(), _PIECE))
+            names.append(np.frombuffer(listed.as_buffer(), _NAME)[blocks[-1]["owner"]])
+            known.append(np.full(len(blocks[-1]), marked.as_py()))
+        found, name, marked = (np.concatenate(x) for x in (blocks, names, known))
+        o, sid, place = name["o"], name["sid"], found["place"]
+        at = np.flatnonzero(~marked)
+        order = at[np.lexsort((place[at], sid[at], o[at], found["low"][at], found["high"][at]))]
+        high, low = found["high"][order], found["low"][order]
+        head = np.concatenate([[True], (high[1:] != high[:-1]) | (low[1:] != low[:-1])]) if len(order) else np.empty(0, bool)
+        leader = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
+        first = order[leader]
+        differs = (o[order] != o[first]) | (place[order] != place[first]) | (sid[order] != sid[first])
+        if not later:
+            shared = np.zeros(len(order), bool)
+            shared[leader[differs]] = True  # with another one, the first counts too
+            differs |= shared
+        pick = np.concatenate([order[differs], np.flatnonzero(marked)])
+        pick = pick[np.lexsort((place[pick], sid[pick], o[pick]))]
+        o, sid, place = o[pick], sid[pick], place[pick]
+        cuts = _runs_of_two(o, sid)
+        blobs = [np.unique(place[x]).astype("<u4").tobytes() for x in cuts]
+        heads = [x.start for x in cuts]
+        return pa.table({"o": pa.array(o[heads], pa.int64()), "sid": pa.array(sid[heads].view(np.int64)), "places": pa.array(blobs, pa.binary())})
+
+    sent = texts.mapInArrow(letting_go(rows), "bucket int, marked boolean, block binary, names binary")
+    return sent.groupBy("bucket").applyInArrow(meet, "o long, sid long, places binary")
+
+
+def _runs_of_two(a: np.ndarray, b: np.ndarray) -> list[slice]:
+    """Where runs of equal pairs lie."""
+    if not len(a):
+        return []
+    cuts = [0, *(np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1).tolist(), len(a)]
+    return [slice(x, z) for x, z in zip(cuts, cuts[1:], strict=False)]
+
+
+def hot_spans(texts: DataFrame, hot: np.ndarray, buckets: int, stage: Staging, length: int = LENGTH) -> DataFrame:
+    """o, sid and part of the windows around hot anchors that equal an earlier one; ``texts``: o, sid, text, places.
+
+    First the keys of the contexts meet, a few for each; where a key repeats, only the windows that
+    reach as far to both sides as it does can repeat, and only those are hashed then.
+    """
+    grid = _grid(length)
+    around = length - GRAM
+
+    def keys(data: bytes, places: pa.Scalar) -> Iterator[tuple[int, bytes]]:
+        at, hashes = _anchors_at(data, places)
+        for place in at[np.isin(hashes, hot)].tolist():
+            for k, (left, right) in enumerate(grid):
+                if place >= left and place + GRAM + right <= len(data):
+                    # where the anchor lies in it follows from the key's number
+                    yield place * STEPS + k, bytes([k]) + data[place - left : place + GRAM + right]
+
+    def windows(data: bytes, found: pa.Scalar) -> Iterator[tuple[int, bytes]]:
+        packed = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in found.values]).astype(np.int64)
+        place, k = packed // STEPS, packed % STEPS
+        low = np.array([left for left, _ in grid])[k]
+        # a window that starts ``left`` bytes before the anchor ends ``around - left`` behind it; the next key takes over where its own bytes are covered
+        high = np.array([*(left - 1 for left, _ in grid[1:]), around])[k]
+        spread = np.arange(around // STEPS + STEPS + 1)
+        starts = place[:, None] - low[:, None] - spread
+        starts = np.unique(starts[(spread <= (high - low)[:, None]) & (starts >= 0) & (starts <= len(data) - length)])
+        for start in starts.tolist():
+            yield start, data[start : start + length]
+
+    hopeful_ = stage(_met(texts, keys, max(1, buckets // 8), later=False))
+    listed = hopeful_.groupBy("o", "sid").agg(F.collect_list("places").alias("places"))
+    again = texts.drop("places").join(listed, ["o", "sid"])
+    found = _met(again, windows, buckets, later=True)
+
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [np.array(union([(a, a + length) for a in x.as_py()]), "<u4").tobytes() for x in batch.column("starts")]
-            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("sha"), pa.array(parts, pa.binary())], names=["o", "sha", "part"])
+            parts = []
+            for x in batch.column("places"):
+                starts = np.frombuffer(x.as_buffer(), "<u4").tolist()
+                parts.append(np.array(union([(a, a + length) for a in starts]), "<u4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("sid"), pa.array(parts, pa.binary())], names=["o", "sid", "part"])
 
-    sent = shared_copy(texts.mapInArrow(windows, "window binary, o long, sha string, at long, part binary"))
-    ours = sent.where("window is not null").select("window", F.struct("o", "sha", "at").alias("mine"))
-    first = ours.groupBy("window").agg(F.min("mine").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # one row of a window comes from each time a task handed on, so no window has many
-    later = ours.join(first, "window").where("mine <> first").select("mine.o", "mine.sha", "mine.at")
-    found = later.groupBy("o", "sha").agg(F.collect_set("at").alias("starts")).mapInArrow(merged, "o long, sha string, part binary")
-    return found.unionByName(sent.where("window is null").select("o", "sha", "part"))
+    return found.mapInArrow(merged, "o long, sid long, part binary")
 
 
 def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """o, sha, whole and spans of every document from which something goes.
+    """o, sid, whole and spans of every document from which something goes.
 
-    o is the id (the largest number where it is NULL) and sha the hexadecimal SHA-256 of the
-    text, together a document; rows that agree in both are one. whole: a later copy of a whole
+    o is the id (the largest number where it is NULL) and sid the number of the text (64 bits of
+    its SHA-256), together a document; rows that agree in both are one. whole: a later copy of a whole
     text, of which all goes. spans: (start, stop) pieces, sorted and apart, of any other.
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("o"), F.coalesce(text, F.lit("")).alias("text"))
-    hashed = source.withColumn("sha", F.sha2("text", 256))
-    listed = shared_copy(hashed.select("o", "sha", text_id(F.col("text")).alias("sid"), F.octet_length("text").alias("n")))
-    classes = listed.where(F.col("n") >= length).groupBy("sha", "sid").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
-    classes = shared_copy(classes)
+    hashed = source.withColumn("sid", text_id(F.col("text")))
+    work = Staging(docs.sparkSession)
+    listed = work(hashed.select("o", "sid", F.octet_length("text").alias("n")))
+    classes = listed.where(F.col("n") >= length).groupBy("sid").agg(F.min("o").alias("o"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    classes = work(classes)
     total = listed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
-    found = shared_copy(repeated_anchors(source.select("text"), max(1, total // 40 // ANCHOR_BUCKET), length))
+    found = work(repeated_anchors(source.select("text"), max(1, total // 40 // ANCHOR_BUCKET), length))
     # one value per text before anything is joined: a text's anchors come from many buckets
-    hot = [np.frombuffer(r.places, np.uint64) for r in found.where("sid is null").select("places").collect()]
-    hot = np.unique(np.concatenate(hot)) if hot else np.empty(0, np.uint64)
-    whole = found.where("sid is not null").groupBy("sid").agg(F.collect_list("places").alias("parts"))
-    whole = whole.select("sid", F.aggregate("parts", F.lit(b""), lambda made, x: F.concat(made, x)).alias("places"))
-    placed = shared_copy(whole.join(classes.select("sid", "sha", "o"), "sid").select("o", "sha", "places"))
-    size = placed.agg(F.coalesce(F.sum(F.octet_length("places").cast("long")), F.lit(0)).alias("n")).first().n
-    buckets = max(1, size // 4 * (2 * length - GRAM) // BUCKET_BYTES)
+    hot = np.unique(np.array([r.place for r in found.where("sid is null").select("place").collect()], np.int64).view(np.uint64))
+    whole = found.where("sid is not null").groupBy("sid").agg(F.collect_list(F.col("place").cast("int")).alias("places"))
+    placed = work(whole.join(classes.select("sid", "o"), "sid").select("o", "sid", "places"))
+    size = placed.agg(F.coalesce(F.sum(F.size("places").cast("long")), F.lit(0)).alias("n")).first().n
+    buckets = max(1, size * (2 * length - GRAM) // BUCKET_BYTES)
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, round_ = TaskContext.get().partitionId(), 0
@@ -510,8 +621,8 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
         bucket_of: dict[bytes, int] = {}
         for batch in batches:
             pa.default_memory_pool().release_unused()
-            for o, sha, text_, places in zip(*(batch.column(c) for c in ("o", "sha", "text", "places")), strict=True):
-                owner, name = o.as_py(), bytes.fromhex(sha.as_py())
+            for o, sid, text_, places in zip(*(batch.column(c) for c in ("o", "sid", "text", "places")), strict=True):
+                owner, name = o.as_py(), (sid.as_py() & _MASK).to_bytes(8, "big")
                 data = text_.as_py().encode("utf-8", "surrogatepass")
                 at, hashes = _anchors_at(data, places)
                 if len(hot):
@@ -546,7 +657,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
         held: dict[bytes, tuple[int, bytes, int]] = {}
         for marked, data, rows, names in zip(*(table.column(c) for c in ("marked", "bytes", "rows", "names")), strict=True):
             table_, packed, data = np.frombuffer(rows.as_buffer(), "<u4").reshape(-1, 3).astype(np.int64), names.as_py(), data.as_py()
-            owners = [(int.from_bytes(packed[k : k + 8], "little", signed=True), packed[k + 8 : k + 40]) for k in range(0, len(packed), 40)]
+            owners = [(int.from_bytes(packed[k : k + 8], "little", signed=True), packed[k + 8 : k + 16]) for k in range(0, len(packed), 16)]
             if marked.as_py():
                 out += [(owners[k], a, z) for k, a, z in table_.tolist()]
                 continue
@@ -574,20 +685,24 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
         for name, a, z in out:
             merged.setdefault(name, []).append((a, z))
         blobs = [np.array(union(x), "<u4").tobytes() for x in merged.values()]
-        return pa.table({"o": pa.array([n[0] for n in merged], pa.int64()), "sha": pa.array([n[1].hex() for n in merged], pa.string()), "part": pa.array(blobs, pa.binary())})
+        sids = pa.array([int.from_bytes(n[1], "big", signed=True) for n in merged], pa.int64())
+        return pa.table({"o": pa.array([n[0] for n in merged], pa.int64()), "sid": sids, "part": pa.array(blobs, pa.binary())})
 
     texts = _meeting(hashed, placed, "inner")
-    sent = texts.mapInArrow(contexts, "bucket int, marked boolean, bytes binary, rows binary, names binary")
-    parts = sent.groupBy("bucket").applyInArrow(index, "o long, sha string, part binary")
+    sent = texts.mapInArrow(letting_go(contexts), "bucket int, marked boolean, bytes binary, rows binary, names binary")
+    parts = sent.groupBy("bucket").applyInArrow(index, "o long, sid long, part binary")
     if len(hot):
-        parts = parts.unionByName(hot_spans(texts, hot, length))
-    spans = parts.groupBy("o", "sha").agg(F.collect_list("part").alias("spans"))
-    copies = listed.join(classes.where("copies > 1").select("sha", F.col("o").alias("first")), "sha").where("o <> first").select("o", "sha").distinct()
-    return shared_copy(
-        spans.select("o", "sha", F.lit(False).alias("whole"), "spans").unionByName(
-            copies.select("o", "sha", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("spans"))
+        parts = parts.unionByName(hot_spans(texts, hot, max(1, 8 * total // 40 // ANCHOR_BUCKET), work, length))
+    spans = parts.groupBy("o", "sid").agg(F.collect_list("part").alias("spans"))
+    twice = classes.where("copies > 1").select("sid", F.col("o").alias("first"))
+    copies = spread_join(listed, twice, "sid").where("o <> first").select("o", "sid").distinct()
+    done = shared_copy(
+        spans.select("o", "sid", F.lit(False).alias("whole"), "spans").unionByName(
+            copies.select("o", "sid", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("spans"))
         )
     )
+    work.release()
+    return done
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -616,7 +731,7 @@ def cut_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", len
     kept = [c for c in docs.columns if c not in (*new, text)]
     spans = repeat_spans(docs, key=key, text=text, length=length)
     source = docs.select(
-        *kept, F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("o"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("sha"), F.coalesce(text, F.lit("")).alias("__text")
+        *kept, F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("o"), text_id(F.coalesce(text, F.lit(""))).alias("sid"), F.coalesce(text, F.lit("")).alias("__text")
     )
     joined = _meeting(source, spans, "left").select(*kept, "__text", "whole", "spans")
     schema = joined.select(*kept).schema.add("n_bytes", "long").add("n_removed", "long").add("n_spans", "long").add(new[3], "string")
@@ -637,4 +752,4 @@ def cut_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", len
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[*kept, *new])
 
-    return joined.mapInArrow(rows, schema)
+    return joined.mapInArrow(letting_go(rows), schema)

@@ -85,6 +85,38 @@ def test_jaccard_in_large_tiles(spark, monkeypatch):
     assert found == expected_components(rows)
 
 
+@pytest.mark.parametrize("block, words", [(3, 512), (16, 1), (4096, 2)])
+def test_jaccard_in_blocks_around_the_threshold(spark, monkeypatch, block, words):
+    """One big group whose members are now above, now below the threshold to each other, in blocks of main sets and others."""
+    monkeypatch.setattr(ngram, "BLOCK", block)
+    monkeypatch.setattr(ngram, "PAIRED", 4)
+    monkeypatch.setattr(ngram, "MAP_WORDS", words)
+    draw = random.Random(block)
+    base = [f"w{k}" for k in range(260)]
+    rows = []
+    for k in range(90):
+        text = list(base)
+        for _ in range(draw.choice([0, 1, 2, 4, 5, 6, 7, 9])):
+            text[draw.randrange(len(text))] = f"x{draw.randrange(10**6)}"
+        rows.append((k, " ".join(text)))
+    rows += [(200 + k, " ".join(base[: 200 + k])) for k in range(10)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = similar_components(frame).collect()
+    assert Counter(map(tuple, found)) == expected_components(rows)
+    assert 3 < len({r.component_id for r in found}) < 90
+
+
+def test_jaccard_releases_its_working_copies(spark, documents, tmp_path):
+    """Of the copies on the way only those stay that the answer reads."""
+    from cashloom.sources.staging import shared_folder
+
+    import os
+
+    before = set(os.listdir(shared_folder(spark)))
+    similar_components(documents[0].select("doc_id", "text")).count()
+    assert len(set(os.listdir(shared_folder(spark))) - before) <= 8
+
+
 def test_jaccard_on_the_table(spark, documents):
     frame, rows = documents
     assert Counter(tuple(r) for r in similar_components(frame.select("doc_id", "text")).collect()) == expected_components(rows)
@@ -163,7 +195,7 @@ def test_repeats_around_anchors_of_very_many_texts(spark, monkeypatch):
     seen, whole = [], repeats.hot_spans
     monkeypatch.setattr(repeats, "HOT", 8)
     monkeypatch.setattr(repeats, "HELD_WINDOWS", 1000)
-    monkeypatch.setattr(repeats, "hot_spans", lambda texts, hot, length: seen.append(len(hot)) or whole(texts, hot, length))
+    monkeypatch.setattr(repeats, "hot_spans", lambda texts, hot, *rest: seen.append(len(hot)) or whole(texts, hot, *rest))
     draw = random.Random(12)
     piece = lambda n: "".join(draw.choice("abcdeé \n") for _ in range(n))
     common = piece(230)
@@ -232,6 +264,41 @@ def test_vectors(spark):
     assert near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_different_lengths(spark):
+    """Each length links within itself, equal and near vectors alike."""
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.01, 0.0]), (3, [0.0, 1.0, 0.0]), (4, [1.0, 0.0]), (5, [1.0, 0.0]), (6, [1.0, 0.02]), (7, [0.0, 1.0]), (8, [2.0]), (9, [3.0]), (10, [])]
+    found = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {
+        1: (1, 1, True), 2: (1, 1, False), 3: (0, 3, True), 4: (2, 4, True), 5: (2, 4, False), 6: (2, 4, False), 7: (0, 7, True),
+        8: (1, 8, True), 9: (1, 8, False), 10: (0, 10, True),
+    }
+
+
+@pytest.mark.parametrize("share, spread", [(0.05, 0.15), (0.05, 0.22), (0.11, 0.2), (0.33, 0.2)])
+def test_cells_hold_groups_among_vectors_that_lean_to_one_side(share, spread):
+    """At production defaults, with a background cosine of 0.83: every link of the group has an end in a core, and its other end around."""
+    draw = np.random.default_rng(3)
+    n, d = 16_384, 64
+    v = draw.standard_normal((n, d))
+    lean = draw.standard_normal(d)
+    v += lean * 2.2 * np.sqrt(d) / np.linalg.norm(lean)
+    group = int(n * share)
+    v[:group] = v[0] + draw.standard_normal((group, d)) * spread * np.linalg.norm(v[0]) / np.sqrt(d)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert 0.8 < (v[-500:] @ v[-1000:-500].T).mean() < 0.86
+    cells, _ = embeddings.find_cells(v, n, 0.95)
+    none, row, code, _, core = embeddings.cells_of(v, np.arange(n), cells)
+    a, b = draw.integers(0, group, (2, 20_000))
+    linked = (a != b) & (np.einsum("ij,ij->i", v[a], v[b]) >= 0.95)
+    a, b = a[linked], b[linked]
+    assert len(a) > 5000 and (~none[a] | ~none[b]).mean() >= 0.99
+    # an end outside the core is around it
+    met = {}
+    for r, c in zip(row.tolist(), code.tolist(), strict=True):
+        met.setdefault(r, set()).add(c)
+    assert all(met.get(x, set()) & met.get(y, set()) for x, y, ok in zip(a[:300].tolist(), b[:300].tolist(), (~none[a] | ~none[b])[:300], strict=True) if ok)
+
+
 def test_vector_recall_on_the_table(spark):
     frame = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     found = {r.vec_id: r.n_links for r in near_duplicates(frame, leaf=32, trees=8).collect()}

@@ -57,6 +57,18 @@ def test_trigrams_do_not_depend_on_chunks(monkeypatch):
         assert dict(zip(*(x.tolist() for x in langid.trigrams(text)), strict=True)) == whole
 
 
+def test_profiles_do_not_depend_on_what_a_task_holds(spark, monkeypatch):
+    from cashloom.llm import langid
+
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    whole = langid.learn_profiles(docs)
+    for held in (50, 3000, 20000):
+        monkeypatch.setattr(langid, "HELD", held)
+        again = langid.learn_profiles(docs)
+        assert again.languages == whole.languages and (again.ready == whole.ready).all()
+        assert abs(again.prototypes - whole.prototypes).max() < 1e-5
+
+
 def test_quality_on_held_out_documents(spark):
     folder = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
@@ -79,6 +91,25 @@ def test_quality_edges(spark):
     assert quality.score_quality(docs.limit(0), ranker).count() == 0
 
 
+@pytest.mark.parametrize("label, predicted", [(0, 0), (1, 1), (None, 1)])
+def test_quality_with_one_label_or_none(spark, label, predicted):
+    """All labels 0 predict 0 and all 1 predict 1; without labels texts lie at the decision."""
+    texts = ["Plain prose about a river and a bridge.", "zz ## zz ## zz !!", "word " * 200_000, "Plain prose about a river and a bridge."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = [] if label is None else [(k, label, 0) for k in range(3)]
+    ranker = quality.learn_ranker(docs, spark.createDataFrame(rows, "doc_id long, quality int, toxic int"))
+    scores = [r.score for r in quality.score_quality(docs, ranker).orderBy("doc_id").collect()]
+    assert [int(x >= quality.DECISION) for x in scores] == [predicted] * 4
+    assert scores[0] == scores[3] and (label == 0 or scores[0] == pytest.approx(quality.DECISION))
+
+
+def test_rules_on_repeated_rows_and_null_ids(spark):
+    lines = [(None, "one two three " * 9), (5, None), (5, None), (None, "one two three " * 9), (7, "! " * 30)]
+    found = rules.judge_quality(spark.createDataFrame(lines, "doc_id long, text string"), sample=2)
+    got = sorted(((r.doc_id, r.n_words, r.base_failed, r.kept) for r in found.collect()), key=repr)
+    assert got == sorted([(None, 27, True, False)] * 2 + [(5, 0, True, False)] * 2 + [(7, 30, True, False)], key=repr)
+
+
 def counted(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
@@ -160,6 +191,34 @@ def test_main_text_beside_the_article_in_main():
     assert main_text(f"<body><p>Site</p><main>{plain}{teasers}</main></body>") == expected
 
 
+STORY = "The river rose over night and took the old bridge with it, the mayor said on Monday. " * 3
+CHAT = "I never liked that bridge anyway, and my uncle who built it said the same thing back then. " * 8
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><article><p>{s}</p><section id='comments'><article class='c'><p>{c}</p></article><article class='c'><p>{c}</p></article></section></article></body>",
+        "<body><article><p>{s}</p></article><div class='comments'><article><p>{c}</p></article></div></body>",
+        "<body><main><article><p>{s}</p></article><section class='comment-list'><article>{c}</article></section></main></body>",
+        "<body><article><p>{s}</p><div id='comments'><div class='comment'>{c}</div></div></article></body>",
+        "<body><article><p>{s}</p><div class='related'><article>{c}</article><article>{c}</article></div></article></body>",
+    ],
+)
+def test_reader_comments_are_left_out_however_long(page):
+    assert main_text(page.format(s=STORY, c=CHAT)) == " ".join(STORY.split())
+
+
+def test_an_article_in_a_doubtful_wrapper_stays_where_there_is_no_other():
+    assert main_text(f"<body><div class='comments'><article><p>{STORY}</p></article></div></body>") == " ".join(STORY.split())
+
+
+def test_cells_of_links_in_a_table_layout():
+    menu = "<td><a href='/'>x</a> <a href='/y'>y</a> <a href='/z'>z</a></td>"
+    page = f"<body><table><tr>{menu}<td><p>{STORY}</p><p>{STORY}</p></td></tr></table></body>"
+    assert main_text(page) == " ".join((STORY * 2).split())
+
+
 def test_main_text_edges(spark):
     texts = [None, "", "plain", "<p>open <b>tags <i>only", "<div>" * 3000 + "deep" + "</div>" * 3000, "<!-- only -->", "</p></div>stray", "<script>x</script>", "<p>" + "long text " * 100_000 + "</p>", "a<br>b"]
     frame = spark.createDataFrame([(k, None, t, "x") for k, t in enumerate(texts)] + [(None, "u", "plain", "x")], "page_id long, url string, html string, text string")
