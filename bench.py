@@ -33,7 +33,6 @@ HEADLINE = [
     "q7_cashflow_initial_monthly",
     "q8_cashflow_close",
     "q9_cashflow_current_month_through_unclosed",
-    "q11_feed_to_cashflow",
     "p5_first_failing_rule",
     "p7_tax_id_valid",
     "p9_domain_membership",
