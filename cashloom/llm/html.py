@@ -43,6 +43,9 @@ NAMES = frozenset(
 )
 """Words of a class, id or role that mark an element as something else than article text, unless it holds most of that."""
 
+COMMENTS = frozenset("comment comments disqus respond reply replies".split())
+"""Of those, the words for what readers wrote, which may be longer than the article."""
+
 PLAIN = frozenset(
     "list box left right top bottom block section area slot item items unit bar buttons links inner outer wrap wrapper container"
     " site page global main primary secondary".split()
@@ -81,11 +84,12 @@ class _Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.ends = ["#root"], [-1], [0]
         self.doubtful: list[int] = []  # no article by a name, or a form
+        self.comments: set[int] = set()  # those that readers wrote
         self.pieces: list[tuple[int, str]] = []
         self.open: list[tuple[str, int]] = [("#root", 0)]  # -1 in an element left out
         self.articles = 0
 
-    def _push(self, tag: str, dropped: bool, doubtful: bool) -> None:
+    def _push(self, tag: str, dropped: bool, doubtful: bool, comments: bool = False) -> None:
         above = self.open[-1][1]
         node = -1
         if above >= 0 and not dropped:
@@ -95,6 +99,8 @@ class _Tree(HTMLParser):
             self.ends.append(node + 1)
             if doubtful:
                 self.doubtful.append(node)
+                if comments:
+                    self.comments.add(node)
             self.articles += tag in ARTICLES
         self.open.append((tag, node))
 
@@ -123,12 +129,13 @@ class _Tree(HTMLParser):
             if tag in CLOSED_BY:
                 self._close(CLOSED_BY[tag], frozenset(("table", "ul", "ol", "dl", "select")) - {tag})
             self._break()
-        dropped, doubtful = tag in DROPPED, False
+        dropped, doubtful, comments = tag in DROPPED, False, False
         if not dropped and tag not in KEPT:
             names = [w for k, v in attrs if k in ("class", "id", "role") and v for w in v.split()]
+            comments = _named(names, COMMENTS)
             doubtful = tag == "form" or _named(names, NAMES) or (not self.articles and (tag == "header" or _named(names, HEADERS)))
             dropped = any(k == "hidden" or (k == "aria-hidden" and v == "true") or (k == "style" and v and re.search(r"display\s*:\s*none", v)) for k, v in attrs)
-        self._push(tag, dropped, doubtful)
+        self._push(tag, dropped, doubtful, comments)
         if tag in VOID:
             self._pop()
 
@@ -157,29 +164,46 @@ def composite_density(c: int, t: int, lc: int, lt: int, body_lc: int, body_c: in
     return c / max(t, 1) * math.log(max(ratio, 1.0001)) / max(math.log(base + 1e-9), 0.05) if base > 1 else c / max(t, 1) * math.log(max(ratio, 1.0001)) / 0.05
 
 
+def _inside(tree: _Tree, nodes: list[int]) -> bytearray:
+    """Which nodes lie in the subtrees of the given ones."""
+    inside = bytearray(len(tree.tags))
+    for k in nodes:
+        inside[k : tree.ends[k]] = b"\1" * (tree.ends[k] - k)
+    return inside
+
+
+def _within(tree: _Tree) -> list[int]:
+    """The innermost article or main element around each node, 0 where there is none."""
+    within = [0] * len(tree.tags)
+    for k in range(1, len(within)):
+        within[k] = k if tree.tags[k] in ARTICLES else within[tree.parents[k]]
+    return within
+
+
 def _left_out(tree: _Tree, in_link: list[bool]) -> bytearray:
     """Which nodes lie in a doubtful element that does not hold most of the page's article text.
 
     That is the text outside links in the innermost article and main elements, or on a page
-    without such text all text outside links.
+    without such text all text outside links. Readers' comments and, as comments and teasers often
+    are articles themselves, doubtful elements with articles in them are never article text
+    while an article or main element has text outside all doubtful elements.
     """
-    n = len(tree.tags)
+    n, within = len(tree.tags), _within(tree)
+    doubted = _inside(tree, tree.doubtful)
+    gone = bytearray(n)
+    if any(within[k] and not doubted[k] and not in_link[k] and not piece.isspace() for k, piece in tree.pieces):
+        gone = _inside(tree, [k for k in tree.doubtful if k in tree.comments or any(t in ARTICLES for t in tree.tags[k : tree.ends[k]])])
     text, marked, inner = [0] * n, [False] * n, [0] * n
     for k, piece in tree.pieces:
-        if not in_link[k]:
+        if not in_link[k] and not gone[k]:
             text[k] += len(" ".join(piece.split()))
     for k in range(n - 1, 0, -1):
         up = tree.parents[k]
-        if tree.tags[k] in ARTICLES and not marked[k]:
+        if tree.tags[k] in ARTICLES and not marked[k] and not gone[k]:
             marked[k], inner[k] = True, text[k]
         text[up] += text[k]
         inner[up] += inner[k]
         marked[up] |= marked[k]
-    within = [0] * n  # the innermost article or main element around a node
-    for k in range(1, n):
-        up = tree.parents[k]
-        within[k] = k if tree.tags[k] in ARTICLES else within[up]
-    gone = bytearray(n)
     for k in tree.doubtful:
         around = within[k] if inner[0] and inner[within[k]] == text[within[k]] else 0
         held = text[k] if around or not inner[0] else inner[k]
@@ -256,6 +280,10 @@ def main_text(html: str | None) -> str:
             # text that lies directly in the ancestors goes with the article
             keep[k] = 1
         keep[0] |= best == 0 or path[-1] == 0 and all(tree.tags[k] != "body" for k in path)
+        for k in range(1, n):
+            # a cell of links alone is the menu of a page laid out as a table
+            if tree.tags[k] in ("td", "th") and link_tags[k] > 1 and link_chars[k] == chars[k]:
+                keep[k : tree.ends[k]] = bytes(tree.ends[k] - k)
     # an element break is a space, so blocks come apart whatever the page's own spacing
     return " ".join("".join(text for k, text in tree.pieces if keep[k]).split())
 
