@@ -15,6 +15,7 @@ from cashloom.presets import FEED_CASTS, term_table
 TODAY = date(2000, 6, 15)
 FIRST_RUN = date(2000, 1, 15)
 STAMP = date(2000, 6, 15)
+TAX = "__tax"
 
 # fixed values: the address types and the terms as feeds write them
 ADDRESS_TYPES = ["COBRANCA", "ENTREGA", "FATURAMENTO"]
@@ -128,6 +129,10 @@ class Frames:
 
     # -- feeds ---------------------------------------------------------------------------
 
+    def _with_tax(self, table: str, key: Column, order: Column) -> DataFrame:
+        """A feed's table with the party's tax id in a column of its own, computed once a row however often it is typed out."""
+        return self.table(table).withColumn(TAX, tax_id(key, wrong=order % 29 == 0))
+
     def purchase_feed(self) -> DataFrame:
         """Line items as a purchase feed of text columns, with every defect the rules look for."""
         order, supplier, number = F.col("l_orderkey"), F.col("l_suppkey"), F.col("l_linenumber")
@@ -139,9 +144,9 @@ class Frames:
         none = F.lit(None).cast("string")
         value = money("l_extendedprice").cast("string")
         shipped = F.to_date("l_shipdate")
-        return self.table("lineitem").select(
+        return self._with_tax("lineitem", supplier, order).select(
             broken(23, none, F.concat(F.lit("Supplier "), supplier.cast("string"))).alias("NOME_FORNECEDOR"),
-            typed_tax_id(supplier, order).alias("CNPJ_FORNECEDOR"),
+            typed_tax_id(F.col(TAX), order).alias("CNPJ_FORNECEDOR"),
             F.when(order % 5 == 0, none).otherwise(F.concat(F.lit("s"), supplier.cast("string"), F.lit("@mail.test"))).alias("EMAIL_FORNECEDOR"),
             F.concat(F.lit("55-"), supplier.cast("string")).alias("TELEFONE_FORNECEDOR"),
             broken(31, F.lit("abc"), F.concat(F.lit(" "), order.cast("string"), F.lit(" "))).alias("NUMERO_NF"),
@@ -181,9 +186,9 @@ class Frames:
 
         issued = F.to_date("o_orderdate")
         total = money("o_totalprice")
-        return self.table("orders").select(
+        return self._with_tax("orders", customer, order).select(
             broken(23, "string", F.concat(F.lit("Customer "), customer.cast("string"))).alias("NOME"),
-            typed_tax_id(customer, order).alias("CNPJ"),
+            typed_tax_id(F.col(TAX), order).alias("CNPJ"),
             broken(5, "string", F.concat(F.lit("c"), customer.cast("string"), F.lit("@mail.test"))).alias("EMAIL"),
             F.concat(F.lit("55-"), customer.cast("string")).alias("TELEFONE"),
             F.when(order % 31 == 0, F.lit("abc")).otherwise(F.lpad(order.cast("string"), 9, "0")).alias("NUMERO_NF"),
@@ -300,9 +305,8 @@ def dotted(tax: Column) -> Column:
     )
 
 
-def typed_tax_id(key: Column, order: Column) -> Column:
-    """A party's tax id as feeds have it: plain, dotted, with a line break behind it, or wrong."""
-    tax = tax_id(key, wrong=order % 29 == 0)
+def typed_tax_id(tax: Column, order: Column) -> Column:
+    """A party's tax id as feeds have it: plain, dotted or with a line break behind it."""
     return F.when(order % 71 == 0, F.concat(tax, F.lit("\n"))).when(order % 13 == 0, dotted(tax)).otherwise(tax)
 
 
