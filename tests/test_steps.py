@@ -1,7 +1,10 @@
 """Steps that several queries share: how often they compute, and what a task of theirs holds."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from cashloom.sources.feeds import scan_csv
+from workload import queries
 from workload.frames import Frames
 
 FOLDER = "/root/testdata/sf0.001"
@@ -12,3 +15,14 @@ def test_a_feed_computes_a_tax_id_once_a_row(spark, plan, feed):
     """However a tax id is typed out, its check digits are computed for it in one place."""
     text = plan(getattr(Frames(spark, FOLDER), feed)(), "simple")
     assert 1 <= text.count("div 100000000000)") <= 4
+
+
+def test_a_lot_of_many_lines_is_many_files(spark):
+    """No file, and so no task's sort, holds more lines than asked for, and the scan reads the same rows."""
+    f = Frames(spark, FOLDER)
+    few, many = (queries.feed_folder(f, n) for n in (1_000_000, 500))
+    lines = spark.read.text(many).groupBy(F.input_file_name()).count().collect()
+    assert len(lines) > 30 and max(r["count"] for r in lines) <= 502
+    whole, parts = (scan_csv(spark, path, queries.FEED_FIELDS) for path in (few, many))
+    assert whole.rows.count() == parts.rows.count() == parts.rows.join(whole.rows, list(queries.FEED_FIELDS), "left_semi").count()
+    assert sorted(r.LINHA for r in whole.malformed.collect()) == sorted(r.LINHA for r in parts.malformed.collect())

@@ -1217,7 +1217,11 @@ LINE = "(l_orderkey * 7 + l_linenumber)"
 GOOD_LINE = """CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) || ',"Part ""' || CAST(l_partkey AS VARCHAR) || '"", ' || l_returnflag || '",' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR)"""
 
 
-def feed_folder(f: Frames) -> str:
+FILE_ROWS = 1_000_000
+"""Lines of a file of the feed, at most."""
+
+
+def feed_folder(f: Frames, file_rows: int = FILE_ROWS) -> str:
     """Line items as CSV files of three lots: a byte order mark, CRLF, blank lines, quoted commas, and three kinds of broken lines."""
     number, line = F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
     mark = F.col("l_orderkey") * 7 + F.col("l_linenumber")
@@ -1230,12 +1234,17 @@ def feed_folder(f: Frames) -> str:
         .otherwise(good)
     )
     rows = f.table("lineitem").select((F.col("l_orderkey") % 3).cast("int").alias("lote"), F.lit(1).alias("at"), text.alias("value"))
-    heads = f.spark.range(3).select(F.col("id").cast("int").alias("lote"), F.lit(0).alias("at"), F.lit("\ufeffNUMERO,LINHA,DESCRICAO,QTD").alias("value"))
-    blanks = f.spark.range(3).select(F.col("id").cast("int").alias("lote"), F.lit(2).alias("at"), F.lit("").alias("value"))
+    # a lot of many lines is many files, each with its header, so that no task sorts more than a file of any lot
+    files = max(1, -(-rows.count() // file_rows))
+    rows = rows.withColumn("parte", F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int"))
+    every = f.spark.range(3 * files).select((F.col("id") % 3).cast("int").alias("lote"), F.floor(F.col("id") / 3).cast("int").alias("parte"))
+    heads = every.withColumns({"at": F.lit(0), "value": F.lit("\ufeffNUMERO,LINHA,DESCRICAO,QTD")})
+    blanks = every.withColumns({"at": F.lit(2), "value": F.lit("")})
     folder = f"{shared_folder(f.spark)}/feed-{uuid4()}"
-    lines = heads.unionByName(rows).unionByName(blanks).repartition("lote").sortWithinPartitions("lote", "at")
-    lines.select("lote", "value").write.partitionBy("lote").option("lineSep", "\r\n").text(folder)
-    return f"{folder}/lote=*"
+    place = ["lote", "parte"]
+    lines = heads.unionByName(rows).unionByName(blanks).repartitionByRange(3 * files, *place).sortWithinPartitions(*place, "at")
+    lines.select(*place, "value").write.partitionBy(*place).option("lineSep", "\r\n").text(folder)
+    return f"{folder}/lote=*/parte=*"
 
 
 FEED_FIELDS = ("NUMERO", "LINHA", "DESCRICAO", "QTD")
