@@ -93,6 +93,9 @@ def running_balance(
 BLOCK_ROWS = 1_000_000
 """Movements of a block of :func:`running_balance_of_movements`."""
 
+MOST_BLOCKS = 1000
+"""Blocks at most: the driver plans, samples and reports in proportion to their number; past it blocks grow instead."""
+
 
 def running_balance_of_movements(
     movements: DataFrame,
@@ -106,13 +109,13 @@ def running_balance_of_movements(
 ) -> DataFrame:
     """The balance after every single movement, in ``order``, however many there are.
 
-    A blocked prefix scan: movements are dealt in order over blocks of about ``block_rows``, the
-    sums of the blocks, one row each, give every block its opening balance, and a window adds
-    up inside the block. No task gets more than a block. ``order`` should tell movements apart;
+    A blocked prefix scan: movements are dealt in order over blocks of about ``block_rows``, more
+    where that would make over ``MOST_BLOCKS``; the sums of the blocks, one row each, give every
+    block its opening balance, and a window adds up inside the block. No task gets more than a block. ``order`` should tell movements apart;
     of those it does not, each has the balance of one of their orders, as in any running sum.
     NULL amounts count as 0.
     """
-    blocks = max(1, -(-movements.count() // block_rows))
+    blocks = min(max(1, -(-movements.count() // block_rows)), MOST_BLOCKS)
     dealt = stage(movements.repartitionByRange(blocks, *order).withColumn("__block", F.spark_partition_id()))
     value = F.coalesce(F.col(amount), F.lit(0))
     sums = dealt.groupBy("__block").agg(F.sum(value).alias("__sum"))

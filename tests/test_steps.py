@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cashloom.operators import cashflow
 from cashloom.sources.feeds import scan_csv
+from cashloom.sources.staging import shared_copy
 from workload import queries
 from workload.frames import Frames
 
@@ -26,3 +28,21 @@ def test_a_lot_of_many_lines_is_many_files(spark):
     whole, parts = (scan_csv(spark, path, queries.FEED_FIELDS) for path in (few, many))
     assert whole.rows.count() == parts.rows.count() == parts.rows.join(whole.rows, list(queries.FEED_FIELDS), "left_semi").count()
     assert sorted(r.LINHA for r in whole.malformed.collect()) == sorted(r.LINHA for r in parts.malformed.collect())
+
+
+def test_blocks_of_movements_are_bounded(spark, monkeypatch):
+    """However small the blocks asked for, the driver handles a bounded number of them, and balances are the same."""
+    monkeypatch.setattr(cashflow, "MOST_BLOCKS", 7)
+    made = []
+
+    def kept(df):
+        made.append(df.select("__block").distinct().count())
+        return shared_copy(df)
+
+    rows = spark.range(1000).select("id", (F.col("id") % 13).cast("decimal(16,2)").alias("v"))
+    found = cashflow.running_balance_of_movements(rows, ["id"], "v", "b", block_rows=3, stage=kept)
+    total = 0
+    for r in found.orderBy("id").collect():
+        total += r.v
+        assert r.b == total
+    assert made[0] <= 7
