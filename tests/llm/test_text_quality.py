@@ -8,6 +8,7 @@ from html import unescape
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cashloom.llm import langid, quality, rules, warc
 from cashloom.llm.html import extract_main_text, main_text
@@ -261,3 +262,38 @@ def test_records_of_several_members_and_small_pieces():
 def test_features_are_bounded():
     rows = np.stack([quality.features(t) for t in ("a", "A!! B!!", "x " * 1000, "日本 語", "| | |")])
     assert np.isfinite(rows).all() and (np.abs(rows) <= 5).all()
+
+
+def test_quality_is_learned_from_every_label(spark):
+    """The fit is that of all pairs of all labelled documents, found here by plain Newton steps on all differences."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, quality.WIDTH))
+    label = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(size=300) > 0.3).astype(int)
+    learned = spark.createDataFrame([(int(k), v.tolist()) for k, v in zip(label, x, strict=True)], "label int, x array<double>").repartition(5)
+    found = quality.fit_preferences(learned)
+    unit = (x - x.mean(axis=0)) / x.std(axis=0)
+    pairs = (unit[label == 1][:, None] - unit[label == 0][None]).reshape(-1, quality.WIDTH)
+    weights = np.zeros(quality.WIDTH)
+    for _ in range(20):
+        p = 1 / (1 + np.exp(-pairs @ weights))
+        curve = (pairs * (p * (1 - p))[:, None]).T @ pairs / len(pairs) + 1e-2 * np.eye(quality.WIDTH)
+        weights -= np.linalg.solve(curve, pairs.T @ (p - 1) / len(pairs) + 1e-2 * weights)
+    assert abs(found.weights - weights).max() < 2e-3
+    strength = unit @ weights
+    share = (label == 0).mean()
+    errors = [((strength >= c) != label).sum() for c in np.quantile(strength, np.linspace(share - 0.1, share + 0.1, 400))]
+    assert ((strength >= found.threshold) != label).sum() <= min(errors) + 1
+
+
+def test_quality_labels_past_six_thousand_count(spark):
+    """Rows that no bounded draw of ids would hold change the model: they all reach the fit."""
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words "), F.col("id").cast("string")).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality"))
+    seen = []
+    fit = quality.fit_preferences
+    quality.fit_preferences = lambda learned, **o: (seen.append(learned.count()), fit(learned, **o))[1]
+    try:
+        quality.learn_ranker(docs, labels)
+    finally:
+        quality.fit_preferences = fit
+    assert seen == [9000]
