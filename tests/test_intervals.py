@@ -91,3 +91,17 @@ def test_a_shared_day_is_spread(spark, many, monkeypatch):
     monkeypatch.setitem(joins.spread_join.__kwdefaults__, "slice_rows", 50)
     again = settlement.tolerance_band_join(settlements, tiers, best_tier=True).select("ID_PROG_RECEBIMENTO", "ID_DESCONTO").collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, want)) and want
+
+
+def test_settlements_are_compared_with_ranges_not_with_tiers(spark, many):
+    """Tiers of one day with the same range of percent are met as one row, and none is lost, equal ids and NULL included."""
+    settlements, tiers = many
+    bands = tiers.withColumn("TIPO", F.col("TIPO_DESCONTO") == 1).drop("TIPO_DESCONTO")
+    more = bands.unionByName(bands.limit(100)).unionByName(bands.limit(10).withColumn("ID_DESCONTO", F.lit(None).cast(bands.schema["ID_DESCONTO"].dataType)))
+    columns = ["ID_PROG_RECEBIMENTO", "MINIMO", "MAXIMO", "ID_DESCONTO"]
+    want = settlement.tiers_by_days(settlements, more).select(columns)
+    for together in (1_000_000, 1000):
+        ranges = settlement.ranges_by_days(settlements, more, together=together)
+        spelled = ranges.withColumn("t", F.explode("__tiers")).select(*columns[:3], "t.ID_DESCONTO")
+        assert sorted(map(str, spelled.collect())) == sorted(map(str, want.collect()))
+    assert settlement.ranges_by_days(settlements, more).count() <= 3 * settlements.count() < want.count()
