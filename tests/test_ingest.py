@@ -178,3 +178,25 @@ def test_one_company_however_its_id_is_typed(spark, world):
         assert paths
     fs = spark._jvm.org.apache.hadoop.fs
     assert not any(fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(p)) for p in paths)
+
+
+def test_a_feed_is_neither_copied_nor_shuffled_twice(spark, world):
+    with Staging(spark) as stage:
+        seen = []
+
+        def kept(df):
+            seen.append(df)
+            return stage(df)
+
+        folder, tables = world
+        result = purchases_ingest(
+            read_purchases(spark, str(folder / "purchases.csv")),
+            processed=spark.createDataFrame([(99, date(2023, 5, 2))], "NUMERO_NF int, DATA_PROCESSAMENTO date"),
+            parties=spark.createDataFrame([(7, "BETA", OTHER, "old@mail.test", "11")], "ID_FORNECEDOR long, NOME_FORNECEDOR string, CNPJ_FORNECEDOR string, EMAIL_FORNECEDOR string, TELEFONE_FORNECEDOR string"),
+            addresses=spark.createDataFrame([(7, 1, "1001000", 0, "N/A")], "ID_FORNECEDOR long, ID_TIPO_ENDERECO int, CEP string, NUMERO int, COMPLEMENTO string"),
+            stage=kept,
+            **tables,
+        )
+        assert [("MOTIVO" in df.columns, "NUMERO_NF" in df.columns) for df in seen] == [(True, True), (False, False), (False, False), (False, False)]
+        # a feed's few parties go to its rows: the invoices are not dealt out to meet them
+        assert "__slice" not in result.incomplete_invoices._jdf.queryExecution().optimizedPlan().toString()

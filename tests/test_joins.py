@@ -77,3 +77,42 @@ def test_lookup_join_past_the_bound(sides, rows, monkeypatch):
     expected = rows(left.join(right, ["k", "s"], "left"))
     monkeypatch.setattr(joins, "fits_broadcast", lambda df, rows=0: False)
     assert rows(lookup_join(left, right, ["k", "s"], "left")) == expected
+
+
+def _key_shuffles(df):
+    """Shuffles of whole rows (with their text ``t``) in the plan that Spark starts from."""
+    import re
+
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [m for m in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", text) if re.search(r"\bt#", m)]
+
+
+def test_distinct_unprocessed_rows_of_calm_and_hot_keys(spark, rows):
+    from cashloom.operators.dimensions import unprocessed_distinct
+
+    feed = spark.createDataFrame(
+        [(1, 1, "hot")] * 40 + [(1, 1, f"hot {i % 5}") for i in range(40)] + [(2, 1, "done")] * 30 + [(None, 1, "null")] * 25 + [(None, None, "null")]
+        + [(i, i % 3, f"row {i // 2}") for i in range(3, 60) for _ in range(1 + i % 2)],
+        "k int, d int, t string",
+    ).repartition(5)
+    log = spark.createDataFrame([(2, 1), (2, 1), (4, 1), (5, 2), (None, 1), (9, 77)], "k int, d int")
+    upper = lambda df: df.withColumn("t", F.upper("t"))
+    done = {(2, 1), (4, 1), (5, 2)}
+    wanted = sorted({(r.k, r.d, r.t.upper()) for r in feed.collect() if (r.k, r.d) not in done}, key=repr)
+    for slice_rows in (1, 10, 1_000_000):
+        found = unprocessed_distinct(feed, log, ["k", "d"], upper, range_column="d", slice_rows=slice_rows, buckets=16)
+        assert rows(found) == wanted
+
+
+def test_calm_rows_stay_where_the_join_has_placed_them(spark):
+    from cashloom.operators.dimensions import unprocessed_distinct
+
+    feed = spark.range(10).selectExpr("cast(id as int) k", "cast(id as string) t")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = unprocessed_distinct(feed, feed.select("k"), ["k"], lambda df: df)
+        # the rows of hot keys are the only ones shuffled again, by all their columns
+        assert len(_key_shuffles(found)) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
