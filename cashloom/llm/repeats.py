@@ -4,7 +4,8 @@ A position of a document is an anchor if the hash of the bytes from there is the
 any window of the required length around it. Equal windows choose the same anchor, so the
 places of repeated anchors are the only ones where windows can repeat, and the bytes around an
 anchor, its context, go to a bucket chosen by the anchor: windows that are equal meet in one
-bucket, however many documents there are. An anchor that too many contexts share has no
+bucket, however many documents there are. A context holds the windows of which its anchor is the
+least, so each window is sent once. An anchor that too many contexts share has no
 bucket: its windows are hashed, the first of each hash is found by an aggregation that combines
 before the shuffle, and a join back marks the others.
 
@@ -391,7 +392,11 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
 def _meeting(texts: DataFrame, small: DataFrame, how: str) -> DataFrame:
     """``texts`` joined by (o, sid) to a stored table that is broadcast if it is small."""
     sizes = [F.octet_length(f.name) for f in small.schema if f.dataType.typeName() in ("binary", "string")]
-    lists = [F.size(f.name) * (4 if f.dataType.elementType.typeName() == "integer" else 40) for f in small.schema if f.dataType.typeName() == "array"]
+    lists = [
+        F.size(f.name) * 4 if f.dataType.elementType.typeName() == "integer" else F.aggregate(f.name, F.lit(0), lambda n, x: n + F.octet_length(x) + 40)
+        for f in small.schema
+        if f.dataType.typeName() == "array"
+    ]
     bytes_ = sum((F.coalesce(x, F.lit(0)) for x in sizes + lists), F.lit(0).cast("long"))
     found = small.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(bytes_), F.lit(0)).alias("bytes")).first()
     fits = found.n <= BROADCAST_ROWS and found.bytes <= BROADCAST_BYTES
@@ -399,13 +404,31 @@ def _meeting(texts: DataFrame, small: DataFrame, how: str) -> DataFrame:
 
 
 def _anchors_at(data: bytes, places: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a text's anchors, and their mixed hashes."""
+    """Places of a text's anchors, and their hashes."""
     at = np.unique(places.values.to_numpy()).astype(np.int64)
     at = at[at <= len(data) - GRAM]
     grams = np.frombuffer(data, np.uint8)[at[:, None] + np.arange(GRAM)].astype(np.uint64)
     shifts = np.uint64(8) * np.arange(8, dtype=np.uint64)
     low, high = (grams[:, :8] << shifts).sum(axis=1, dtype=np.uint64), (grams[:, 8:] << shifts).sum(axis=1, dtype=np.uint64)
-    return at, mix(mix(low ^ mix(high + np.uint64(0x9E3779B97F4A7C15))))
+    return at, mix(low ^ mix(high + np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _contexts(at: np.ndarray, hashes: np.ndarray, size: int, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each anchor's context in a text of ``size`` bytes: the windows that hold no anchor of a smaller hash.
+
+    ``at``: sorted places of all the text's repeated anchors. A window that repeats does so around
+    its least anchor, which is among them wherever the window stands, so it lies in that one's context.
+    """
+    start, stop = np.maximum(0, at + GRAM - length), np.minimum(size, at + length)
+    reach = length - GRAM
+    for step in range(1, len(at)):
+        near = at[step:] - at[:-step] <= reach
+        if not near.any():
+            break
+        left, right = np.flatnonzero(near & (hashes[:-step] < hashes[step:])), np.flatnonzero(near & (hashes[step:] < hashes[:-step]))
+        start[left + step] = np.maximum(start[left + step], at[left] + 1)
+        stop[right] = np.minimum(stop[right], at[right + step] + GRAM - 1)
+    return start, stop
 
 
 _PIECE = np.dtype([("high", "<u8"), ("low", "<u8"), ("owner", "<u4"), ("place", "<u4")])
@@ -535,7 +558,7 @@ def hot_spans(texts: DataFrame, hot: np.ndarray, buckets: int, stage: Staging, l
 
     def keys(data: bytes, places: pa.Scalar) -> Iterator[tuple[int, bytes]]:
         at, hashes = _anchors_at(data, places)
-        for place in at[np.isin(hashes, hot)].tolist():
+        for place in at[np.isin(mix(hashes), hot)].tolist():
             for k, (left, right) in enumerate(grid):
                 if place >= left and place + GRAM + right <= len(data):
                     # where the anchor lies in it follows from the key's number
@@ -554,8 +577,8 @@ def hot_spans(texts: DataFrame, hot: np.ndarray, buckets: int, stage: Staging, l
             yield start, data[start : start + length]
 
     hopeful_ = stage(_met(texts, keys, max(1, buckets // 8), later=False))
-    listed = hopeful_.groupBy("o", "sid").agg(F.collect_list("places").alias("places"))
-    again = texts.drop("places").join(listed, ["o", "sid"])
+    listed = stage(hopeful_.groupBy("o", "sid").agg(F.collect_list("places").alias("places")))
+    again = _meeting(texts.drop("places"), listed, "inner")
     found = _met(again, windows, buckets, later=True)
 
     def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -574,7 +597,8 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
 
     o is the id (the largest number where it is NULL) and sid the number of the text (64 bits of
     its SHA-256), together a document; rows that agree in both are one. whole: a later copy of a whole
-    text, of which all goes. spans: (start, stop) pieces, sorted and apart, of any other.
+    text, of which all goes. spans: (start, stop) pieces, sorted and apart, of any other, packed as
+    unsigned 32-bit numbers.
     """
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_LAST)).alias("o"), F.coalesce(text, F.lit("")).alias("text"))
     hashed = source.withColumn("sid", text_id(F.col("text")))
@@ -625,15 +649,15 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
                 owner, name = o.as_py(), (sid.as_py() & _MASK).to_bytes(8, "big")
                 data = text_.as_py().encode("utf-8", "surrogatepass")
                 at, hashes = _anchors_at(data, places)
+                begin, end = _contexts(at, hashes, len(data), length)
+                hashes = mix(hashes)
+                whole_ = end - begin >= length
                 if len(hot):
-                    cold = ~np.isin(hashes, hot)
-                    at, hashes = at[cold], hashes[cold]
+                    whole_ &= ~np.isin(hashes, hot)
+                at, hashes, begin, end = (x[whole_] for x in (at, hashes, begin, end))
                 target = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-                for place, bucket in zip(at.tolist(), target.tolist(), strict=True):
-                    start = max(0, place + GRAM - length)
-                    context = data[start : place + length]
-                    if len(context) < length:
-                        continue
+                for place, bucket, start, stop in zip(at.tolist(), target.tolist(), begin.tolist(), end.tolist(), strict=True):
+                    context = data[start:stop]
                     # where the anchor lies in it comes first, so that contexts of one anchor meet
                     context = (place - start).to_bytes(2, "little") + context
                     mine, before = (owner, name, start), held.get(context)
@@ -693,12 +717,20 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
     parts = sent.groupBy("bucket").applyInArrow(index, "o long, sid long, part binary")
     if len(hot):
         parts = parts.unionByName(hot_spans(texts, hot, max(1, 8 * total // 40 // ANCHOR_BUCKET), work, length))
-    spans = parts.groupBy("o", "sid").agg(F.collect_list("part").alias("spans"))
+
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # many buckets have pieces of a document that overlap
+            blobs = [np.array(union([tuple(s) for p in x.values for s in np.frombuffer(p.as_buffer(), "<u4").reshape(-1, 2).tolist()]), "<u4").tobytes() for x in batch.column("spans")]
+            yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("sid"), pa.array(blobs, pa.binary())], names=["o", "sid", "spans"])
+
+    listed_parts = parts.groupBy("o", "sid").agg(F.collect_list("part").alias("spans"))
+    spans = listed_parts.mapInArrow(letting_go(united), "o long, sid long, spans binary")
     twice = classes.where("copies > 1").select("sid", F.col("o").alias("first"))
     copies = spread_join(listed, twice, "sid").where("o <> first").select("o", "sid").distinct()
     done = shared_copy(
         spans.select("o", "sid", F.lit(False).alias("whole"), "spans").unionByName(
-            copies.select("o", "sid", F.lit(True).alias("whole"), F.array().cast("array<binary>").alias("spans"))
+            copies.select("o", "sid", F.lit(True).alias("whole"), F.lit(None).cast("binary").alias("spans"))
         )
     )
     work.release()
@@ -745,7 +777,7 @@ def cut_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", len
                 if whole.as_py():
                     gone = [(0, len(data))]
                 elif parts.is_valid:
-                    gone = union([tuple(s) for p in parts.values for s in np.frombuffer(p.as_buffer(), "<u4").reshape(-1, 2).tolist()])
+                    gone = [tuple(s) for s in np.frombuffer(parts.as_buffer(), "<u4").reshape(-1, 2).tolist()]
                 left = b"".join(data[a:z] for a, z in zip([0, *(z for _, z in gone)], [*(a for a, _ in gone), len(data)], strict=True))
                 made.append((len(data), len(data) - len(left), len(gone), sha256(left).hexdigest() if digest else left.decode("utf-8", "ignore")))
             columns = zip(*made, strict=True) if made else [()] * 4

@@ -239,6 +239,38 @@ def test_equal_windows_choose_equal_anchors():
         assert inside & {(p - 60, h) for p, h in zip(b.tolist(), y.tolist(), strict=True) if 60 <= p <= 144}
 
 
+@pytest.mark.parametrize("alphabet", [b"ab", b"abcdefghijklmnopqrstuvwxyz "])
+def test_a_window_is_sent_around_its_least_anchor_only(alphabet):
+    rng = np.random.default_rng(len(alphabet))
+    data = bytes(rng.choice(list(alphabet), 3000).astype(np.uint8))
+    at, hashes = repeats.anchors(np.frombuffer(data, np.uint8))
+    start, stop = repeats._contexts(at, hashes, len(data), repeats.LENGTH)
+    sent = np.zeros(len(data) - repeats.LENGTH + 1, int)
+    for a, z in zip(start.tolist(), stop.tolist(), strict=True):
+        sent[a : max(a, z - repeats.LENGTH + 1)] += 1
+    assert len(set(hashes.tolist())) == len(hashes) and (sent == 1).all()
+
+
+def test_places_of_hot_anchors_go_to_the_texts_while_they_are_few(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    passage = "".join(rng.choice(list("abcdefgh "), 150))
+    frame = spark.createDataFrame([(k, "".join(rng.choice(list("abcdefgh "), 60)) + passage) for k in range(40)], "doc_id long, text string")
+    met, meeting = [], repeats._meeting
+    monkeypatch.setattr(repeats, "HOT", 8)
+    monkeypatch.setattr(repeats, "_meeting", lambda texts, small, how: met.append(small.columns) or meeting(texts, small, how))
+    assert cut_repeats(frame, digest=True).where("n_removed >= 150").count() == 39
+    assert len(met) == 3 and met[1] == ["o", "sid", "places"]
+
+
+def test_spans_of_a_document_are_sorted_and_apart(spark):
+    rng = np.random.default_rng(4)
+    passage = "".join(rng.choice(list("abcdefgh "), 2000))
+    found = repeats.repeat_spans(spark.createDataFrame([(1, "a" + passage), (2, "b" + passage)], "doc_id long, text string"))
+    (row,) = found.collect()
+    assert (row.o, row.whole, np.frombuffer(row.spans, "<u4").tolist()) == (2, False, [1, 2001])
+
+
+
 def test_vectors(spark):
     draw = np.random.default_rng(9)
     rows = []
