@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import spread_join
 from ..sources.staging import Staging, shared_copy
 from .components import connected_components
-from .memory import letting_go
+from .memory import letting_go, letting_go_of_groups
 
 WORDS = 5
 NUMERATOR, DENOMINATOR = 80, 100
@@ -276,7 +276,7 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         return pa.table({"key": pa.array(np.concatenate(out_key)), "set_id": pa.array(np.concatenate(out_owner))})
 
     sent = docs.select(F.col(text)).mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "key long, set_id long").distinct()
+    return sent.groupBy("bucket").applyInArrow(letting_go_of_groups(meet), "key long, set_id long").distinct()
 
 
 def _bitmap(elements: np.ndarray) -> bytes:
@@ -383,7 +383,7 @@ def _small_crossing(tile: DataFrame, bits: DataFrame) -> DataFrame:
     left = tile.where(F.col("members") <= PAIRED).select("key", F.col("set_id").alias("a"), F.col("comp").alias("ca"))
     right = left.withColumnsRenamed({"a": "b", "ca": "cb"})
     pairs = left.join(right, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-    return _attached(pairs, bits).mapInArrow(_bounded, pairs.schema)
+    return _attached(pairs, bits).mapInArrow(letting_go(_bounded), pairs.schema)
 
 
 class _Block(NamedTuple):
@@ -470,7 +470,7 @@ def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
         return crossing.table()
 
     whole = dealt.where(F.col("members") <= BLOCK).select("key", "set_id", "comp", "main").join(bits, "set_id")
-    met = whole.groupBy("key").applyInArrow(meet, "a long, b long")
+    met = whole.groupBy("key").applyInArrow(letting_go_of_groups(meet), "a long, b long")
     many = dealt.where(F.col("members") > BLOCK)
     if not many.limit(1).count():
         return met.distinct()
@@ -483,7 +483,7 @@ def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
 
     own = F.pmod(F.xxhash64("set_id"), F.when(F.col("main"), F.col("mains")).otherwise(F.col("others"))).cast("int")
     fields = "key long, main boolean, own int, mains int, others int, set_id binary, comp binary, n binary, x binary"
-    packed = many.drop("members").withColumn("own", own).join(bits, "set_id").groupBy("key", "main", "own").applyInArrow(pack, fields)
+    packed = many.drop("members").withColumn("own", own).join(bits, "set_id").groupBy("key", "main", "own").applyInArrow(letting_go_of_groups(pack), fields)
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # a main block (i) with a block of others (j), or two blocks of others
     pair = lambda mixed, i, j: F.struct(mixed.alias("mixed"), i.alias("i"), j.alias("j"))
@@ -507,7 +507,7 @@ def _large_crossing(tile: DataFrame, bits: DataFrame, every: bool) -> DataFrame:
             crossing.compare(found[0][1], found[-1][1])
         return crossing.table()
 
-    return met.unionByName(sent.groupBy("key", "mixed", "i", "j").applyInArrow(compare, "a long, b long")).distinct()
+    return met.unionByName(sent.groupBy("key", "mixed", "i", "j").applyInArrow(letting_go_of_groups(compare), "a long, b long")).distinct()
 
 
 def _folded(maps: np.ndarray, size: int) -> np.ndarray:
@@ -545,12 +545,12 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
             with Staging(spark) as work:
                 ends = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id")))
                 elements = work(candidate_sets(docs, of(ends, work), "elements", key=key, text=text, words=words))
-                return stage(_attached(pairs, elements, 20_000).mapInArrow(_exact, "a long, b long"))
+                return stage(_attached(pairs, elements, 20_000).mapInArrow(letting_go(_exact), "a long, b long"))
 
         bits = kept(candidate_sets(docs, of(tiled.select("set_id"), kept), "bits", key=key, text=text, words=words))
         with Staging(spark) as work:
             first = tiled.where("set_id <> least").groupBy("set_id").agg(F.min("least").alias("a")).select("a", F.col("set_id").alias("b"))
-            links = verified(work(_attached(first, bits).mapInArrow(_bounded, "a long, b long")), work)
+            links = verified(work(_attached(first, bits).mapInArrow(letting_go(_bounded), "a long, b long")), work)
             # an id with several texts ties their sets together
             ties = owned.groupBy("doc_id").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"), F.collect_set("set_id").alias("all")).where("a <> b")
             links = work(links.unionByName(ties.select("a", F.explode("all").alias("b")).where("a <> b")))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import spread_join
 from ..sources.staging import Staging, shared_copy
-from .memory import letting_go
+from .memory import letting_go, letting_go_of_groups
 from .ngram import mix
 
 LENGTH = 100
@@ -386,7 +386,7 @@ def repeated_anchors(texts: DataFrame, buckets: int, length: int = LENGTH) -> Da
         names = pa.concat_arrays([pa.array(owner[pick]), pa.nulls(len(hot), pa.int64())])
         return pa.table({"sid": names, "place": pa.array(np.concatenate([place[pick].astype(np.int64), hot.view(np.int64)]))})
 
-    return texts.mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary").groupBy("bucket").applyInArrow(meet, "sid long, place long")
+    return texts.mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary").groupBy("bucket").applyInArrow(letting_go_of_groups(meet), "sid long, place long")
 
 
 def _meeting(texts: DataFrame, small: DataFrame, how: str) -> DataFrame:
@@ -536,7 +536,7 @@ def _met(texts: DataFrame, pieces: Callable, buckets: int, later: bool) -> DataF
         return pa.table({"o": pa.array(o[heads], pa.int64()), "sid": pa.array(sid[heads].view(np.int64)), "places": pa.array(blobs, pa.binary())})
 
     sent = texts.mapInArrow(letting_go(rows), "bucket int, marked boolean, block binary, names binary")
-    return sent.groupBy("bucket").applyInArrow(meet, "o long, sid long, places binary")
+    return sent.groupBy("bucket").applyInArrow(letting_go_of_groups(meet), "o long, sid long, places binary")
 
 
 def _runs_of_two(a: np.ndarray, b: np.ndarray) -> list[slice]:
@@ -589,7 +589,7 @@ def hot_spans(texts: DataFrame, hot: np.ndarray, buckets: int, stage: Staging, l
                 parts.append(np.array(union([(a, a + length) for a in starts]), "<u4").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("o"), batch.column("sid"), pa.array(parts, pa.binary())], names=["o", "sid", "part"])
 
-    return found.mapInArrow(merged, "o long, sid long, part binary")
+    return found.mapInArrow(letting_go(merged), "o long, sid long, part binary")
 
 
 def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
@@ -714,7 +714,7 @@ def repeat_spans(docs: DataFrame, *, key: str = "doc_id", text: str = "text", le
 
     texts = _meeting(hashed, placed, "inner")
     sent = texts.mapInArrow(letting_go(contexts), "bucket int, marked boolean, bytes binary, rows binary, names binary")
-    parts = sent.groupBy("bucket").applyInArrow(index, "o long, sid long, part binary")
+    parts = sent.groupBy("bucket").applyInArrow(letting_go_of_groups(index), "o long, sid long, part binary")
     if len(hot):
         parts = parts.unionByName(hot_spans(texts, hot, max(1, 8 * total // 40 // ANCHOR_BUCKET), work, length))
 

@@ -2,7 +2,10 @@
 
 from collections import Counter
 
+import pyarrow as pa
+
 import corpus_pipeline as pipeline
+from cashloom.llm import memory
 from .test_near_duplicates import expected_components, expected_cuts
 
 FOLDER = "/root/testdata/sf0.001"
@@ -98,3 +101,10 @@ def test_language_keeps_short_texts_and_rejects_unlearned_ones(spark):
     extra = [(9001, "Zsófi", None, "s", 0), (9002, "A.", None, "s", 0), (9003, russian * 3, None, "s", 0), (9004, "日本語の文章です今日は天気がいいですね" * 9, None, "s", 0)]
     spoken = dict(pipeline.STAGES)["language_id"](spark, docs.unionByName(spark.createDataFrame(extra, docs.schema)), FOLDER)
     assert {r.doc_id for r in spoken.where("doc_id > 9000").collect()} == {9001, 9002}
+
+
+def test_a_group_gives_its_memory_back_before_its_result_is_sent(monkeypatch):
+    table, said = pa.table({"n": [1, 2]}), []
+    monkeypatch.setattr(memory, "release", lambda: said.append("released"))
+    assert memory.letting_go_of_groups(lambda t: said.append("made") or t)(table) is table
+    assert said == ["made", "released"]
