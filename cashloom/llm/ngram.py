@@ -7,6 +7,10 @@ enough filled parts for that also stands in the tiles of its empty parts, and sm
 by single elements of their prefixes instead. Tiles therefore lose no link, and unlike single
 shared elements they hardly ever hold sets that only share a passage.
 
+Near copies share tens of tiles, each with slightly different others. Tiles of like sizes with
+the same first set are taken together as one, so that a set stands in few of them and two sets
+are compared there once and not in each tile that both stand in.
+
 Within a tile, bitmaps of the hashed elements bound the overlap of two sets from above (two
 sets differ in at least as many elements as their parity bitmaps differ in bits); only pairs
 within the bound are intersected exactly as sorted arrays.
@@ -56,6 +60,9 @@ MAP_WORDS = 512
 PAIRED = 32
 """Sets of a tile up to which its pairs are joined directly."""
 
+MERGED = 4
+"""Pairs of sets that tiles taken together may hold, in multiples of the pairs of the single tiles."""
+
 BROADCAST_IDS = 2_000_000
 """Ids that are broadcast to pick documents; more are joined by a shuffle."""
 
@@ -107,7 +114,9 @@ def shingle_set(text: str | None, words: int = WORDS, chunk: int = 1 << 20) -> n
         ends = np.concatenate([spaces, [len(data)]])
         n = len(starts) - size + 1
         parts.append(span_hashes(data, starts[:n], ends[size - 1 :]))
-    return np.unique(np.concatenate(parts))
+    # a sort alone takes a fraction of the time of np.unique
+    every = np.sort(np.concatenate(parts))
+    return every[np.concatenate([[True], every[1:] != every[:-1]])]
 
 
 def _bands() -> Iterator[tuple[int, int, int, int]]:
@@ -268,17 +277,55 @@ def tiles(docs: DataFrame, buckets: int, *, text: str = "text", words: int = WOR
         key, owner = key[~known], owner[~known]
         order = np.argsort(key)
         key = key[order]
-        twice = np.zeros(len(key), bool)
-        twice[1:] = key[1:] == key[:-1]
-        twice[:-1] |= twice[1:]
+        twice = _repeated(key)
+        key, owner = key[twice], owner[order][twice]
+        # copies of one set in several tasks are no tile
+        order = np.lexsort((owner, key))
+        key, owner = key[order], owner[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
+        key, owner = key[fresh], owner[fresh]
+        twice = _repeated(key)
         out_key.append(key[twice])
-        out_owner.append(owner[order][twice])
+        out_owner.append(owner[twice])
         return pa.table({"key": pa.array(np.concatenate(out_key)), "set_id": pa.array(np.concatenate(out_owner))})
 
     sent = docs.select(F.col(text)).mapInArrow(letting_go(rows), "bucket int, shared boolean, block binary, names binary")
     return sent.groupBy("bucket").applyInArrow(letting_go_of_groups(meet), "key long, set_id long").distinct()
 
 
+def _repeated(key: np.ndarray) -> np.ndarray:
+    """Which of sorted keys have an equal neighbour."""
+    twice = np.zeros(len(key), bool)
+    twice[1:] = key[1:] == key[:-1]
+    twice[:-1] |= twice[1:]
+    return twice
+
+
+def merged_tiles(named: DataFrame, stage: Staging) -> DataFrame:
+    """key and set_id of fewer tiles, one of which holds each two sets that share a tile of ``named``, a stored frame.
+
+    Tiles go together by their first set and by their size to the next power of two; what that
+    makes goes together by its first set in another order. Those that would hold more than MERGED
+    times the pairs of the single tiles stay as they are.
+    """
+    tiles = named.withColumn("pairs", F.lit(None).cast("long"))
+    for order, size in ((F.col("set_id"), F.floor(F.log2("n"))), (F.xxhash64("set_id"), F.lit(0))):
+        about = tiles.groupBy("key").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"), F.max("pairs").alias("pairs")).where("n > 1")
+        pairs = F.coalesce("pairs", F.expr("n * (n - 1)"))
+        about = stage(about.select("key", F.xxhash64("first", size).alias("group"), pairs.alias("pairs")))
+        together = stage(tiles.select("key", "set_id").join(about, "key").select("group", "set_id").distinct())
+        sizes = together.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+        judged = sizes.join(about.groupBy("group").agg(F.sum("pairs").alias("pairs")), "group")
+        judged = stage(judged.select("group", "pairs", F.expr(f"n * (n - 1) <= {MERGED} * pairs").alias("worth")))
+        single = stage(about.join(judged.where("not worth").select("group"), "group").select("key", "pairs"))
+        few = single.count() <= BROADCAST_IDS
+        alone = tiles.select("key", "set_id").join(F.broadcast(single) if few else single, "key")
+        kept = together.join(judged.where("worth").select("group", "pairs"), "group").withColumnRenamed("group", "key")
+        tiles = stage(kept.unionByName(alone))
+    return tiles.select("key", "set_id")
+
+
 def _bitmap(elements: np.ndarray) -> bytes:
     """Parity of the number of elements hashed to each bit; four bits and more per element."""
     bits = 1 << max(6, int(4 * len(elements) - 1).bit_length())
@@ -534,8 +581,9 @@ def similar_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     with Staging(spark) as kept:
         with Staging(spark) as work:
             named = work(tiles(docs, max(1, total // (2 * BUCKET)), text=text, words=words))
-            tile = named.groupBy("key").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
-            tiled = kept(named.join(tile, "key"))
+            together = merged_tiles(named, work)
+            tile = together.groupBy("key").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("members"))
+            tiled = kept(together.join(tile, "key"))
 
         def of(ids: DataFrame, stage: Staging) -> DataFrame:
             return stage(classes.join(ids.distinct(), "set_id", "left_semi").select("set_id", "rep", "rep_rows"))

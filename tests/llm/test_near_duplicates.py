@@ -1,5 +1,6 @@
 """Similarity joins and repeats against plain Python."""
 
+import itertools
 import random
 import re
 from collections import Counter
@@ -134,6 +135,33 @@ def test_every_linked_pair_shares_a_tile():
             assert len(np.intersect1d(ngram.tile_keys(a), ngram.tile_keys(b)))
 
 
+def test_tiles_of_near_copies_are_taken_together(spark, tmp_path):
+    """Two sets that share a tile share a merged one; a set of a group of near copies stands in few of those, chance meetings stay apart."""
+    draw = random.Random(12)
+    tiles = [draw.sample(range(1, 81), draw.randint(40, 70)) for _ in range(60)]  # parts of one group
+    tiles += [[5, 1000 + k] for k in range(50)]  # a set that meets others one by one
+    rows = [(key, member) for key, tile in enumerate(tiles) for member in tile]
+    with ngram.Staging(spark, str(tmp_path)) as stage:
+        found = ngram.merged_tiles(spark.createDataFrame(rows, "key long, set_id long"), stage).collect()
+    merged = {}
+    for r in found:
+        merged.setdefault(r.key, set()).add(r.set_id)
+    assert len(found) == sum(map(len, merged.values())) < len(rows) / 4
+
+    def pairs(groups):
+        return [pair for group in groups for pair in itertools.combinations(sorted(group), 2)]
+
+    assert set(pairs(tiles)) <= set(pairs(merged.values()))
+    assert len(pairs(merged.values())) <= ngram.MERGED * len(pairs(tiles))
+    assert not any({1000 + i, 1000 + k} <= group for group in merged.values() for i in range(10) for k in range(i))
+
+
+def test_copies_alone_are_no_tile(spark):
+    """One set in several tasks, which meets nothing else, has no tile."""
+    copies = spark.createDataFrame([(" ".join(f"w{k}" for k in range(80)),)] * 8, "text string").repartition(4)
+    assert not ngram.tiles(copies, 3).count()
+
+
 def test_components(spark):
     draw = random.Random(1)
     links = [(k, k + 1) for k in range(100, 160)] + [(1, k) for k in range(2, 40)] + [(draw.randrange(1000, 1300), draw.randrange(1000, 1300)) for _ in range(150)]
