@@ -46,9 +46,10 @@ def unprocessed_distinct(
     """
     log = _log_of_range(feed, log, range_column).select(*keys).distinct()
     calm, hot = hot_apart(feed, keys, slice_rows=slice_rows, buckets=buckets)
-    # merged also where the log is small: the rows are shuffled once either way, and sent to the feed it would put the scan,
-    # the join and all that is made into one method, too long for the JVM to compile
-    calm = calm.join(log.hint("merge"), list(keys), "left_anti")
+    # shuffled also where the log is small: the rows are shuffled once either way, and sent to the feed it would put the scan,
+    # the join and all that is made into one method, too long for the JVM to compile. The wide rows are not sorted for it: of
+    # the log a task holds the keys of its part
+    calm = calm.join(log.hint("shuffle_hash"), list(keys), "left_anti")
     hot = spread_join(hot, log, keys, "left_anti", slice_rows=slice_rows, buckets=buckets)
     return made(calm).distinct().unionByName(made(hot).distinct())
 

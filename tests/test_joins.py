@@ -104,6 +104,15 @@ def test_distinct_unprocessed_rows_of_calm_and_hot_keys(spark, rows):
         assert rows(found) == wanted
 
 
+def test_rows_of_a_feed_are_not_sorted_to_lose_processed_ones(spark):
+    from cashloom.operators.dimensions import unprocessed_distinct
+
+    feed = spark.range(10).selectExpr("cast(id as int) k", "cast(id as string) t")
+    found = unprocessed_distinct(feed, feed.where("k > 6").select("k"), ["k"], lambda df: df)
+    assert "ShuffledHashJoin [k" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.k for r in found.collect()) == list(range(7))
+
+
 def test_calm_rows_stay_where_the_join_has_placed_them(spark):
     from cashloom.operators.dimensions import unprocessed_distinct
 
