@@ -1,5 +1,6 @@
 from datetime import date, datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,6 +181,12 @@ def test_one_company_however_its_id_is_typed(spark, world):
     assert not any(fs.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs.Path(p)) for p in paths)
 
 
+def test_working_copies_are_written_small(spark, tmp_path):
+    Staging(spark, str(tmp_path))(spark.range(10))
+    [*_, file] = tmp_path.glob("*/*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
 def test_a_feed_is_neither_copied_nor_shuffled_twice(spark, world):
     with Staging(spark) as stage:
         seen = []
