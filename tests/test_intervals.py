@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from cashloom.operators import intervals, settlement
 from cashloom.operators.intervals import dyadic_cover, dyadic_path, ranges_of_points
+from workload.frames import Frames
 
 EDGES = [(0, 0), (0, 1), (1, 1), (3, 9), (-5, 2), (-5, -1), (7, 3), (0, 2**31 - 1), (5, 2**31 - 1), (1023, 1024), (1024, 2047)]
 
@@ -105,3 +106,64 @@ def test_settlements_are_compared_with_ranges_not_with_tiers(spark, many):
         spelled = ranges.withColumn("t", F.explode("__tiers")).select(*columns[:3], "t.ID_DESCONTO")
         assert sorted(map(str, spelled.collect())) == sorted(map(str, want.collect()))
     assert settlement.ranges_by_days(settlements, more).count() <= 3 * settlements.count() < want.count()
+
+
+MATCHED = ["ID_PROG_RECEBIMENTO", "ID_DESCONTO"]
+
+
+@pytest.fixture
+def nothing_sent_unasked(spark):
+    """Tables of a size that Spark does not broadcast by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_settlements_are_not_shuffled_for_few_tiers(spark, many, plan, rows, monkeypatch, nothing_sent_unasked):
+    """Neither they nor the tiers are, and what is past one of the bounds gives the same rows."""
+    settlements, tiers = many
+    matched = settlement.tolerance_band_join(settlements, tiers)
+    assert "SortMergeJoin" not in plan(matched) and "BroadcastNestedLoopJoin" not in plan(matched)
+    want = rows(matched, *MATCHED)
+    for bound in ("DAY_TIERS", "BROADCAST_ROWS"):
+        with monkeypatch.context() as m:
+            m.setattr(settlement, bound, 100)
+            shuffled = settlement.tolerance_band_join(settlements, tiers)
+            assert "SortMergeJoin" in plan(shuffled)
+            assert rows(shuffled, *MATCHED) == want
+
+
+def test_few_tiers_are_told_exactly(spark, many, monkeypatch):
+    settlements, tiers = many
+    bands = tiers.withColumn("TIPO", F.col("TIPO_DESCONTO") == 1).drop("TIPO_DESCONTO")
+    days = settlements.select("TIPO", "DIAS_DIFERENCA").distinct()
+    sizes = {"BROADCAST_ROWS": days.count(), "DAY_TIERS": settlement._tiers_of_days(days, bands).count()}
+    assert settlement._few_tiers(days, bands)
+    for name, size in sizes.items():
+        for bound, few in ((size, True), (size - 1, False)):
+            with monkeypatch.context() as m:
+                m.setattr(settlement, name, bound)
+                assert settlement._few_tiers(days, bands) is few
+
+
+def test_settlements_with_the_same_tiers_come_in_a_row(spark, many):
+    """So that a file repeats the same ids for them."""
+    settlements, tiers = many
+    found = settlement.tolerance_band_join(settlements.coalesce(1), tiers).select("TIPO", "DIAS_DIFERENCA", "PORCENTAGEM").collect()
+    assert found == sorted(found) and len(found) > 3000
+
+
+def test_settlements_are_built_of_orders_shuffled_once(spark, plan, rows, tmp_path, nothing_sent_unasked):
+    """The same rows as of two schedules joined by invoice and due date, also where orders come twice or lack something."""
+    orders = [(k, float(100 + k), f"2000-01-{k % 28 + 1:02}") for k in range(200)] + [(7, 5.0, "2000-01-08"), (7, 107.0, "2000-01-08"), (7, 9.0, "2000-03-08")]
+    orders += [(None, 1.0, "2000-01-01"), (300, None, "2000-01-01"), (301, 1.0, None)]
+    frame = spark.createDataFrame(orders, "o_orderkey long, o_totalprice double, day string")
+    frame.select("o_orderkey", "o_totalprice", F.col("day").cast("timestamp").alias("o_orderdate")).write.parquet(f"{tmp_path}/orders.parquet")
+    f = Frames(spark, str(tmp_path))
+    receipts = f.receipts().withColumnRenamed("NUMERO_NF", "ID_NF_SAIDA")
+    joined = f.receivable_schedule().join(receipts, ["ID_NF_SAIDA", "DATA_VENCIMENTO"])
+    found = f.settlements()
+    assert rows(found) == rows(joined, *found.columns) and found.count() > 250
+    placed = [line for line in plan(found).splitlines() if "hashpartitioning" in line]
+    assert placed and all("hashpartitioning(o_orderkey" in line for line in placed)
+    assert "ReusedExchange" in plan(found)
