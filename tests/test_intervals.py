@@ -24,6 +24,18 @@ def test_covers_are_disjoint_and_exact(spark):
         assert all(levels.count(k) <= 2 for k in levels)
 
 
+def test_covers_of_ranges_about_a_power_of_two(spark):
+    """Their nodes, in order, leave no gap, however few levels are looked at."""
+    pairs = [(k, k + (1 << n) + d) for n in range(31) for k in (0, 1, 1 << n) for d in (-2, -1, 0, 1) if 0 <= (1 << n) + d and k + (1 << n) + d < 1 << 31]
+    frame = spark.createDataFrame(pairs, "low long, high long").select("low", "high", dyadic_cover(F.col("low"), F.col("high")).alias("nodes"))
+    for r in frame.collect():
+        at = r.low
+        for level, node in sorted(r.nodes, key=lambda n: n.node << n.level):
+            assert node << level == at
+            at += 1 << level
+        assert at == r.high + 1
+
+
 def test_a_path_has_one_node_a_level(spark):
     path = spark.createDataFrame([(1000,)], "p int").select(dyadic_path(F.col("p"))).first()[0]
     assert [(n.level, n.node) for n in path] == [(k, 1000 >> k) for k in range(intervals.LEVELS + 1)]
